@@ -16,6 +16,11 @@ def exact_sum(term: Column, scale: float = SCALE) -> Column:
     return F.sum(F.floor(term * F.lit(scale) + F.lit(0.5)).cast("bigint")) / F.lit(scale)
 
 
+def wide_sum(term: Column, scale: float) -> Column:
+    """``exact_sum`` with a DECIMAL total, for sums over whole users or items that may pass BIGINT."""
+    return F.sum(F.floor(term * F.lit(scale) + F.lit(0.5)).cast("decimal(19,0)")).cast("double") / F.lit(scale)
+
+
 def round6(value: Column) -> Column:
     """Round half up at six places in plain double arithmetic (no BigDecimal)."""
     return F.floor(value * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)

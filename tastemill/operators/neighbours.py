@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastemill.functions.copies import hand_out, members_of
 from tastemill.functions.exact import exact_sum, require, round6
-from tastemill.functions.pairs import mirrored, pair_stats
+from tastemill.functions.pairs import mirrored, pair_stats, shared_pairs
 from tastemill.functions.ranked import top_per
 from tastemill.operators.postprocess import drop_seen, top_n
 
@@ -271,3 +272,40 @@ def slope_one(ratings: DataFrame, targets: DataFrame, deviations: DataFrame) ->
     terms = known.join(directed, ["owned", "item"])
     top = exact_sum(F.col("k") * (F.col("rating") + F.col("dev")), 1e6)
     return terms.groupBy("user", "item").agg(round6(top / F.sum("k")).alias("predicted"))
+
+
+def minhash_neighbours(prefs: DataFrame, tables: int, threshold: float, k: int) -> DataFrame:
+    """The k nearest items found by min-hashing, with Jaccard at least ``threshold``.
+
+    Two items are candidates when one of ``tables`` min-hashes of their owners
+    agrees; every candidate's Jaccard is then counted exactly. Signatures are
+    plain ``min`` aggregates, so no owner list is gathered, and items with the
+    same owners are one class (see ``functions.copies``).
+    """
+    require(prefs, "user", "item")
+    owned = prefs.select("user", "item")
+    sketches = owned.groupBy("item").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64("user").cast("decimal(20,0)")).alias("_sig"),
+        F.sum(F.xxhash64(F.lit(-1), "user").cast("decimal(20,0)")).alias("_sig2"),
+        F.array(*[F.min(F.xxhash64(F.lit(t), "user")) for t in range(tables)]).alias("sketch"),
+    )
+    members = members_of(sketches, "item", ["n", "_sig", "_sig2"])
+    reps = sketches.join(
+        members.filter(F.col("id") == F.col("rep")).select(F.col("id").alias("item")), "item", "left_semi"
+    )
+    spots = reps.select("item", F.posexplode("sketch").alias("t", "h")).select(
+        F.xxhash64("t", "h").alias("bucket"), "item"
+    )
+    candidates = shared_pairs(spots.distinct(), "bucket", "item").select("a", "b").distinct()
+    of_a = owned.select(F.col("item").alias("a"), "user")
+    of_b = owned.select(F.col("item").alias("b"), "user")
+    shared = (
+        candidates.join(of_a, "a").join(of_b, ["b", "user"]).groupBy("a", "b").agg(_shared())
+    )
+    sizes = reps.select("item", "n")
+    sized = shared.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+    score = round6(F.col("k") / (F.col("n_a") + F.col("n_b") - F.col("k")))
+    scored = sized.select("a", "b", score.alias("score")).filter(F.col("score") >= threshold)
+    near = top_per(mirrored(scored, both=["score"]), ["a"], [F.desc("score"), F.asc("b")], k)
+    return hand_out(near, members, k, F.lit(1.0))

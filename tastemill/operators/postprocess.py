@@ -54,8 +54,8 @@ def reciprocal_rank_fusion(sources: Sequence[DataFrame], k0: int, n: int) -> Dat
 def cap_per_group(recs: DataFrame, items: DataFrame, attribute: str, m: int, n: int) -> DataFrame:
     """At most m items of one attribute value in each user's list of n."""
     known = recs.select("user", "item", "score").join(items.select("item", attribute), "item")
-    best = top_per(known, ["user", attribute], [F.desc("score"), F.asc("item")], m).drop("rank")
-    return top_n(best, n)
+    best = top_per(known, ["user", attribute], [F.desc("score"), F.asc("item")], m)
+    return top_n(best.select("user", "item", "score"), n)
 
 
 def mmr(recs: DataFrame, sims: DataFrame, trade: float, n: int) -> DataFrame:

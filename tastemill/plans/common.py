@@ -59,7 +59,7 @@ EVI = """evi AS MATERIALIZED (
   SELECT user_id AS u, CAST(json_extract_string(props, '$.k') AS BIGINT) AS i, ts, event_id,
     CASE event_type WHEN 'view' THEN 1.0::DOUBLE WHEN 'click' THEN 2.0::DOUBLE ELSE 5.0::DOUBLE END AS w
   FROM events WHERE event_type IN ('view', 'click', 'purchase'))"""
-SIZED = f"""{PREF}, cnt AS MATERIALIZED (SELECT i, count(*) AS n FROM pref GROUP BY i),
+PAIRS = """cnt AS MATERIALIZED (SELECT i, count(*) AS n FROM pref GROUP BY i),
 total AS (SELECT count(DISTINCT u) AS big_n FROM pref),
 pairs AS MATERIALIZED (
   SELECT x.i AS a, y.i AS b, count(*) AS k
@@ -67,6 +67,7 @@ pairs AS MATERIALIZED (
 sized AS MATERIALIZED (
   SELECT a, b, k, ca.n AS n_a, cb.n AS n_b
   FROM pairs JOIN cnt ca ON ca.i = a JOIN cnt cb ON cb.i = b)"""
+SIZED = f"{PREF}, {PAIRS}"
 
 
 def near_sql(source: str, k: int, name: str = "near") -> str:
