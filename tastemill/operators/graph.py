@@ -100,8 +100,8 @@ def mass_diffusion(prefs: DataFrame, blend: float, k: int) -> DataFrame:
         "item",
         [
             exact_sum(F.col("r_a")).alias("flow"),
-            F.first("n_a").alias("n_a"),
-            F.first("n_b").alias("n_b"),
+            F.max("n_a").alias("n_a"),
+            F.max("n_b").alias("n_b"),
         ],
         ["r", "n"],
     )

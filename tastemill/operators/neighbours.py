@@ -34,7 +34,7 @@ def _binary_pairs(prefs: DataFrame) -> DataFrame:
         _sized(prefs),
         "user",
         "item",
-        [_shared(), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")],
+        [_shared(), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b")],
         ["n"],
     )
 
@@ -70,8 +70,8 @@ def item_cosine_weighted(prefs: DataFrame) -> DataFrame:
         [
             _shared(),
             exact_sum(F.col("weight_a") * F.col("weight_b"), 1e6).alias("dot"),
-            F.first("norm_a").alias("norm_a"),
-            F.first("norm_b").alias("norm_b"),
+            F.max("norm_a").alias("norm_a"),
+            F.max("norm_b").alias("norm_b"),
         ],
         ["weight", "norm"],
     )
@@ -135,8 +135,8 @@ def item_iuf_cosine(prefs: DataFrame) -> DataFrame:
         [
             _shared(),
             exact_sum(F.col("iuf_a")).alias("s"),
-            F.first("n_a").alias("n_a"),
-            F.first("n_b").alias("n_b"),
+            F.max("n_a").alias("n_a"),
+            F.max("n_b").alias("n_b"),
         ],
         ["iuf", "n"],
     )

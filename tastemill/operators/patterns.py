@@ -35,9 +35,9 @@ def frequent_pairs(items: DataFrame, min_support: float) -> DataFrame:
         "item",
         [
             F.count(F.lit(1)).alias("k"),
-            F.first("n_a").alias("n_a"),
-            F.first("n_b").alias("n_b"),
-            F.first("total_a").alias("total"),
+            F.max("n_a").alias("n_a"),
+            F.max("n_b").alias("n_b"),
+            F.max("total_a").alias("total"),
         ],
         ["n", "total"],
     )

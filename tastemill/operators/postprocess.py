@@ -61,33 +61,41 @@ def cap_per_group(recs: DataFrame, items: DataFrame, attribute: str, m: int, n:
 def mmr(recs: DataFrame, sims: DataFrame, trade: float, n: int) -> DataFrame:
     """Greedy list: trade * score - (1 - trade) * largest similarity to the picks so far.
 
-    ``sims`` holds directed (a, b, score); a missing pair counts as 0. One
-    written table per pick, with the running largest similarity on each
-    remaining candidate, so round r looks at the last pick only.
+    ``sims`` holds directed (a, b, score); a missing pair counts as 0. It is
+    read once, for the pairs inside a list (a list of m candidates has at most
+    m (m - 1)). Each pick is a written table, with the running largest
+    similarity on each remaining candidate, so round r looks at the last pick only.
     """
     require(recs, "user", "item", "score")
-    left = recs.select("user", "item", "score", F.lit(0.0).alias("_near"))
-    links = sims.select(F.col("a").alias("_pick"), F.col("b").alias("item"), F.col("score").alias("_sim"))
+    left = write_stage(recs.select("user", "item", "score", F.lit(0.0).alias("_near")), "mmr")
+    lists = left.select("user", F.col("item").alias("_pick"))
+    known = sims.select(
+        F.col("a").alias("_pick"), F.col("b").alias("item"), F.col("score").alias("_sim")
+    )
+    links = write_stage(
+        lists.join(left.select("user", "item"), "user")
+        .filter(F.col("_pick") != F.col("item"))
+        .join(known, ["_pick", "item"]),
+        "links",
+    )
+    value = round6(trade * F.col("score") - (1.0 - trade) * F.col("_near"))
     chosen = None
     for step in range(1, n + 1):
-        value = round6(trade * F.col("score") - (1.0 - trade) * F.col("_near"))
-        left = write_stage(left.withColumn("_value", value), "mmr")
-        pick = top_per(left, ["user"], [F.desc("_value"), F.asc("item")], 1)
+        best = top_per(left.withColumn("_value", value), ["user"], [F.desc("_value"), F.asc("item")], 1)
         pick = write_stage(
-            pick.select("user", "item", F.col("_value").alias("score"), F.lit(step).alias("rank")),
-            "mmr",
+            best.select("user", "item", F.col("_value").alias("score"), F.lit(step).alias("rank")), "pick"
         )
         chosen = pick if chosen is None else chosen.unionByName(pick)
         if step == n:
             break
         last = pick.select("user", F.col("item").alias("_pick"))
-        left = (
-            left.drop("_value")
-            .join(last, "user")
+        left = write_stage(
+            left.join(last, "user")
             .filter(F.col("item") != F.col("_pick"))
-            .join(links, ["_pick", "item"], "left")
+            .join(links, ["user", "_pick", "item"], "left")
             .withColumn("_near", F.greatest("_near", F.coalesce("_sim", F.lit(0.0))))
-            .drop("_pick", "_sim")
+            .select("user", "item", "score", "_near"),
+            "mmr",
         )
     return chosen
 
@@ -101,6 +109,7 @@ def fill_cold(recs: DataFrame, ranks: DataFrame, users: DataFrame, seen: DataFra
     table, however many popular items the user owns.
     """
     require(recs, "user", "item", "score", "rank")
+    recs = write_stage(recs.select("user", "item", "score", "rank"), "lists")
     have = recs.groupBy("user").agg(F.count(F.lit(1)).alias("_have"))
     short = (
         users.select("user")

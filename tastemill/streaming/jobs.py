@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -256,3 +258,6 @@ def late_report(events: DataFrame, store: str, late_seconds: int) -> DataFrame:
 
 def stream_interactions(events: DataFrame) -> DataFrame:
     return event_interactions(events, EVENT_WEIGHTS)
+
+# Tasks get this module's functions by value, so workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
