@@ -66,25 +66,24 @@ f2 AS MATERIALIZED (SELECT x.i AS a, y.i AS b, count(*) AS k FROM d x JOIN d y O
 _PAIRED = f"""p AS MATERIALIZED (SELECT a, b, k, {c.r6('CAST(k AS DOUBLE) / big_n')} AS support, {c.r6('CAST(k AS DOUBLE) / fa.n')} AS confidence_ab,
   {c.r6('CAST(k AS DOUBLE) / fb.n')} AS confidence_ba, {c.r6('CAST(k AS DOUBLE) * big_n / (CAST(fa.n AS DOUBLE) * fb.n)')} AS lift
   FROM f2 JOIN f1 fa ON fa.i = a JOIN f1 fb ON fb.i = b, nb)"""
-_TRIPLES = f"""f3 AS MATERIALIZED (SELECT x.i AS a, y.i AS b, z.i AS e, count(*) AS k FROM f2 JOIN d x ON x.i = f2.a JOIN d y ON y.i = f2.b AND y.basket = x.basket
-          JOIN d z ON z.basket = x.basket AND z.i > y.i GROUP BY 1, 2, 3 HAVING count(*) / (SELECT CAST(big_n AS DOUBLE) FROM nb) >= {SUPPORT}::DOUBLE)"""
+# All subsets of every basket, so sets of any size are counted.
+_SETS = f"""fd AS MATERIALIZED (SELECT d.basket, d.i FROM d JOIN f1 ON f1.i = d.i),
+sub(basket, last, items, size) AS (SELECT basket, i, CAST(i AS VARCHAR), 1 FROM fd
+  UNION ALL SELECT sub.basket, fd.i, sub.items || ',' || fd.i, sub.size + 1 FROM sub JOIN fd ON fd.basket = sub.basket AND fd.i > sub.last),
+fs AS MATERIALIZED (SELECT items, CAST(size AS INTEGER) AS size, count(*) AS freq FROM sub GROUP BY 1, 2
+  HAVING count(*) / (SELECT CAST(big_n AS DOUBLE) FROM nb) >= {SUPPORT}::DOUBLE)"""
 _STEPS = f"""{c.EVI}, pos AS MATERIALIZED (SELECT u, i, row_number() OVER (PARTITION BY u ORDER BY ts, event_id) AS p FROM evi),
 people AS (SELECT count(DISTINCT u) AS n FROM evi),
 firsts AS MATERIALIZED (SELECT u, i, min(p) AS fp, max(p) AS lp FROM pos GROUP BY 1, 2)"""
 
 ORACLE = {
     "frequent_pairs": f"WITH {_BASKET}, {_PAIRED} SELECT * FROM p",
-    "fp_growth_itemsets": f"""WITH {_BASKET},
-        {_TRIPLES}
-        SELECT CAST(i AS VARCHAR) AS items, 1::INTEGER AS size, n AS freq FROM f1
-        UNION ALL SELECT a || ',' || b, 2, k FROM f2 UNION ALL SELECT a || ',' || b || ',' || e, 3, k FROM f3""",
-    "fp_growth_rules": f"""WITH {_BASKET}, {_TRIPLES}, r AS (
-        SELECT CAST(a AS VARCHAR) AS a, b, k / CAST(n AS DOUBLE) AS conf FROM f2 JOIN f1 ON f1.i = a
-        UNION ALL SELECT CAST(b AS VARCHAR), a, k / CAST(n AS DOUBLE) FROM f2 JOIN f1 ON f1.i = b
-        UNION ALL SELECT f3.a || ',' || f3.b, e, f3.k / CAST(f2.k AS DOUBLE) FROM f3 JOIN f2 ON f2.a = f3.a AND f2.b = f3.b
-        UNION ALL SELECT f3.a || ',' || e, f3.b, f3.k / CAST(f2.k AS DOUBLE) FROM f3 JOIN f2 ON f2.a = f3.a AND f2.b = e
-        UNION ALL SELECT f3.b || ',' || e, f3.a, f3.k / CAST(f2.k AS DOUBLE) FROM f3 JOIN f2 ON f2.a = f3.b AND f2.b = e)
-        SELECT a AS antecedent, b AS consequent, CAST(floor(conf * 1e6 + 0.5) AS BIGINT) AS confidence_e6 FROM r WHERE conf >= 0.05::DOUBLE""",
+    "fp_growth_itemsets": f"WITH RECURSIVE {_BASKET}, {_SETS} SELECT items, size, freq FROM fs",
+    "fp_growth_rules": f"""WITH RECURSIVE {_BASKET}, {_SETS},
+        cut AS (SELECT items, freq, unnest(string_split(items, ',')) AS c FROM fs WHERE size > 1),
+        r AS (SELECT array_to_string(list_filter(string_split(items, ','), lambda x: x <> c), ',') AS a, CAST(c AS BIGINT) AS c, freq FROM cut)
+        SELECT a AS antecedent, c AS consequent, CAST(floor(r.freq / CAST(fs.freq AS DOUBLE) * 1e6 + 0.5) AS BIGINT) AS confidence_e6
+        FROM r JOIN fs ON fs.items = r.a WHERE r.freq / CAST(fs.freq AS DOUBLE) >= 0.05::DOUBLE""",
     "apply_rules": f"""WITH {_BASKET}, {_PAIRED}, rules AS (SELECT a, b, confidence_ab AS conf FROM p UNION ALL SELECT b, a, confidence_ba FROM p),
         fired AS (SELECT basket, b AS item, max(conf) AS score FROM d JOIN rules ON rules.a = d.i WHERE conf >= 0.03::DOUBLE GROUP BY 1, 2)
         SELECT * FROM (SELECT basket, item, score, {c.rank_int('basket', 'score DESC, item')} AS rank FROM fired
