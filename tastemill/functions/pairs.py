@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastemill.session import write_stage
+
 CELL = 2048
 
 
@@ -35,7 +37,12 @@ def shared_pairs(
     cut into chunks by a hash of the member, and chunk i meets chunk j in the
     join cell (i, j). A group holding a third of all rows is then spread over
     many equally small cells; every pair still meets in exactly one of them.
+
+    The rows are read three times (sizes, left, right), so they are written
+    once first: next to the pairs they are few, and their own scans, joins and
+    aggregates are not repeated.
     """
+    rows = write_stage(rows.select(group, member, *values), "members")
     tagged = _cells(rows, group, member, cell)
     left = tagged.select(
         F.col(group),

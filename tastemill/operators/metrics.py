@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from tastemill.functions.exact import exact_sum, hash_int, require, round6
 from tastemill.functions.ordered import OrderedSplit
+from tastemill.session import write_stage
 
 
 def _hits(recs: DataFrame, truth: DataFrame, k: int | None) -> DataFrame:
@@ -148,6 +149,7 @@ def intra_list_diversity(recs: DataFrame, sims: DataFrame) -> DataFrame:
     A list holds n items at most, so it has n (n - 1) / 2 pairs. Every list of
     two or more items weighs the same.
     """
+    recs = write_stage(recs.select("user", "item"), "lists")
     left = recs.select("user", F.col("item").alias("a"))
     right = recs.select("user", F.col("item").alias("b"))
     pairs = left.join(right, "user").filter(F.col("a") < F.col("b"))

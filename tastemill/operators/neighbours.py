@@ -10,6 +10,7 @@ from tastemill.functions.exact import exact_sum, require, round6
 from tastemill.functions.pairs import mirrored, pair_stats, shared_pairs
 from tastemill.functions.ranked import top_per
 from tastemill.operators.postprocess import drop_seen, top_n
+from tastemill.session import write_stage
 
 
 
@@ -283,14 +284,15 @@ def minhash_neighbours(prefs: DataFrame, tables: int, threshold: float, k: int)
     same owners are one class (see ``functions.copies``).
     """
     require(prefs, "user", "item")
-    owned = prefs.select("user", "item")
+    owned = write_stage(prefs.select("user", "item"), "owned")
     sketches = owned.groupBy("item").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.xxhash64("user").cast("decimal(20,0)")).alias("_sig"),
         F.sum(F.xxhash64(F.lit(-1), "user").cast("decimal(20,0)")).alias("_sig2"),
         F.array(*[F.min(F.xxhash64(F.lit(t), "user")) for t in range(tables)]).alias("sketch"),
     )
-    members = members_of(sketches, "item", ["n", "_sig", "_sig2"])
+    sketches = write_stage(sketches, "sketches")
+    members = write_stage(members_of(sketches, "item", ["n", "_sig", "_sig2"]), "classes")
     reps = sketches.join(
         members.filter(F.col("id") == F.col("rep")).select(F.col("id").alias("item")), "item", "left_semi"
     )

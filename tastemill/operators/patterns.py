@@ -16,6 +16,7 @@ from tastemill.session import write_stage
 def _frequent_items(items: DataFrame, min_support: float) -> DataFrame:
     """Basket rows of the items that can be in a frequent set, with count ``n`` and all baskets ``total``."""
     require(items, "basket", "item")
+    items = write_stage(items.select("basket", "item"), "baskets")
     baskets = items.agg(F.countDistinct("basket").alias("total")).scalar()
     counts = (
         items.groupBy("item")

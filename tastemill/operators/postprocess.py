@@ -32,6 +32,7 @@ def blend(sources: Sequence[DataFrame], weights: Sequence[float], n: int) -> Dat
         raise ValueError("one weight per source")
     scaled = None
     for recs, weight in zip(sources, weights):
+        recs = write_stage(recs.select("user", "item", "score"), "source")
         span = recs.groupBy("user").agg(F.min("score").alias("_lo"), F.max("score").alias("_hi"))
         width = F.col("_hi") - F.col("_lo")
         unit = F.when(width > 0, (F.col("score") - F.col("_lo")) / width).otherwise(F.lit(1.0))

@@ -96,7 +96,7 @@ def test_block_products_equal_brute_force(spark, block):
         [(i, v.tolist(), 0 if i < 30 else 1) for i, v in enumerate(vectors)],
         "id bigint, vec array<double>, cell int",
     )
-    got = rows(block_top_k(df, df, 5, block), "id", "rank", "b")
+    got = rows(block_top_k(df, df, 5, block, by="cell"), "id", "rank", "b")
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     score = np.floor(unit @ unit.T * 1e6 + 0.5) / 1e6
     expected = []
