@@ -36,7 +36,7 @@ _STEADY = regex.compile("[\u0000-ԯ -⁞ぁ-ゖァ-ヺ一-龥가-힣]*")
 CACHE, CACHE_CHARS = 1 << 18, 48
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in vocabulary files, by rule."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
@@ -49,7 +49,7 @@ class BytePairs:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        letters = _byte_letters()
+        letters = byte_letters()
         model = spec["model"]
         raw = {token: bytes(letters[c] for c in token) for token in model["vocab"]}
         self.id_of = {raw[token]: i for token, i in model["vocab"].items()}

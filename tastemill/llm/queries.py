@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.llm import block_naming, bpe, secret_scan, simhash
+from tastemill.llm import (
+    block_naming,
+    bpe,
+    language,
+    main_text,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    warc_derivatives,
+    word_pieces,
+)
 from tastemill.sources.tables import read_table
 
 
@@ -34,17 +45,55 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(read_table(spark, folder, "documents"))
 
 
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the labelled rows outside the held-out quarter."""
+    docs = read_table(spark, folder, "documents")
+    found = language.predict(docs, language.fit(docs))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint of every document and the smallest document linked to it."""
     near = simhash.near_copies(read_table(spark, folder, "documents"), ["doc_id"])
     return near.select("doc_id", simhash.hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata and conversion records of every page."""
+    return warc_derivatives.derivatives(read_table(spark, folder, "pages"))
+
+
+def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text.extract(read_table(spark, folder, "pages"))
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, base rules and the trees' verdict for every document."""
+    return quality.judge(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+def op9_word_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Greedy word-piece counts of every document."""
+    return word_pieces.token_counts(read_table(spark, folder, "documents"))
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of every document in sequences of 2,048 ids."""
+    return packing.pack(read_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_block_naming": op2_block_naming,
     "op3_bpe": op3_bpe,
+    "op4_language": op4_language,
     "op5_simhash": op5_simhash,
+    "op6_warc_derivatives": op6_warc_derivatives,
+    "op7_main_text": op7_main_text,
+    "op8_quality": op8_quality,
+    "op9_word_pieces": op9_word_pieces,
+    "op10_packing": op10_packing,
 }
 
 ORACLE = {

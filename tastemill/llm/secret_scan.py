@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import numbered, slices, text_or_empty
+from tastemill.llm.common import numbered, slices, text_or_empty, unused
 from tastemill.session import write_stage
 
 #: Spans are told apart by kind, in this order.
@@ -242,3 +242,9 @@ def redact(docs: DataFrame, row: str) -> DataFrame:
         else:
             picked.append(F.col(f"`{c}`"))
     return out.select(*picked)
+
+
+def without_secrets(docs: DataFrame) -> DataFrame:
+    """``docs`` with its secrets masked; all rows and columns stay."""
+    row = unused(docs, "row_number")
+    return redact(numbered(docs, row, "documents"), row).drop(row)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import slices, text_or_empty
+from tastemill.llm.common import numbered, slices, text_or_empty, unused
 from tastemill.session import write_stage
 
 RADIUS = 2
@@ -308,3 +308,15 @@ def near_copies(docs: DataFrame, carry: list[str], text: str = "text", key: str
 
 def hex64(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of every component, the one with the smallest ``key``; all columns stay."""
+    row = unused(docs, "row_number")
+    rows = numbered(docs, row, "documents")
+    near = near_copies(rows, [key, row], text, key).filter("members > 1")
+    near = write_stage(near.select(row, key, "root"), "near-copies")
+    first = F.min(F.struct(F.col(key).isNull(), F.col(key), F.col(row).alias("row"))).getField("row")
+    kept = near.groupBy("root").agg(first.alias(row)).select(row)
+    dropped = write_stage(near.select(row).join(kept, row, "left_anti"), "dropped")
+    return rows.join(dropped, row, "left_anti").drop(row)
