@@ -216,7 +216,7 @@ def masked(text: Column, spans: Column, mask: str = "[REDACTED]") -> Column:
     kept = F.transform(cut["gaps"], lambda g: F.substring(text, g["start"] + 1, g["stop"] - g["start"]))
     tail = F.substring(text, cut["at"] + 1, F.char_length(text))
     joined = F.array_join(F.concat(kept, F.array(tail)), mask)
-    return F.when(F.size(F.coalesce(spans, F.array().cast("array<struct<start:int,kind:int,stop:int>>"))) == 0, text).otherwise(joined)
+    return F.when(F.size(spans) > 0, joined).otherwise(text)
 
 
 def redact(docs: DataFrame, row: str) -> DataFrame:
@@ -224,21 +224,21 @@ def redact(docs: DataFrame, row: str) -> DataFrame:
 
     ``row`` is a column that numbers the rows. Other columns stay as they are.
     """
+    name = unused(docs, "secret_spans")
     found = (
-        find_secrets(docs, row)
-        .filter(F.size("spans") > 0)
-        .select(F.col(row), F.col("spans").alias("_spans"))
+        find_secrets(docs, row).filter(F.size("spans") > 0).select(F.col(row), F.col("spans").alias(name))
     )
     found = write_stage(found, "secret-spans")
     out = docs.join(found, row, "left")
-    text = masked(F.col("text"), F.col("_spans"))
-    changed = F.col("_spans").isNotNull()
+    text = masked(F.col("text"), F.col(name))
+    changed = F.col(name).isNotNull()
     picked = []
     for c in docs.columns:
         if c == "text":
             picked.append(F.when(changed, text).otherwise(F.col("text")).alias("text"))
         elif c == "n_chars":
-            picked.append(F.when(changed, F.char_length(text)).otherwise(F.col("n_chars")).cast(docs.schema[c].dataType).alias(c))
+            counted = F.when(changed, F.char_length(text)).otherwise(F.col("n_chars"))
+            picked.append(counted.cast(docs.schema[c].dataType).alias(c))
         else:
             picked.append(F.col(f"`{c}`"))
     return out.select(*picked)

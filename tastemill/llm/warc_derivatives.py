@@ -189,6 +189,6 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     record = rows.select(text.alias("value"), cut.alias("cut"))
     block = F.expr("substring(value, cut + 4)")
     length = F.regexp_extract("headers", r"(?i)Content-Length: (\d+)", 1).cast("bigint")
-    return record.select(F.expr("substring(value, 1, cut + 1)").alias("headers"), block.alias("block")).withColumn(
+    return record.select(F.concat(F.lit(start), F.expr("substring(value, 1, cut + 1)")).alias("headers"), block.alias("block")).withColumn(
         "whole", F.octet_length("block") == length
     )
