@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions.blocks import block_top_k
 from tastemill.functions.copies import hand_out, members_of
-from tastemill.functions.exact import require
+from tastemill.functions.exact import exact_sum, require, round6
 from tastemill.functions.ordered import OrderedSplit
 from tastemill.functions.pairs import pair_stats, shared_pairs
 from tastemill.operators.content import by_seen_band
@@ -126,3 +126,41 @@ def test_seen_bands_are_exact(spark):
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="item"):
         require(spark.range(1), "item")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_exact_sums_do_not_clip(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for terms, scale in (
+            ([1e10], 1e9),
+            ([1e10, -1e10, 0.25], 1e9),
+            ([1e14] * 40, 1e6),
+            ([4e10] * 5, 1e9),
+            ([9.3e9, 9.3e9, -0.5], 1e9),
+            ([0.1] * 10 + [None], 1e9),
+            ([-2.5, 1e13], 1e9),
+        ):
+            df = spark.createDataFrame([(t,) for t in terms], "x double").repartition(4)
+            want = sum(np.floor(t * scale + 0.5) for t in terms if t is not None) / scale
+            assert df.agg(exact_sum(F.col("x"), scale)).first()[0] == pytest.approx(want, rel=1e-15)
+        empty = spark.createDataFrame([(None,)], "x double")
+        assert empty.agg(exact_sum(F.col("x"))).first()[0] is None
+        for bad in ([1e17], [float("inf")], [float("nan")], [1e15] * 4):
+            df = spark.createDataFrame([(t,) for t in bad], "x double")
+            with pytest.raises(Exception, match="range"):
+                df.agg(exact_sum(F.col("x"))).collect()
+        values = spark.createDataFrame([(1e13,), (-1e13,), (1.23456789,), (9.1e9,), (None,)], "x double")
+        assert [r[0] for r in values.select(round6(F.col("x"))).collect()] == [1e13, -1e13, 1.234568, 9.1e9, None]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_exact_sum_does_not_depend_on_order(spark):
+    rng = random.Random(8)
+    data = [(i % 7, rng.uniform(-1e6, 1e6)) for i in range(4000)]
+    results = set()
+    for parts in (1, 3, 16):
+        df = spark.createDataFrame(data, "g int, x double").repartition(parts)
+        results.add(tuple(rows(df.groupBy("g").agg(exact_sum(F.col("x")).alias("s")))))
+    assert len(results) == 1
