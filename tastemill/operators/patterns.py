@@ -74,12 +74,21 @@ def fp_growth(items: DataFrame, min_support: float, min_confidence: float) -> FP
     # Support is a share of all baskets, including those left without a frequent item.
     every = items.select("basket").distinct().count()
     kept = max(1, baskets.count())
-    share = min_support * every / kept
+    # Half a basket under the smallest count that passes, so that no rounding moves the bar.
+    share = (_smallest_count(min_support, every) - 0.5) / kept
     return FPGrowth(
-        itemsCol="items", minSupport=min(1.0, share), minConfidence=min_confidence
+        itemsCol="items", minSupport=min(1.0, max(0.0, share)), minConfidence=min_confidence
     ).fit(baskets)
 
 
+def _smallest_count(min_support: float, total: int) -> int:
+    """Smallest count whose share of ``total`` reaches the bar, by the comparison frequent items use."""
+    count = max(1, int(min_support * total) - 1)
+    while total and count / total < min_support:
+        count += 1
+    return count
+
+
 def apply_rules(items: DataFrame, rules: DataFrame, n: int) -> DataFrame:
     """Best n consequents per basket whose whole antecedent lies in it, not already there.
 
