@@ -24,58 +24,57 @@ def pagerank_items(prefs: DataFrame, damping: float, iters: int) -> DataFrame:
     """Rank of the items after ``iters`` rounds on the undirected user-item graph.
 
     Ranks average 1 over all nodes (they are the usual ones times the node
-    count), so they keep their digits on large graphs. The two sides alternate,
-    so a round is one join and one aggregate per side.
+    count), so they keep their digits on large graphs. A round is one join and
+    one aggregate. ``iters`` is at least 1.
     """
     edges = _edges(prefs)
-    users = edges.select("user").distinct().withColumn("rank_u", F.lit(1.0))
-    items = edges.select("item").distinct().withColumn("rank_i", F.lit(1.0))
-    for _ in range(iters):
-        to_items = (
-            edges.join(users, "user")
-            .groupBy("item")
-            .agg(exact_sum(F.col("rank_u") / F.col("n_u")).alias("_in"))
-            .select("item", round6((1.0 - damping) + damping * F.col("_in")).alias("rank_i"))
+    # Items of a round need the users of the round before only, and these the items of the one before that:
+    # a single chain of sides leads to the last round's items.
+    sides = ["item" if (iters - step) % 2 == 0 else "user" for step in range(iters + 1)]
+    ranks = edges.select(sides[0]).distinct().withColumn("rank", F.lit(1.0))
+    for source, target in zip(sides, sides[1:]):
+        flow = F.col("rank") / F.col("n_u" if source == "user" else "n_i")
+        ranks = write_stage(
+            edges.join(ranks, source)
+            .groupBy(target)
+            .agg(exact_sum(flow).alias("_in"))
+            .select(target, round6((1.0 - damping) + damping * F.col("_in")).alias("rank")),
+            "rank",
         )
-        to_users = (
-            edges.join(items, "item")
-            .groupBy("user")
-            .agg(exact_sum(F.col("rank_i") / F.col("n_i")).alias("_in"))
-            .select("user", round6((1.0 - damping) + damping * F.col("_in")).alias("rank_u"))
-        )
-        items, users = write_stage(to_items, "rank"), write_stage(to_users, "rank")
-    return items.select("item", F.col("rank_i").alias("score"))
+    return ranks.select("item", F.col("rank").alias("score"))
 
 
 def personal_rank(prefs: DataFrame, seeds: DataFrame, damping: float, iters: int, n: int) -> DataFrame:
     """Best n unseen items per seed user by a walk that restarts at the seed.
 
-    The state is keyed by (seed, node) and never cut between rounds.
+    The state is keyed by (seed, node) and never cut between rounds; ``iters`` is at least 1.
     """
     require(seeds, "user")
     edges = _edges(prefs)
     scale = 1e12
     start = seeds.select(F.col("user").alias("seed"), "user").distinct()
     start = write_stage(start.join(edges.select("user").distinct(), "user", "left_semi"), "seeds")
-    users = start.withColumn("mass_u", F.lit(1.0))
-    items = None
-    for _ in range(iters):
-        to_items = (
-            users.join(edges, "user")
-            .groupBy("seed", "item")
-            .agg((damping * exact_sum(F.col("mass_u") / F.col("n_u"), scale)).alias("mass_i"))
-        )
-        back = start.withColumn("mass_u", F.lit(1.0 - damping))
-        if items is not None:
+    # As in pagerank_items, only one side of each round leads to the result. With an even number of rounds
+    # the chain begins after the first one, where the users hold what restarts at the seeds.
+    users = start.withColumn("mass_u", F.lit(1.0 if iters % 2 else 1.0 - damping))
+    for step in range(iters - 1 + iters % 2):
+        if step % 2 == 0:
+            items = write_stage(
+                users.join(edges, "user")
+                .groupBy("seed", "item")
+                .agg((damping * exact_sum(F.col("mass_u") / F.col("n_u"), scale)).alias("mass_i")),
+                "mass",
+            )
+        else:
             walked = (
                 items.join(edges, "item")
                 .groupBy("seed", "user")
                 .agg((damping * exact_sum(F.col("mass_i") / F.col("n_i"), scale)).alias("mass_u"))
             )
-            back = back.unionByName(walked).groupBy("seed", "user").agg(
-                exact_sum(F.col("mass_u"), scale).alias("mass_u")
+            back = start.withColumn("mass_u", F.lit(1.0 - damping)).unionByName(walked)
+            users = write_stage(
+                back.groupBy("seed", "user").agg(exact_sum(F.col("mass_u"), scale).alias("mass_u")), "mass"
             )
-        items, users = write_stage(to_items, "mass"), write_stage(back, "mass")
     seen = edges.select(F.col("user").alias("seed"), "item")
     fresh = items.join(seen, ["seed", "item"], "left_anti").select(
         F.col("seed").alias("user"), "item", F.floor(F.col("mass_i") * 1e9 + 0.5).alias("score_e9")
