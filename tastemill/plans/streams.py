@@ -13,13 +13,31 @@ from tastemill.streaming import jobs
 RATE = 0.1
 
 
-def _events(s, d):
-    # A file source takes folders or patterns; the braces make a pattern of the one name.
-    return jobs.read_events(s, f"{d.rstrip('/')}/{{events.parquet}}")
+PARTS = 3
 
 
-def _actions(s, d):
-    return jobs.stream_interactions(_events(s, d))
+class _Feed:
+    """The event table arriving in three parts by time, each one run of a job.
+
+    ``repeats`` sends every third event twice; ``stragglers`` holds every 50th back for one part.
+    """
+
+    def __init__(self, s, d, repeats=False, stragglers=False):
+        events = c.table(s, d, "events")
+        us = F.unix_micros(F.col("ts").cast("timestamp"))
+        low, high = events.agg(F.min(us)).scalar(), events.agg(F.max(us)).scalar()
+        part = F.floor((us - low) * PARTS / (high - low + 1))
+        if stragglers:
+            part = F.least(part + F.when(F.col("event_id") % 50 == 0, 1).otherwise(0), F.lit(PARTS - 1))
+        if repeats:
+            again = F.when(F.col("event_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+            events = events.withColumn("_again", F.explode(again)).drop("_again")
+        path, self.arrivals = jobs.arriving(s, [events.filter(part == i) for i in range(PARTS)], "feed")
+        self.events = jobs.read_events(s, path)
+        self.actions = jobs.stream_interactions(self.events)
+
+    def table(self, stream, label, mode="append"):
+        return jobs.run_to_table(stream, label, mode, self.arrivals)
 
 
 def _plain(table, *columns):
@@ -31,40 +49,43 @@ def _plain(table, *columns):
 
 def _popular(size, slide):
     def run(s, d):
-        counts = jobs.stream_popular(_actions(s, d), size, slide, "1 hour")
-        return _plain(jobs.run_to_table(counts, "popular"), "window_start", "window_end")
+        feed = _Feed(s, d)
+        counts = jobs.stream_popular(feed.actions, size, slide, "1 hour")
+        return _plain(feed.table(counts, "popular"), "window_start", "window_end")
 
     return run
 
 
 def _sessions(s, d):
-    events = _events(s, d).withColumnRenamed("user_id", "user")
-    found = jobs.run_to_table(jobs.stream_sessions(events, "12 hours", "1 hour"), "sessions")
+    feed = _Feed(s, d)
+    events = feed.events.withColumnRenamed("user_id", "user")
+    found = feed.table(jobs.stream_sessions(events, "12 hours", "1 hour"), "sessions")
     return _plain(found, "session_start", "session_end")
 
 
 def _deduped(s, d):
-    kept = jobs.stream_dedupe(_actions(s, d), ["user", "item"], "1 hour")
-    return jobs.run_to_table(kept.select("user", "item"), "dedupe")
+    feed = _Feed(s, d, repeats=True)
+    kept = jobs.stream_dedupe(feed.actions, ["event_id"], "1 hour")
+    return feed.table(kept.select("event_id", "user", "item"), "dedupe")
 
 
 def _attributed(how):
     def run(s, d):
+        feed = _Feed(s, d)
+
         def of(kind):
-            return (
-                _events(s, d)
-                .filter(F.col("event_type") == kind)
-                .select(F.col("user_id").alias("user"), "ts", "event_id")
-            )
+            rows = feed.events.filter(F.col("event_type") == kind)
+            return rows.select(F.col("user_id").alias("user"), "ts", "event_id")
 
         joined = jobs.attribute(of("view"), of("purchase"), "6 HOURS", "1 hour", how)
-        return _plain(jobs.run_to_table(joined, "attribute"), "view_ts", "buy_ts")
+        return _plain(feed.table(joined, "attribute"), "view_ts", "buy_ts")
 
     return run
 
 
 def _profile(s, d):
-    partials = jobs.run_to_table(jobs.stream_profile(_actions(s, d), RATE), "profile", "update")
+    feed = _Feed(s, d)
+    partials = feed.table(jobs.stream_profile(feed.actions, RATE), "profile", "update")
     return jobs.merge_profiles(partials, RATE)
 
 
@@ -73,7 +94,18 @@ def _near(s, d):
 
 
 def _scored(s, d):
-    return jobs.run_to_table(jobs.stream_score(_actions(s, d), _near(s, d), 3), "score")
+    feed = _Feed(s, d)
+    return feed.table(jobs.stream_score(feed.actions, _near(s, d), 3), "score")
+
+
+def _cooccur(s, d):
+    feed = _Feed(s, d)
+    return jobs.stream_cooccur(feed.actions, stage_path(s, "cooccur"), feed.arrivals)
+
+
+def _late(s, d):
+    feed = _Feed(s, d, stragglers=True)
+    return jobs.late_report(feed.events, stage_path(s, "late"), 3600, feed.arrivals)
 
 
 QUERIES = {
@@ -84,9 +116,9 @@ QUERIES = {
     "stream_attribute": _attributed("inner"),
     "stream_attribute_outer": _attributed("left_outer"),
     "stream_profile": _profile,
-    "stream_cooccur": lambda s, d: jobs.stream_cooccur(_actions(s, d), stage_path(s, "cooccur")),
+    "stream_cooccur": _cooccur,
     "stream_score": _scored,
-    "stream_late_report": lambda s, d: jobs.late_report(_events(s, d), stage_path(s, "late"), 3600),
+    "stream_late_report": _late,
 }
 
 # A window counts once the newest event time minus the allowance has passed its end.
@@ -125,5 +157,10 @@ ORACLE = {
     "stream_score": f"""WITH {c.EVI}, pref AS MATERIALIZED (SELECT DISTINCT u, i FROM evi), {c.PAIRS},
         sim AS (SELECT a, b, k, {c.r6('k / sqrt(CAST(n_a AS DOUBLE) * n_b)')} AS score FROM sized), {c.near_sql('sim', 10)}
         SELECT event_id, u AS "user", i AS item, b AS next, score, rank FROM evi JOIN near ON near.a = evi.i WHERE rank <= 3""",
-    "stream_dedupe": f'WITH {c.EVI} SELECT DISTINCT u AS "user", i AS item FROM evi',
+    "stream_dedupe": f'WITH {c.EVI} SELECT event_id, u AS "user", i AS item FROM evi',
+    "stream_late_report": f"""WITH t AS (SELECT event_id, epoch_us(ts) AS us, min(epoch_us(ts)) OVER () AS low, max(epoch_us(ts)) OVER () AS high FROM events),
+        p AS (SELECT us, least(CAST(floor((us - low) * {PARTS} / (high - low + 1)) AS BIGINT) + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END, {PARTS - 1}) AS batch FROM t),
+        m AS (SELECT batch, max(us) AS newest FROM p GROUP BY 1),
+        e AS (SELECT batch, newest, max(newest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3600000000 AS lim FROM m)
+        SELECT count(*) AS rows, count(*) FILTER (us < lim) AS late, any_value(newest) AS newest_us, batch FROM p JOIN e USING (batch) GROUP BY batch""",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -34,8 +34,22 @@ def _finish(writer: DataStreamWriter, checkpoint: str) -> None:
         raise query.exception()
 
 
-def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
-    """Run over what is there now and read the result back.
+#: What to do before each run over a source; a single run over what is there has one empty step.
+Arrivals = Sequence[Callable[[], None]]
+_AT_ONCE: Arrivals = (lambda: None,)
+
+
+def _run(writer: DataStreamWriter, checkpoint: str, arrivals: Arrivals) -> None:
+    """Each step's rows are one run of the job, which goes on from its checkpoint."""
+    for arrive in arrivals:
+        arrive()
+        _finish(writer, checkpoint)
+
+
+def run_to_table(
+    stream: DataFrame, label: str, mode: str = "append", arrivals: Arrivals = _AT_ONCE
+) -> DataFrame:
+    """Run over what is there, or over what arrives step by step, and read the result back.
 
     Append results go to the exactly-once parquet sink, update results to one
     folder per batch; nothing is held on the driver.
@@ -43,16 +57,28 @@ def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFra
     spark = stream.sparkSession
     out, checkpoint = stage_path(spark, label), stage_path(spark, f"{label}-state")
     if mode == "append":
-        _finish(stream.writeStream.outputMode("append").format("parquet").option("path", out), checkpoint)
+        writer = stream.writeStream.outputMode("append").format("parquet").option("path", out)
+        _run(writer, checkpoint, arrivals)
         return spark.read.schema(stream.schema).parquet(out)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    _finish(stream.writeStream.outputMode(mode).foreachBatch(save), checkpoint)
+    _run(stream.writeStream.outputMode(mode).foreachBatch(save), checkpoint, arrivals)
     return spark.read.option("basePath", out).parquet(out)
 
 
+def arriving(spark: SparkSession, parts: Sequence[DataFrame], label: str) -> tuple[str, Arrivals]:
+    """A folder that begins empty, and the steps that add one of ``parts`` after the other to it."""
+    path = stage_path(spark, label)
+    parts[0].limit(0).write.parquet(path)
+
+    def step(part: DataFrame) -> Callable[[], None]:
+        return lambda: part.write.mode("append").parquet(path)
+
+    return path, [step(p) for p in parts]
+
+
 def stream_popular(interactions: DataFrame, size: str, slide: str | None, late: str) -> DataFrame:
     """Actions per item and event-time window; a window appears once it is closed."""
     require(interactions, "ts", "item")
@@ -95,9 +121,7 @@ def attribute(
     right = purchases.select(
         F.col("user").alias("buyer"), F.col("ts").alias("buy_ts"), F.col("event_id").alias("buy_id")
     )
-    reach = F.expr(
-        f"user = buyer AND buy_ts >= view_ts AND buy_ts <= view_ts + INTERVAL {within}"
-    )
+    reach = F.expr(f"user = buyer AND buy_ts >= view_ts AND buy_ts <= view_ts + INTERVAL {within}")
     joined = left.withWatermark("view_ts", late).join(right.withWatermark("buy_ts", late), reach, how)
     return joined.select("user", "view_id", "view_ts", "buy_id", "buy_ts")
 
@@ -203,11 +227,11 @@ def cooccur_batch(store: str) -> Callable[[DataFrame, int], None]:
     return update
 
 
-def stream_cooccur(interactions: DataFrame, store: str) -> DataFrame:
+def stream_cooccur(interactions: DataFrame, store: str, arrivals: Arrivals = _AT_ONCE) -> DataFrame:
     """Keeps co-occurrence counts up to date in ``store``; returns the totals so far."""
     spark = interactions.sparkSession
     _open_store(spark, f"{store}/owned", _OWNED)
-    _finish(interactions.writeStream.foreachBatch(cooccur_batch(store)), f"{store}/checkpoint")
+    _run(interactions.writeStream.foreachBatch(cooccur_batch(store)), f"{store}/checkpoint", arrivals)
     rows = spark.read.schema("a bigint, b bigint, k bigint, batch bigint").parquet(f"{store}/pairs")
     return rows.groupBy("a", "b").agg(F.sum("k").alias("k"))
 
@@ -247,11 +271,13 @@ def late_batch(store: str, late_seconds: int) -> Callable[[DataFrame, int], None
     return report
 
 
-def late_report(events: DataFrame, store: str, late_seconds: int) -> DataFrame:
+def late_report(
+    events: DataFrame, store: str, late_seconds: int, arrivals: Arrivals = _AT_ONCE
+) -> DataFrame:
     """Late rows per batch, counted apart from the jobs that drop them."""
     spark = events.sparkSession
     _open_store(spark, f"{store}/report", _REPORT)
-    _finish(events.writeStream.foreachBatch(late_batch(store, late_seconds)), f"{store}/checkpoint")
+    _run(events.writeStream.foreachBatch(late_batch(store, late_seconds)), f"{store}/checkpoint", arrivals)
     rows = spark.read.schema(f"{_REPORT}, batch bigint").parquet(f"{store}/report")
     return rows.filter(F.col("batch") >= 0)
 
