@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     FMClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import FeatureHasher, MinMaxScaler, OneHotEncoder, VectorAssembler
@@ -17,7 +19,7 @@ from pyspark.ml.regression import FMRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.functions.exact import exact_sum, hash_int, require, round6, wide_sum
+from tastemill.functions.exact import exact_sum, hash_int, require, round6
 from tastemill.functions.ordered import OrderedSplit
 from tastemill.sources.tables import EVENT_WEIGHTS
 
@@ -29,7 +31,7 @@ def _activity(lines: DataFrame, key: str, other: str, as_of: str) -> DataFrame:
         .agg(
             F.datediff(F.lit(as_of).cast("date"), F.max("ts")).cast("bigint").alias("recency"),
             F.countDistinct("basket").alias("frequency"),
-            wide_sum(spend, 1e4).alias("spend"),
+            exact_sum(spend, 1e4).alias("spend"),
             F.countDistinct(other).alias("breadth"),
             round6(F.count_if(F.col("flag") == "R") / F.count(F.lit(1))).alias("return_rate"),
         )
@@ -156,6 +158,25 @@ def hash_features(
     return hasher.transform(rows).drop(*names)
 
 
+def hashed_rows(
+    examples: DataFrame, columns: Sequence[str], crosses: Sequence[Sequence[str]], dim: int
+) -> DataFrame:
+    """The same idea as long rows (example_id, idx, value), with a hash any engine can repeat.
+
+    A value above 1 shows features of one example that fell into the same place. Nulls are left out.
+    """
+    require(examples, "example_id")
+    places = []
+    for names in [[c] for c in columns] + [list(x) for x in crosses]:
+        present = F.lit(True)
+        for c in names:
+            present = present & F.col(c).isNotNull()
+        place = F.pmod(hash_int(F.lit("_".join(names)), *[F.col(c) for c in names]), F.lit(dim))
+        places.append(F.when(present, place))
+    rows = examples.select("example_id", F.explode(F.array_compact(F.array(*places))).alias("idx"))
+    return rows.groupBy("example_id", "idx").agg(F.count(F.lit(1)).cast("double").alias("value"))
+
+
 def assemble(examples: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(examples)
 
@@ -172,10 +193,12 @@ def factorisation_machine(examples: DataFrame, rank: int, seed: int, regress: bo
     return Pipeline(stages=[scale, machine]).fit(examples)
 
 
-def tree_rankers(examples: DataFrame, seed: int) -> dict:
-    forest = RandomForestClassifier(numTrees=10, maxDepth=5, seed=seed)
-    boosted = GBTClassifier(maxIter=5, maxDepth=3, seed=seed)
-    return {"forest": forest.fit(examples), "boosted": boosted.fit(examples)}
+def forest_ranker(examples: DataFrame, seed: int) -> RandomForestClassificationModel:
+    return RandomForestClassifier(numTrees=10, maxDepth=5, seed=seed).fit(examples)
+
+
+def boosted_ranker(examples: DataFrame, seed: int) -> GBTClassificationModel:
+    return GBTClassifier(maxIter=5, maxDepth=3, seed=seed).fit(examples)
 
 
 class GbtLr:

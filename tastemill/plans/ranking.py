@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tastemill.functions.exact import hash_int
 from tastemill.operators import ranking as rk
 from tastemill.plans import common as c
+from tastemill.session import write_stage
 
 AS_OF = "2001-08-01"
 WEEK = 7 * 86400
@@ -40,24 +41,31 @@ def training(s, d):
     return rk.assemble(rows, FEATURES).select("example_id", "label", "features")
 
 
+def _held_out():
+    """A fifth of the examples, which no ranker is fitted on."""
+    return F.pmod(hash_int(F.lit("held-out"), F.col("example_id")), F.lit(5)) == 0
+
+
 def _fit(make):
+    """Every example scored by a model of the others' folds, with a mark on the rows it has not seen."""
+
     def run(s, d):
-        rows = training(s, d)
-        return rk.scored(make(rows), rows)
+        rows = write_stage(training(s, d), "training")
+        model = make(rows.filter(~_held_out()))
+        return rk.scored(model, rows).withColumn("held_out", _held_out())
 
     return run
 
 
 def _hashed(s, d):
-    rows = rk.hash_features(examples(s, d), ["user", "item"], [["item", "hour"]], 4096)
-    present = F.transform(vector_to_array("features"), lambda x: F.when(x != 0, 1).otherwise(0))
-    return rows.select("example_id", F.aggregate(present, F.lit(0), lambda a, b: a + b).alias("non_zero"))
+    return rk.hashed_rows(examples(s, d), ["user", "item"], [["item", "hour"]], 4096)
 
 
 def _regressor(s, d):
-    rows = training(s, d)
-    model = rk.factorisation_machine(rows, 4, 3, regress=True)
-    return model.transform(rows).select("example_id", "label", F.col("prediction").alias("score"))
+    rows = write_stage(training(s, d), "training")
+    model = rk.factorisation_machine(rows.filter(~_held_out()), 4, 3, regress=True)
+    scores = model.transform(rows).select("example_id", "label", F.col("prediction").alias("score"))
+    return scores.withColumn("held_out", _held_out())
 
 
 QUERIES = {
@@ -69,8 +77,8 @@ QUERIES = {
     "logistic_ctr": _fit(rk.logistic_ctr),
     "factorisation_machine": _fit(lambda r: rk.factorisation_machine(r, 4, 3)),
     "factorisation_regressor": _regressor,
-    "random_forest_ranker": _fit(lambda r: rk.tree_rankers(r, 3)["forest"]),
-    "boosted_tree_ranker": _fit(lambda r: rk.tree_rankers(r, 3)["boosted"]),
+    "random_forest_ranker": _fit(lambda r: rk.forest_ranker(r, 3)),
+    "boosted_tree_ranker": _fit(lambda r: rk.boosted_ranker(r, 3)),
     "gbt_plus_lr": _fit(lambda r: rk.gbt_plus_lr(r, 3)),
     "calibration": lambda s, d: rk.calibration(label_scores(s, d), 20),
     "calibration_equal_size": lambda s, d: rk.calibration(label_scores(s, d), 10, True),
@@ -103,6 +111,10 @@ ORACLE = {
     "point_in_time": f"""WITH ev AS (SELECT event_id, event_type, count(*) OVER (PARTITION BY user_id ORDER BY epoch_us(ts)
           RANGE BETWEEN {WEEK * 1_000_000} PRECEDING AND 1 PRECEDING) AS seen FROM events)
         SELECT event_id AS example_id, seen FROM ev WHERE event_type IN ('view', 'click', 'purchase')""",
+    "hash_features": f"""WITH ex AS (SELECT event_id, user_id AS u, CAST(json_extract_string(props, '$.k') AS BIGINT) AS i, hour(ts) AS h
+          FROM events WHERE event_type IN ('view', 'click', 'purchase')),
+        p AS (SELECT event_id, unnest([{c.hash_int("'user'", 'u')}, {c.hash_int("'item'", 'i')}, {c.hash_int("'item_hour'", 'i', 'h')}]) % 4096 AS idx FROM ex)
+        SELECT event_id AS example_id, idx, CAST(count(*) AS DOUBLE) AS value FROM p GROUP BY 1, 2""",
     "target_encode": f'WITH {ENCODED} SELECT example_id, u AS "user", i AS item, label, score AS encoded FROM scored',
     "calibration": f"WITH {ENCODED}, b AS (SELECT CAST(least(floor(score * 20), 19) AS BIGINT) AS bin, score, label FROM scored) {_BINS}",
     "calibration_equal_size": f"WITH {ENCODED}, b AS (SELECT ntile(10) OVER (ORDER BY score, example_id) - 1 AS bin, score, label FROM scored) {_BINS}",

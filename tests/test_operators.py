@@ -169,6 +169,17 @@ def test_prefix_span_equals_the_ml_one(spark, many_parts):
     assert got == expected
 
 
+def test_fp_growth_keeps_sets_at_exactly_the_bar(spark):
+    data = [(b, i) for b in range(7) for i in (1, 2)] + [(b, 9) for b in range(25)]
+    data += [(b, 100 + b) for b in range(70)]
+    items = spark.createDataFrame(data, "basket bigint, item bigint")
+    sets = {tuple(sorted(r["items"])): r["freq"] for r in patterns.fp_growth(items, 0.1, 0.1).freqItemsets.collect()}
+    assert sets[(1, 2)] == 7 and sets[(9,)] == 25
+    assert {(r["a"], r["b"]): r["k"] for r in patterns.frequent_pairs(items, 0.1).collect()} == {
+        s: f for s, f in sets.items() if len(s) == 2
+    }
+
+
 def test_fp_growth_agrees_with_pairs(spark, tastes):
     items = tastes.select(F.col("user").alias("basket"), "item")
     sets = patterns.fp_growth(items, 0.2, 0.1).freqItemsets.collect()
@@ -294,10 +305,12 @@ def test_hashed_features_and_models(spark):
     hashed = ranking.hash_features(examples, ["c"], [["c", "example_id"]], 64)
     assert all(1 <= r["features"].numNonzeros() <= 2 for r in hashed.collect())
     ready = ranking.assemble(examples, ["x", "y"]).cache()
-    trees = ranking.tree_rankers(ready, 1)
-    models = [ranking.logistic_ctr(ready), trees["forest"], trees["boosted"], ranking.gbt_plus_lr(ready, 1)]
-    for model in models:
-        scored = ranking.scored(model, ready)
+    long = ranking.hashed_rows(examples, ["c"], [["c", "example_id"]], 64).collect()
+    assert all(0 <= r["idx"] < 64 for r in long) and sum(r["value"] for r in long) == 2 * len(data)
+    taught, unseen = ready.filter("example_id % 4 <> 0"), ready.filter("example_id % 4 = 0")
+    fits = (ranking.logistic_ctr, lambda x: ranking.forest_ranker(x, 1), lambda x: ranking.boosted_ranker(x, 1))
+    for fit in (*fits, lambda x: ranking.gbt_plus_lr(x, 1)):
+        scored = ranking.scored(fit(taught), unseen)
         assert scored.filter("score < 0 or score > 1").count() == 0
         assert metrics.auc(scored).first()["auc"] > 0.9
     assert metrics.auc(ranking.scored(ranking.factorisation_machine(ready, 2, 1), ready)).first()["auc"] > 0.8
