@@ -18,16 +18,19 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from math import erf
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.functions.ordered import OrderedSplit
+from tastemill.llm.bpe import byte_letters
 from tastemill.llm.common import default_vocabulary, numbered, slices, text_or_empty
 
 SEQUENCE = 2048
@@ -39,7 +42,9 @@ CACHE, CACHE_CHARS = 1 << 19, 32
 
 #: Latin texts without control characters that Python's ``split`` takes for white space: there the tokenizer
 #: reads words one by one, and lower case needs no further composing. Other texts go to it whole.
-_PLAIN = re.compile("[\x00-\x1b\x20-\x84\x86-\x9f\xa1-įı-ɏ]*")
+_PLAIN = re.compile("[\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u012f\u0131-\u024f]*")
+#: What the vocabulary's model is given at a time (fixed value, part of the vocabulary's definition).
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordIds:
@@ -52,36 +57,49 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.split = regex.compile(PIECES)
+        self.letter_of = {byte: letter for letter, byte in byte_letters().items()}
         self.cache: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> bool:
         return _PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        steady = piece.isascii() and piece.isprintable()  # these bytes stand for themselves
+        shown = piece if steady else "".join([self.letter_of[b] for b in piece.encode()])
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: str) -> bytes:
+        """A word that is not remembered; its pieces may be, since a piece of letters is also a word."""
+        if word.isalpha():
+            ids = self._piece(word)
+        else:
+            ids = b"".join([self.cache.get(p) or self._kept(p, self._piece(p)) for p in self.split.findall(word)])
+        return self._kept(word, ids)
+
+    def _kept(self, word: str, ids: bytes) -> bytes:
+        if len(word) <= CACHE_CHARS:
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            self.cache[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = [b""] * len(texts)
-        cache = self.cache
-        if len(cache) >= CACHE:
-            cache.clear()
-        for i, text in enumerate(texts):
-            if not self._plain(text):
-                out[i] = self._whole([text])[0]
-                continue
-            words = text.lower().split()
-            try:
-                out[i] = b"".join(map(cache.__getitem__, words))
-            except KeyError:
-                new = list({w for w in words if w not in cache})
-                made = dict(zip(new, self._whole(new)))
-                known = cache.get
-                out[i] = b"".join([known(w) or made.get(w, b"") for w in words])
-                cache.update((w, ids) for w, ids in made.items() if len(w) <= CACHE_CHARS)
-        return out
+        if not self._plain(text):
+            return self._whole(text)
+        words = text.lower().split()
+        try:
+            return b"".join(map(self.cache.__getitem__, words))
+        except KeyError:
+            return b"".join([self.cache.get(w) or self._word(w) for w in words])
 
 
 _loaded: dict[str, WordIds] = {}
@@ -154,7 +172,7 @@ def tokenised(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabula
         width = _width(path)
         end = np.uint32(END).tobytes()
         for part in slices(batches):
-            ids = [np.frombuffer(i + end, dtype="<u4") for i in words.encode(part.column(1).to_pylist())]
+            ids = [np.frombuffer(i + end, dtype="<u4") for i in map(words.encode, part.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),

@@ -27,7 +27,7 @@ def test_ids_equal_the_tokenizer(tokenizer):
     texts += [f"a{chr(c)}b {chr(c)}1" for c in range(0x3000) if not 0xD800 <= c < 0xE000]
     words = packing.word_ids(default_vocabulary("word_bpe_49k.json"))
     for text, known in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
-        assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == known.ids, repr(text)
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == known.ids, repr(text)
 
 
 def test_hilbert_curve_steps_to_neighbours():
