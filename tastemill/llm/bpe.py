@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 from collections.abc import Iterator
 
 import ahocorasick
@@ -33,7 +34,7 @@ PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 #: Latin, Greek and Cyrillic letters, general punctuation up to U+205E, kana, common ideographs, Hangul.
 _STEADY = regex.compile("[\u0000-ԯ -⁞ぁ-ゖァ-ヺ一-龥가-힣]*")
 #: Pieces remembered by a worker, and their largest length.
-CACHE, CACHE_CHARS = 1 << 18, 48
+CACHE, CACHE_CHARS = 1 << 19, 48
 
 
 def byte_letters() -> dict[str, int]:
@@ -76,7 +77,7 @@ class BytePairs:
         whole = [t for t in self.id_of if self._reachable(self.id_of[t])]
         self.longest = ahocorasick.Automaton()
         for token in whole:
-            self.longest.add_word(token.decode("latin-1"), self.id_of[token])
+            self.longest.add_word(token.decode("latin-1"), (len(token) - 1, self.id_of[token]))
         self.longest.make_automaton()
         known = set(whole)
         self.shorter = [-1] * size
@@ -87,7 +88,8 @@ class BytePairs:
                     break
         self.compatible: dict[tuple[int, int], bool] = {}
 
-        lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        self.size_of = [len(b) for b in self.bytes_of]
+        lengths = np.array(self.size_of, dtype=np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(lengths)])
         self.blob = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
         self.split = regex.compile(PIECES)
@@ -125,37 +127,41 @@ class BytePairs:
                 return True
 
     def fits(self, a: int, b: int) -> bool:
-        """The pair table, filled as pairs are met; the merges decide it once and for all."""
-        key = (a, b)
-        known = self.compatible.get(key)
-        if known is None:
-            if len(self.compatible) >= CACHE:
-                self.compatible.clear()
-            known = self.compatible[key] = self._side_by_side(a, b, len(self.parts) + 1)
-        return known
+        """An entry of the pair table, filled as pairs are met; the merges decide it once and for all."""
+        if len(self.compatible) >= CACHE:
+            self.compatible.clear()
+        fit = self.compatible[a, b] = self._side_by_side(a, b, len(self.parts) + 1)
+        return fit
 
     def encode_bytes(self, data: bytes) -> list[int]:
         """Ids of one piece; linear in its length."""
         if data in self.id_of and self.longest.get(data.decode("latin-1"), None) is not None:
             return [self.id_of[data]]
         at = self._longest_at(data)
-        open_end = bytearray(b"\x01") * (len(data) + 1)
+        shorter, size_of, fits, known = self.shorter, self.size_of, self.fits, self.compatible
+        end_of = len(data)
+        open_end = bytearray(b"\x01") * (end_of + 1)
         ids: list[int] = []
-        pos, token, end_of = 0, at[0], len(data)
+        pos, token, last = 0, at[0], -1
         while pos < end_of:
             while token >= 0:
-                end = pos + len(self.bytes_of[token])
-                if open_end[end] and (not ids or self.fits(ids[-1], token)):
-                    break
-                token = self.shorter[token]
+                end = pos + size_of[token]
+                if open_end[end]:
+                    if last < 0:
+                        break
+                    fit = known.get((last, token))
+                    if fit if fit is not None else fits(last, token):
+                        break
+                token = shorter[token]
             if token >= 0:
                 ids.append(token)
-                pos = end
+                pos, last = end, token
                 token = at[pos] if pos < end_of else -1
             else:
                 open_end[pos] = 0
                 token = ids.pop()
-                pos -= len(self.bytes_of[token])
+                pos -= size_of[token]
+                last = ids[-1] if ids else -1
         return ids
 
     def _longest_at(self, data: bytes) -> list[int]:
@@ -164,12 +170,13 @@ class BytePairs:
         ``iter`` gives every match by its end; the last one kept for a start is the longest.
         """
         at = [-1] * len(data)
-        for end, token in self.longest.iter(data.decode("latin-1")):
-            at[end + 1 - len(self.bytes_of[token])] = token
+        for end, (back, token) in self.longest.iter(data.decode("latin-1")):
+            at[end - back] = token
         return at
 
     def _piece(self, piece: str) -> bytes:
-        ids = np.array(self.encode_bytes(piece.encode()), dtype="<u4").tobytes()
+        found = self.encode_bytes(piece.encode())
+        ids = struct.pack(f"<{len(found)}I", *found)
         if len(piece) <= CACHE_CHARS:
             if len(self.cache) >= CACHE:
                 self.cache.clear()
