@@ -131,47 +131,52 @@ def sequences(events: DataFrame, chunk: int = 4096) -> DataFrame:
 def negative_sample(
     prefs: DataFrame, items: DataFrame, n: int, seed: int, bucket_items: int = 64
 ) -> DataFrame:
-    """``n`` unseen items per user, smallest hash first, from the user's bucket of items.
+    """``n`` unseen items per user with one ``rank``, smallest hash first, from the user's buckets of items.
 
-    Items are hashed into buckets of about ``bucket_items``; a user meets one
-    bucket only, so the join grows with users x bucket and never with
-    users x items. A user who has seen too much of a bucket goes on to the next
-    one, until n are found or no bucket is left.
+    Items are hashed into buckets of about ``bucket_items``; a user meets its
+    home bucket first, so the join grows with users x bucket and never with
+    users x items. A user who has seen too much of it goes on to the next 2, 4,
+    8... buckets, until n are found or all buckets are met: the rounds grow with
+    the logarithm of the catalogue. Within a round the smallest hashes win.
     """
     require(prefs, "user", "item")
     catalogue = items.select("item").distinct()
     buckets = max(1, catalogue.count() // bucket_items)
     salt = F.lit(seed)
-    catalogue = catalogue.withColumn("_bucket", F.pmod(hash_int(salt, F.col("item")), F.lit(buckets)))
+    bucket = F.pmod(hash_int(salt, F.col("item")), F.lit(buckets))
+    catalogue = write_stage(catalogue.withColumn("_bucket", bucket), "catalogue")
     users = prefs.select("user").distinct()
     home = F.pmod(hash_int(F.col("user"), salt), F.lit(buckets))
-    pending = users.select("user", home.alias("_home"), F.lit(n).alias("_need"))
+    pending = users.select("user", home.alias("_home"), F.lit(0).cast("int").alias("_have"))
     seen = prefs.select("user", "item")
-    found = None
-    for step in range(buckets):
+    found, first, step = None, 0, 0
+    while first < buckets:
+        last = min(2 * first, buckets - 1)
+        next_ones = F.explode(F.sequence(F.lit(first), F.lit(last)))
         draws = (
-            pending.withColumn("_bucket", F.pmod(F.col("_home") + step, F.lit(buckets)))
+            pending.withColumn("_next", next_ones)
+            .withColumn("_bucket", F.pmod(F.col("_home") + F.col("_next"), F.lit(buckets)))
             .join(catalogue, "_bucket")
             .join(seen, ["user", "item"], "left_anti")
             .withColumn("_hash", hash_int(F.col("user"), F.col("item"), salt))
         )
+        place = (F.col("_have") + F.col("rank")).cast("int")
         picked = (
             top_per(draws, ["user"], [F.col("_hash"), F.col("item")], n)
-            .filter(F.col("rank") <= F.col("_need"))
-            .select("user", "item", F.lit(step).alias("round"), F.col("rank").cast("int"))
+            .filter(place <= n)
+            .select("user", "item", F.lit(step).alias("round"), place.alias("rank"))
         )
         picked = write_stage(picked, "negatives")
         found = picked if found is None else found.unionByName(picked)
         got = picked.groupBy("user").agg(F.count(F.lit(1)).alias("_got"))
-        need = (F.col("_need") - F.coalesce(F.col("_got"), F.lit(0))).cast("int")
+        have = (F.col("_have") + F.coalesce(F.col("_got"), F.lit(0))).cast("int")
         pending = write_stage(
-            pending.join(got, "user", "left")
-            .select("user", "_home", need.alias("_need"))
-            .filter(F.col("_need") > 0),
+            pending.join(got, "user", "left").select("user", "_home", have.alias("_have")).filter(F.col("_have") < n),
             "pending",
         )
         if pending.isEmpty():
             break
+        first, step = last + 1, step + 1
     return found
 
 

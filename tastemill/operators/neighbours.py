@@ -218,6 +218,8 @@ def user_similarity(table: DataFrame, method: str, min_overlap: int = 1) -> Data
         return item_cosine_weighted(swapped)
     if method == "jaccard":
         return item_jaccard(swapped)
+    if method == "adjusted":
+        return item_adjusted_cosine(swapped)
     if method == "pearson":
         return item_pearson(swapped, min_overlap)
     raise ValueError(f"unknown method: {method}")
@@ -275,6 +277,13 @@ def slope_one(ratings: DataFrame, targets: DataFrame, deviations: DataFrame) ->
     return terms.groupBy("user", "item").agg(round6(top / F.sum("k")).alias("predicted"))
 
 
+def slope_one_top(ratings: DataFrame, candidates: DataFrame, deviations: DataFrame, n: int) -> DataFrame:
+    """The n candidates a user has not rated with the best slope-one prediction."""
+    fresh = drop_seen(candidates.select("user", "item").distinct(), ratings)
+    predicted = slope_one(ratings, fresh, deviations).withColumnRenamed("predicted", "score")
+    return top_n(predicted, n)
+
+
 def minhash_neighbours(prefs: DataFrame, tables: int, threshold: float, k: int) -> DataFrame:
     """The k nearest items found by min-hashing, with Jaccard at least ``threshold``.
 

@@ -79,7 +79,7 @@ def _clusters(s, d):
 
 def _in_cluster(s, d):
     vectors = _vectors(s, d)
-    return fa.nearest_in_cluster(vectors, fa.cluster_items(vectors, 8, 5), 10)
+    return fa.nearest_in_cluster(vectors, fa.cluster_items(vectors, fa.cluster_count(vectors), 5), 10, 4)
 
 
 QUERIES = {
@@ -90,7 +90,7 @@ QUERIES = {
     "content_recs": _content_recs,
     "nearest_exact": lambda s, d: fa.nearest_exact(_vectors(s, d), _vectors(s, d), 10),
     "nearest_in_cluster": _in_cluster,
-    "nearest_lsh": lambda s, d: fa.nearest_lsh(_vectors(s, d), 10, 2.0, 4, 1.3, 5),
+    "nearest_lsh": lambda s, d: fa.nearest_lsh(_vectors(s, d), 10, 0.2, 12, 1.3, 5, 6),
     "minhash_neighbours": lambda s, d: nb.minhash_neighbours(c.prefs(s, d), 16, 0.04, 10),
     "als_explicit": _als_explicit,
     "als_implicit": _als_implicit,

@@ -13,6 +13,7 @@ from tastemill.operators import baseline, interactions as prep, metrics as mt
 from tastemill.operators import neighbours as nb
 from tastemill.operators import postprocess as pp
 from tastemill.plans import common as c
+from tastemill.session import write_stage
 from tastemill.plans.neighbourhood import COSINE_NEAR, ITEM_CF_VOTES, top_votes
 from tastemill.plans.ranking import ENCODED, label_scores
 from tastemill.sources import tables
@@ -79,9 +80,14 @@ def _strong(s, d):
     return _all_votes(s, d).filter(F.col("score") >= 4.0)
 
 
+def _similarities(s, d):
+    """The training fold and its item cosines, written once: both are read several times."""
+    train = write_stage(_folds(s, d)[0], "train")
+    return train, write_stage(nb.item_cosine(train), "similarities")
+
+
 def _mmr(s, d):
-    train, _ = _folds(s, d)
-    sims = nb.item_cosine(train)
+    train, sims = _similarities(s, d)
     recs = nb.item_cf(train, nb.neighbours(sims, N), N)
     return pp.mmr(recs, mirrored(sims.select("a", "b", "score"), both=["score"]), 0.05, 4)
 
@@ -93,8 +99,7 @@ def _eligible(s, d):
 
 
 def _diversity(s, d):
-    train, _ = _folds(s, d)
-    sims = nb.item_cosine(train)
+    train, sims = _similarities(s, d)
     return mt.intra_list_diversity(nb.item_cf(train, nb.neighbours(sims, N), N), sims)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tastemill.functions.ranked import top_per
 from tastemill.operators import neighbours as nb
 from tastemill.plans import common as c
+from tastemill.session import write_stage
 
 TOP = 10
 
@@ -24,7 +25,9 @@ def item_cosine(s, d):
 
 
 def item_cf(s, d):
-    return nb.item_cf(c.prefs(s, d), item_cosine(s, d), TOP)
+    # Read by the pair job, the votes and the filter of seen items.
+    prefs = write_stage(c.prefs(s, d), "prefs")
+    return nb.item_cf(prefs, nb.neighbours(nb.item_cosine(prefs), TOP), TOP)
 
 
 def _conditional(s, d):
@@ -37,9 +40,11 @@ def _user_near(s, d):
 
 
 def _slope_one(s, d):
-    ratings = c.ratings(s, d)
-    best = ratings.groupBy("user").agg(F.min("item").alias("item"))
-    return nb.slope_one(ratings, best, nb.slope_one_deviations(ratings))
+    """Best unrated items among the neighbours of what a user rated."""
+    ratings, near = write_stage(c.ratings(s, d), "ratings"), item_cosine(s, d)
+    links = near.select(F.col("a").alias("item"), "b")
+    candidates = ratings.join(links, "item").select("user", F.col("b").alias("item"))
+    return nb.slope_one_top(ratings, candidates, nb.slope_one_deviations(ratings), TOP)
 
 
 QUERIES = {
@@ -58,6 +63,12 @@ QUERIES = {
     "user_similarity_weighted": lambda s, d: nb.neighbours(
         nb.user_similarity(c.prefs(s, d), "weighted"), TOP
     ),
+    "user_similarity_jaccard": lambda s, d: nb.neighbours(
+        nb.user_similarity(c.prefs(s, d), "jaccard"), TOP
+    ),
+    "user_similarity_adjusted": lambda s, d: nb.neighbours(
+        nb.user_similarity(c.ratings(s, d), "adjusted"), TOP
+    ),
     "user_similarity_pearson": lambda s, d: nb.neighbours(
         nb.user_similarity(c.ratings(s, d), "pearson", 3), TOP
     ),
@@ -102,6 +113,13 @@ v AS (SELECT a, b, k, k * sab - sa * sb AS cov, k * saa - sa * sa AS va, k * sbb
 sim AS (SELECT a, b, k, {c.r6('CASE WHEN va > 0 AND vb > 0 THEN cov / sqrt(va * vb) ELSE 0.0::DOUBLE END')} AS score FROM v)"""
 
 
+_ADJUSTED = f"""mean AS (SELECT u, {c.xsum('r', '1e6')} / count(*) AS mean FROM rating GROUP BY u),
+cen AS MATERIALIZED (SELECT u, i, r - mean AS c FROM rating JOIN mean USING (u)),
+m AS (SELECT x.i AS a, y.i AS b, count(*) AS k, {c.xsum('x.c * y.c')} AS ab, {c.xsum('x.c * x.c')} AS aa, {c.xsum('y.c * y.c')} AS bb
+  FROM cen x JOIN cen y ON x.u = y.u AND x.i < y.i GROUP BY 1, 2),
+sim AS (SELECT a, b, k, {c.r6('CASE WHEN sqrt(aa * bb) > 0 THEN ab / sqrt(aa * bb) ELSE 0.0::DOUBLE END')} AS score FROM m)"""
+
+
 _PREF_SWAPPED = f"{c.PREF.replace('pref AS MATERIALIZED', 'pref0 AS MATERIALIZED')}, pref AS MATERIALIZED (SELECT i AS u, u AS i, w FROM pref0)"
 _RATING_SWAPPED = f"{c.RATING.replace('rating AS MATERIALIZED', 'rating0 AS MATERIALIZED')}, rating AS MATERIALIZED (SELECT i AS u, u AS i, r FROM rating0)"
 _USER_PAIRS = f"""{c.PREF}, cnt AS MATERIALIZED (SELECT u, count(*) AS n FROM pref GROUP BY u),
@@ -127,12 +145,7 @@ ORACLE = {
     "item_cosine": _binary(_COSINE),
     "item_cosine_weighted": f"WITH {c.PREF}, {_WEIGHTED}, {c.near_sql('sim', TOP)} SELECT * FROM near",
     "item_jaccard": _binary("k / CAST(n_a + n_b - k AS DOUBLE)"),
-    "item_adjusted_cosine": f"""WITH {c.RATING}, mean AS (SELECT u, {c.xsum('r', '1e6')} / count(*) AS mean FROM rating GROUP BY u),
-        cen AS MATERIALIZED (SELECT u, i, r - mean AS c FROM rating JOIN mean USING (u)),
-        m AS (SELECT x.i AS a, y.i AS b, count(*) AS k, {c.xsum('x.c * y.c')} AS ab, {c.xsum('x.c * x.c')} AS aa, {c.xsum('y.c * y.c')} AS bb
-          FROM cen x JOIN cen y ON x.u = y.u AND x.i < y.i GROUP BY 1, 2),
-        sim AS (SELECT a, b, k, {c.r6('CASE WHEN sqrt(aa * bb) > 0 THEN ab / sqrt(aa * bb) ELSE 0.0::DOUBLE END')} AS score FROM m),
-        {c.near_sql('sim', TOP)} SELECT * FROM near""",
+    "item_adjusted_cosine": f"WITH {c.RATING}, {_ADJUSTED}, {c.near_sql('sim', TOP)} SELECT * FROM near",
     "item_pearson": f"WITH {c.RATING}, {_pearson(3)}, {c.near_sql('sim', TOP)} SELECT * FROM near",
     "item_lift": _binary(_LIFT),
     "item_pmi": _binary(f"ln({_LIFT})"),
@@ -148,13 +161,18 @@ ORACLE = {
         SELECT * FROM (SELECT *, {c.rank_int('a', 'score DESC, b')} AS rank FROM sim) WHERE rank <= {TOP}""",
     "user_similarity_cosine": f"WITH {_USER_PAIRS} SELECT * FROM near",
     "user_similarity_weighted": f"WITH {_PREF_SWAPPED}, {_WEIGHTED}, {c.near_sql('sim', TOP)} SELECT * FROM near",
+    "user_similarity_jaccard": f"""WITH {_PREF_SWAPPED}, {c.PAIRS}, sim AS (SELECT a, b, k, {c.r6('k / CAST(n_a + n_b - k AS DOUBLE)')} AS score FROM sized),
+        {c.near_sql('sim', TOP)} SELECT * FROM near""",
+    "user_similarity_adjusted": f"WITH {_RATING_SWAPPED}, {_ADJUSTED}, {c.near_sql('sim', TOP)} SELECT * FROM near",
     "user_similarity_pearson": f"WITH {_RATING_SWAPPED}, {_pearson(3)}, {c.near_sql('sim', TOP)} SELECT * FROM near",
     "item_cf": f"WITH {COSINE_NEAR}, {ITEM_CF_VOTES} {top_votes('votes', TOP)}",
     "user_cf": f"""WITH {_USER_PAIRS}, votes AS (SELECT near.a AS u, pref.i, {c.r6(c.xsum('w * score', '1e6'))} AS score
         FROM pref JOIN near ON near.b = pref.u GROUP BY 1, 2) {top_votes('votes', TOP)}""",
     "slope_one_deviations": f"WITH {c.RATING}, {_DEVS} SELECT a, b, k, dev FROM devs",
-    "slope_one": f"""WITH {c.RATING}, {_DEVS}, dir AS (SELECT a AS owned, b AS i, dev, k FROM devs UNION ALL SELECT b, a, -dev, k FROM devs),
-        target AS (SELECT u, min(i) AS i FROM rating GROUP BY u)
-        SELECT t.u AS "user", t.i AS item, {c.r6(c.xsum('k * (r + dev)', '1e6') + ' / CAST(sum(k) AS BIGINT)')} AS predicted
-        FROM target t JOIN rating o ON o.u = t.u JOIN dir ON dir.owned = o.i AND dir.i = t.i GROUP BY 1, 2""",
+    "slope_one": f"""WITH {c.RATING}, {c.PAIRS}, sim AS (SELECT a, b, k, {c.r6(_COSINE)} AS score FROM sized), {c.near_sql('sim', TOP)},
+        {_DEVS}, dir AS MATERIALIZED (SELECT a AS owned, b AS i, dev, k FROM devs UNION ALL SELECT b, a, -dev, k FROM devs),
+        target AS MATERIALIZED (SELECT DISTINCT u, near.b AS i FROM pref JOIN near ON near.a = pref.i),
+        p AS (SELECT t.u, t.i, {c.r6(c.xsum('k * (r + dev)', '1e6') + ' / CAST(sum(k) AS BIGINT)')} AS score
+          FROM target t JOIN rating o ON o.u = t.u JOIN dir ON dir.owned = o.i AND dir.i = t.i
+          WHERE NOT EXISTS (SELECT 1 FROM pref q WHERE q.u = t.u AND q.i = t.i) GROUP BY 1, 2) {top_votes('p', TOP)}""",
 }

@@ -37,7 +37,8 @@ def _sequences(s, d):
 
 def _negatives(s, d):
     items = c.table(s, d, "part").select(F.col("p_partkey").alias("item"))
-    return prep.negative_sample(c.prefs(s, d), items, 5, 7)
+    # Buckets smaller than the sample, so that every user goes through several rounds.
+    return prep.negative_sample(c.prefs(s, d), items, 5, 7, 4)
 
 
 def _written(s, d):
@@ -113,14 +114,13 @@ def _core_rounds(rounds: int, k: int) -> str:
     return f"WITH {c.PREF}, " + ", ".join(parts) + f' SELECT {_OUT}, w AS weight, last_ts FROM {last}'
 
 
-def _negative_sql(n: int, seed: int) -> str:
-    # One bucket per user is enough on these tables, so only the first round is written out.
-    return f"""WITH {c.PREF}, size AS (SELECT greatest(1, count(*) // 64) AS nb FROM part),
-    users AS (SELECT DISTINCT u, {c.hash_int('u', str(seed))} % nb AS bucket FROM pref, size),
+def _negative_sql(n: int, seed: int, bucket_items: int) -> str:
+    return f"""WITH {c.PREF}, size AS (SELECT greatest(1, count(*) // {bucket_items}) AS nb FROM part),
+    users AS (SELECT DISTINCT u, {c.hash_int('u', str(seed))} % nb AS home, nb FROM pref, size),
     items AS (SELECT p_partkey AS i, {c.hash_int(str(seed), 'p_partkey')} % nb AS bucket FROM part, size),
-    draws AS (SELECT u, i, {c.hash_int('u', 'i', str(seed))} AS h FROM users JOIN items USING (bucket)
-      WHERE NOT EXISTS (SELECT 1 FROM pref p WHERE p.u = users.u AND p.i = items.i))
-    SELECT * FROM (SELECT {_OUT}, 0 AS round, {c.rank_int('u', 'h, i')} AS rank FROM draws) WHERE rank <= {n}"""
+    draws AS (SELECT u, i, CAST(floor(log2((bucket - home + nb) % nb + 1)) AS INTEGER) AS round, {c.hash_int('u', 'i', str(seed))} AS h
+      FROM users, items WHERE NOT EXISTS (SELECT 1 FROM pref p WHERE p.u = users.u AND p.i = items.i))
+    SELECT * FROM (SELECT {_OUT}, round, {c.rank_int('u', 'round, h, i')} AS rank FROM draws) WHERE rank <= {n}"""
 
 
 ORACLE = {
@@ -149,7 +149,7 @@ ORACLE = {
     "sequences": f"""WITH {c.EVI}, n AS (SELECT *, CAST((row_number() OVER (PARTITION BY u ORDER BY ts, event_id) - 1) // 4096 AS INTEGER) AS part FROM evi)
         SELECT u AS "user", part, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ts, event_id) AS event_ids,
           string_agg(CAST(i AS VARCHAR), ',' ORDER BY ts, event_id) AS items FROM n GROUP BY u, part""",
-    "negative_sample": _negative_sql(5, 7),
+    "negative_sample": _negative_sql(5, 7, 4),
     "split_last_one": f"""WITH {_LATEST} SELECT {_OUT}, ts, w AS weight, basket,
         CASE WHEN row_number() OVER (PARTITION BY u ORDER BY ts DESC, i DESC) = 1 THEN 'test' ELSE 'train' END AS fold FROM latest""",
     "split_by_date": f"""WITH {c.PUR} SELECT {_OUT}, ts, w AS weight, basket,

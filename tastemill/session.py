@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
+_scopes: list[str] = []
 
 
 def build_session(cores: str | int = "*", app: str = "tastemill", **conf) -> SparkSession:
     """A local session with the settings the jobs expect; a cluster supplies its own."""
+    conf.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tastemill-"))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -30,7 +34,7 @@ def build_session(cores: str | int = "*", app: str = "tastemill", **conf) -> Spa
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Only a local-mode session that others made without that setting gets a temporary folder.
     """
     global _local_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -44,7 +48,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/tastemill/{label}-{uuid.uuid4().hex}"
+    return "/".join([shared_dir(spark), "tastemill", *_scopes, f"{label}-{uuid.uuid4().hex}"])
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Stages written inside are removed at the end, so write or collect the result before that."""
+    name = f"scope-{uuid.uuid4().hex}"
+    top = "/".join([shared_dir(spark), "tastemill", *_scopes, name])
+    _scopes.append(name)
+    try:
+        yield
+    finally:
+        _scopes.remove(name)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_stage(df: DataFrame, label: str) -> DataFrame:

@@ -16,8 +16,6 @@ from tastemill.functions.copies import hand_out, members_of
 from tastemill.functions.exact import exact_sum, require, round6
 from tastemill.functions.ordered import OrderedSplit
 from tastemill.functions.pairs import pair_stats, shared_pairs
-from tastemill.operators.content import by_seen_band
-from tastemill.operators.postprocess import top_n
 
 
 def test_ordered_scans_equal_plain_windows(spark, many_parts):
@@ -107,17 +105,15 @@ def test_block_products_equal_brute_force(spark, block):
     assert got == sorted(expected)
 
 
-def test_seen_bands_are_exact(spark):
+@pytest.mark.parametrize("block", [4, 2048])
+def test_left_out_pairs_are_masked_in_their_block(spark, block):
     """Users who have seen almost everything still get the right unseen items."""
-    seen = [(0, i) for i in range(95)] + [(1, i) for i in range(0, 60, 2)] + [(2, 99)]
-    scores = spark.range(100).select(F.col("id").alias("item"), (-F.col("id")).cast("double").alias("score"))
-    users = spark.createDataFrame([(0,), (1,), (2,), (3,)], "user bigint")
-
-    def fetch(band, m):
-        return top_n(band.join(scores), m).select("user", "item", "score")
-
-    got = rows(by_seen_band(users, spark.createDataFrame(seen, "user bigint, item bigint"), 3, fetch), "user", "rank", "item")
-    assert got == [
+    seen = [(0, i) for i in range(95)] + [(1, i) for i in range(0, 60, 2)] + [(2, 99), (2, 99), (3, 1000)]
+    vectors = spark.createDataFrame([(i, [float(-i)]) for i in range(100)], "id bigint, vec array<double>")
+    users = spark.createDataFrame([(i, [1.0]) for i in range(4)], "id bigint, vec array<double>")
+    left_out = spark.createDataFrame(seen, "id bigint, b bigint")
+    best = block_top_k(users, vectors, 3, block, cosine=False, skip_self=False, left_out=left_out)
+    assert rows(best, "id", "rank", "b") == [
         (0, 1, 95), (0, 2, 96), (0, 3, 97), (1, 1, 1), (1, 2, 3), (1, 3, 5),
         (2, 1, 0), (2, 2, 1), (2, 3, 2), (3, 1, 0), (3, 2, 1), (3, 3, 2),
     ]

@@ -107,6 +107,8 @@ def test_negative_sample_goes_past_a_full_bucket(spark):
     prefs = spark.createDataFrame(hot, "user bigint, item bigint")
     drawn = prep.negative_sample(prefs, items, 4, 1, bucket_items=30)
     assert {i for u, i in rows(drawn, "user", "item") if u == 1} == {297, 298, 299}
+    assert [r for u, r in rows(drawn, "user", "rank") if u == 1] == [1, 2, 3]
+    assert drawn.agg(F.max("round")).first()[0] <= 4  # 1, 2, 4 and the last 3 of 10 buckets
     assert drawn.filter("user = 2").count() == 4
     assert drawn.join(prefs, ["user", "item"]).count() == 0
 
@@ -269,6 +271,19 @@ def test_vector_searches_agree_with_the_exact_one(spark):
     assert hashed.filter("score < -0.8 or id = b").count() == 0
 
 
+def test_hashing_meets_few_pairs_and_finds_the_near_ones(spark):
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(60, 64))
+    v = centre[np.arange(600) % 60] + 0.15 * rng.normal(size=(600, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id bigint, vec array<double>")
+    exact = set(rows(factors.nearest_exact(df, df, 5), "id", "b"))
+    pairs = factors.lsh_candidates(df, 0.2, 8, 7, 5)
+    assert pairs.count() < 0.1 * 600 * 599 / 2 and pairs.filter("a >= b").count() == 0
+    found = set(rows(factors.nearest_lsh(df, 5, 0.2, 8, 1.3, 5, 7), "id", "b"))
+    assert len(exact & found) >= 0.9 * len(exact)
+
+
 def test_item2vec_shapes(spark):
     seqs = prep.sequences(steps(spark, [[1, 2, 3, 1, 2], [4, 5, 4], [2, 3]]))
     got = factors.item2vec(seqs, 6, 2, 1).collect()
