@@ -131,13 +131,17 @@ def gini(recs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def novelty(recs: DataFrame, prefs: DataFrame) -> DataFrame:
-    """Mean -log2 of the share of users who own the recommended item."""
+    """Mean -log2 of the share of users who own the recommended item.
+
+    An item that no one owns counts as owned by one user, the rarest there can be.
+    """
     owners = prefs.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     people = prefs.agg(F.countDistinct("user").alias("n")).scalar()
     info = -F.log2(F.col("n") / F.col("_people"))
     return (
         recs.select("item")
-        .join(owners, "item")
+        .join(owners, "item", "left")
+        .withColumn("n", F.coalesce("n", F.lit(1)))
         .withColumn("_people", people)
         .agg(F.count(F.lit(1)).alias("recs"), _mean(info).alias("novelty"))
     )

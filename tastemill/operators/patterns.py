@@ -138,7 +138,8 @@ def prefix_span(steps: DataFrame, min_support: float, max_len: int) -> DataFrame
     )
     state = single.join(level.select("pattern"), "pattern", "left_semi").select("user", "pattern", "end")
     for length in range(2, max_len + 1):
-        grown = (
+        # Written once: the supports and the next state both read it.
+        grown = write_stage(
             state.join(lasts, "user")
             .filter(F.col("last") > F.col("end"))
             .select(
@@ -147,7 +148,8 @@ def prefix_span(steps: DataFrame, min_support: float, max_len: int) -> DataFrame
                 "end",
                 "next",
                 F.concat("pattern", F.array("next")).alias("pattern"),
-            )
+            ),
+            "grown",
         )
         level = frequent(grown)
         if level.isEmpty():

@@ -53,8 +53,11 @@ def reciprocal_rank_fusion(sources: Sequence[DataFrame], k0: int, n: int) -> Dat
 
 
 def cap_per_group(recs: DataFrame, items: DataFrame, attribute: str, m: int, n: int) -> DataFrame:
-    """At most m items of one attribute value in each user's list of n."""
-    known = recs.select("user", "item", "score").join(items.select("item", attribute), "item")
+    """At most m items of one attribute value in each user's list of n.
+
+    Items without a row in ``items``, or with a null there, are one value of their own.
+    """
+    known = recs.select("user", "item", "score").join(items.select("item", attribute), "item", "left")
     best = top_per(known, ["user", attribute], [F.desc("score"), F.asc("item")], m)
     return top_n(best.select("user", "item", "score"), n)
 

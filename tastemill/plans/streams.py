@@ -85,8 +85,7 @@ def _attributed(how):
 
 def _profile(s, d):
     feed = _Feed(s, d)
-    partials = feed.table(jobs.stream_profile(feed.actions, RATE), "profile", "update")
-    return jobs.merge_profiles(partials, RATE)
+    return jobs.stream_profile(feed.actions, RATE, stage_path(s, "profile"), feed.arrivals)
 
 
 def _near(s, d):

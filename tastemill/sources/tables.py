@@ -73,14 +73,17 @@ def item_vectors(embeddings: DataFrame) -> DataFrame:
 def write_recs(recs: DataFrame, path: str, buckets: int) -> None:
     """Recommendation lists as parquet, one folder per user bucket.
 
-    All rows of a user land in one folder, and each folder is written by the
-    one or few tasks holding its bucket instead of by every task.
+    All rows of a user land in one folder. A folder is written by a few tasks:
+    the shuffle partitions are shared out over the buckets, by a second hash of
+    the user, so more users mean neither longer tasks nor a file from every task.
     """
     require(recs, "user", "item", "score", "rank")
     bucket = F.pmod(F.xxhash64("user"), F.lit(buckets)).cast("int")
+    parts = max(buckets, int(recs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    share = F.pmod(F.xxhash64(F.lit("share"), "user"), F.lit(-(-parts // buckets)))
     (
         recs.withColumn("bucket", bucket)
-        .repartition("bucket")
+        .repartition(parts, "bucket", share)
         .sortWithinPartitions("bucket", "user", "rank")
         .write.mode("overwrite")
         .partitionBy("bucket")

@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-import math
-import sys
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tastemill.functions.exact import require, round6
+from tastemill.functions.exact import exact_sum, require, round6
 from tastemill.functions.pairs import pair_stats
 from tastemill.session import stage_path
 from tastemill.sources.tables import EVENT_WEIGHTS, event_interactions
@@ -93,8 +88,13 @@ def stream_popular(interactions: DataFrame, size: str, slide: str | None, late:
 
 
 def stream_sessions(events: DataFrame, gap: str, late: str) -> DataFrame:
-    """Closed sessions per user: no event for ``gap``."""
+    """Closed sessions per user: no event for ``gap``.
+
+    Sessions are merged inside each task before the shuffle, so a hot user
+    sends sessions and not events to its state.
+    """
     require(events, "ts", "user")
+    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     sessions = events.withWatermark("ts", late).groupBy("user", F.session_window("ts", gap).alias("s")).count()
     return sessions.select(
         "user",
@@ -114,74 +114,92 @@ def attribute(
 ) -> DataFrame:
     """Views joined to the same user's purchases up to ``within`` later.
 
-    Both sides carry (user, ts, event_id). With ``left_outer`` a view without a
+    Both sides carry (user, ts, event_id). Time is cut into slots of ``within``;
+    a purchase meets the views of its own slot and of the one before, so a hot
+    user's state is spread over slots. With ``left_outer`` a view without a
     purchase appears with nulls once none can arrive any more.
     """
+    spark = views.sparkSession
+    end = spark.sql(f"SELECT unix_micros(TIMESTAMP_SECONDS(0) + INTERVAL {within})").first()[0]
+
+    def slot(column: str) -> Column:
+        return F.floor(F.unix_micros(column) / F.lit(end))
+
     left = views.select("user", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_id"))
     right = purchases.select(
         F.col("user").alias("buyer"), F.col("ts").alias("buy_ts"), F.col("event_id").alias("buy_id")
     )
-    reach = F.expr(f"user = buyer AND buy_ts >= view_ts AND buy_ts <= view_ts + INTERVAL {within}")
-    joined = left.withWatermark("view_ts", late).join(right.withWatermark("buy_ts", late), reach, how)
-    return joined.select("user", "view_id", "view_ts", "buy_id", "buy_ts")
+    left = left.withWatermark("view_ts", late).withColumn("view_slot", slot("view_ts"))
+    right = right.withWatermark("buy_ts", late).withColumn(
+        "buy_slot", F.explode(F.array(slot("buy_ts"), slot("buy_ts") - 1))
+    )
+    reach = F.expr(
+        "user = buyer AND view_slot = buy_slot AND buy_ts >= view_ts"
+        f" AND buy_ts <= view_ts + INTERVAL {within}"
+    )
+    return left.join(right, reach, how).select("user", "view_id", "view_ts", "buy_id", "buy_ts")
 
 
-_PROFILE = "user bigint, salt int, score double, events bigint, last_us bigint"
-_PROFILE_STATE = "score double, events bigint, last_us bigint"
+_PROFILE = "user bigint, slot bigint, score double, events bigint, last_us bigint"
 _DAY_US = 86_400_000_000
 
 
-def _decaying(rate: float):
-    def update(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        score, events, last = state.get if state.exists else (0.0, 0, 0)
-        for rows in batches:
-            newest = max(last, int(rows["us"].max()))
-            score *= math.exp(-rate * (newest - last) / _DAY_US) if events else 1.0
-            score += float((rows["weight"] * (-rate * (newest - rows["us"]) / _DAY_US).map(math.exp)).sum())
-            events, last = events + len(rows), newest
-        state.update((score, events, last))
-        yield pd.DataFrame(
-            {"user": [key[0]], "salt": [key[1]], "score": [score], "events": [events], "last_us": [last]}
+def profile_batch(store: str, rate: float) -> Callable[[DataFrame, int], None]:
+    """Adds a batch's decayed sums to the store, one row per user and day.
+
+    The sums are plain aggregates, partly added up before the shuffle, so a hot
+    user is one row per task and day. A repeated batch overwrites its own folder.
+    """
+
+    def update(batch: DataFrame, batch_id: int) -> None:
+        us = F.unix_micros("ts")
+        day = F.floor(us / F.lit(_DAY_US))
+        aged = F.col("weight") * F.exp(-rate * ((day + 1) * F.lit(_DAY_US) - us) / float(_DAY_US))
+        (
+            batch.groupBy("user", day.alias("slot"))
+            .agg(
+                exact_sum(aged, 1e12).alias("score"),
+                F.count(F.lit(1)).alias("events"),
+                F.max(us).alias("last_us"),
+            )
+            .write.mode("overwrite")
+            .parquet(f"{store}/profile/batch={batch_id}")
         )
 
     return update
 
 
-def stream_profile(interactions: DataFrame, rate: float, salts: int = 8) -> DataFrame:
-    """Running decayed weight per user, as of the user's newest event.
+def stream_profile(
+    interactions: DataFrame, rate: float, store: str, arrivals: Arrivals = _AT_ONCE
+) -> DataFrame:
+    """Decayed weight per user as of the user's newest event, kept up to date in ``store``.
 
-    A user's events are spread over ``salts`` states, so a hot user is not one
-    task; the states add up in ``merge_profiles``. The result does not depend on
-    the order of arrival.
+    A decayed sum only changes by a factor as time goes on, so the parts of all
+    batches add up whatever their order.
     """
-    require(interactions, "user", "ts", "weight", "event_id")
-    rows = interactions.select(
-        "user",
-        F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int").alias("salt"),
-        F.unix_micros("ts").alias("us"),
-        "weight",
-    )
-    return rows.groupBy("user", "salt").applyInPandasWithState(
-        _decaying(rate), _PROFILE, _PROFILE_STATE, "update", GroupStateTimeout.NoTimeout
-    )
+    require(interactions, "user", "ts", "weight")
+    spark = interactions.sparkSession
+    _open_store(spark, f"{store}/profile", _PROFILE)
+    _run(interactions.writeStream.foreachBatch(profile_batch(store, rate)), f"{store}/checkpoint", arrivals)
+    return stored_profile(spark, store, rate)
+
+
+def stored_profile(spark: SparkSession, store: str, rate: float) -> DataFrame:
+    """The profiles of all batches so far."""
+    return merge_profiles(spark.read.schema(f"{_PROFILE}, batch bigint").parquet(f"{store}/profile"), rate)
 
 
 def merge_profiles(partials: DataFrame, rate: float) -> DataFrame:
-    """One row per user from the newest partial of each (user, salt)."""
-    newest = partials.groupBy("user", "salt").agg(
-        F.max_by(F.struct("score", "last_us", "events"), "events").alias("p")
-    )
-    last = newest.groupBy("user").agg(F.max("p.last_us").alias("last_us"))
-    aged = F.col("p.score") * F.exp(-rate * (F.col("last_us") - F.col("p.last_us")) / float(_DAY_US))
+    """One row per user: each part is aged from the end of its day to the user's newest event."""
+    last = partials.groupBy("user").agg(F.max("last_us").alias("newest"))
+    days = (F.col("newest") - (F.col("slot") + 1) * F.lit(_DAY_US)) / float(_DAY_US)
     return (
-        newest.join(last, "user")
+        partials.join(last, "user")
         .groupBy("user")
         .agg(
-            round6(F.sum(aged)).alias("score"),
-            F.sum("p.events").alias("events"),
-            F.max("last_us").alias("last_us"),
+            round6(exact_sum(F.col("score") * F.exp(-rate * days), 1e12)).alias("score"),
+            F.sum("events").alias("events"),
+            F.max("newest").alias("last_us"),
         )
     )
 
@@ -284,6 +302,3 @@ def late_report(
 
 def stream_interactions(events: DataFrame) -> DataFrame:
     return event_interactions(events, EVENT_WEIGHTS)
-
-# Tasks get this module's functions by value, so workers need not have the package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

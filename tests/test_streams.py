@@ -62,7 +62,7 @@ def test_late_rows_are_counted_per_batch(feed, tmp_path):
     assert rows(report, "batch", "rows", "late") == [(0, 3, 0), (1, 2, 0), (2, 2, 1)]
 
 
-def test_profile_does_not_depend_on_salts_or_order(feed):
+def test_profile_does_not_depend_on_order_or_replay(spark, feed, tmp_path):
     acts = jobs.stream_interactions(feed(*BATCHES))
     expected = {}
     weights = {"view": 1.0, "click": 2.0, "purchase": 5.0}
@@ -71,9 +71,11 @@ def test_profile_does_not_depend_on_salts_or_order(feed):
         last = max(t for t, _ in own)
         score = sum(w * math.exp(-0.5 * (last - t).total_seconds() / 86400) for t, w in own)
         expected[user] = (round(score, 6), len(own))
-    for salts in (1, 4):
-        partials = jobs.run_to_table(jobs.stream_profile(acts, 0.5, salts), "profile", "update")
-        got = jobs.merge_profiles(partials, 0.5).collect()
+    store = str(tmp_path / "store")
+    first = jobs.stream_profile(acts, 0.5, store).collect()
+    again = jobs.event_interactions(spark.createDataFrame(list(BATCHES[1]), SCHEMA))
+    jobs.profile_batch(store, 0.5)(again.withColumn("ts", F.col("ts").cast("timestamp")), 1)
+    for got in (first, jobs.stored_profile(spark, store, 0.5).collect()):
         assert {r["user"]: (round(r["score"], 6), r["events"]) for r in got} == expected
 
 
