@@ -28,7 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import numbered, text_or_empty, unused
+from tastemill.llm.common import identified, text_or_empty, unused
 from tastemill.session import write_stage
 
 #: Bytes in a block.
@@ -200,7 +200,7 @@ def decisions(docs: DataFrame, carry: list[str], text: str, key: str, block: int
 
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows whose text a kept row has; all columns stay."""
-    row = unused(docs, "row_number")
-    rows = numbered(docs, row, "documents")
+    row = unused(docs, "row_of")
+    rows = identified(docs, row, "documents")
     dropped = decisions(rows, [key, row], text, key).filter("not kept").select(row)
     return rows.join(write_stage(dropped, "dropped"), row, "left_anti").drop(row)

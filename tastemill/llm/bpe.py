@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import default_vocabulary, slices, text_or_empty
+from tastemill.llm.common import default_vocabulary, per_text, slices
 
 #: Pattern of the byte-level pre-tokenizer (fixed value, part of the vocabulary's definition).
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -250,12 +250,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
                 names=["key", "ids", "decoded"],
             )
 
-    kind = docs.schema[key].dataType.simpleString()
-    return (
-        docs.select(docs[key].alias("key"), text_or_empty(docs, text).alias("text"))
-        .mapInArrow(run, f"key {kind}, ids binary, decoded string")
-        .withColumnRenamed("key", key)
-    )
+    return per_text(docs, key, run, "ids binary, decoded string", text)
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -276,11 +271,6 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary
                 names=["key", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    kind = docs.schema[key].dataType.simpleString()
-    return (
-        docs.select(docs[key].alias("key"), text_or_empty(docs, text).alias("text"))
-        .mapInArrow(run, f"key {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
-        .withColumnRenamed("key", key)
-    )
+    return per_text(docs, key, run, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", text)
 
 

@@ -25,7 +25,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import slices
+from tastemill.llm.common import map_batches, slices
 from tastemill.session import write_stage
 
 UNKNOWN = "und"
@@ -146,9 +146,8 @@ def fit(docs: DataFrame, key: str = "doc_id", per_language: int = PER_LANGUAGE)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_language / n))).otherwise(share)
     place = F.pmod(F.xxhash64(F.lit("language"), F.col("key").cast("string")), F.lit(1 << 20)) / F.lit(1 << 20)
-    sample = (
-        rows.filter(place < share).select("lang", "text").mapInArrow(_vectors, "lang string, vector array<float>")
-    )
+    taken = rows.filter(place < share).select("lang", "text")
+    sample = map_batches(taken, _vectors, "lang string, vector array<float>")
     sample = write_stage(sample, "language-sample").select("lang", array_to_vector("vector").alias("features"))
     learned = sorted(r[0] for r in sample.select("lang").distinct().collect())
     model = Model()
@@ -193,11 +192,8 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return (
-        docs.select(docs[key].alias("key"), docs["text"].cast("string").alias("text"))
-        .mapInArrow(run, f"key {kind}, lang_pred string, score double")
-        .withColumnRenamed("key", key)
-    )
+    rows = docs.select(docs[key].alias("key"), docs["text"].cast("string").alias("text"))
+    return map_batches(rows, run, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
 
 
 def recognised(docs: DataFrame, model: Model) -> DataFrame:
@@ -212,4 +208,4 @@ def recognised(docs: DataFrame, model: Model) -> DataFrame:
             kept = [i for i, lang in zip(known, langs) if lang != UNKNOWN]
             yield part.take(pa.array(kept, pa.int64()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import slices
+from tastemill.llm.common import map_batches, slices
 
 # Elements by their part in a page (HTML element names).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -204,5 +204,5 @@ def extract(pages: DataFrame, carry: tuple[str, ...] = ("page_id", "url"), html:
     keys = F.struct(*[pages[c].alias(c) for c in carry])
     rows = pages.select(keys.alias("keys"), pages[html].cast("string").alias("html"))
     kind = rows.schema["keys"].dataType.simpleString()
-    out = rows.mapInArrow(_extract, f"keys {kind}, text string, n_chars bigint")
+    out = map_batches(rows, _extract, f"keys {kind}, text string, n_chars bigint")
     return out.select(*[F.col("keys").getField(c).alias(c) for c in carry], "text", "n_chars")

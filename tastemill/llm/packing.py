@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions.ordered import OrderedSplit
 from tastemill.llm.bpe import byte_letters
-from tastemill.llm.common import default_vocabulary, numbered, slices, text_or_empty
+from tastemill.llm.common import default_vocabulary, map_batches, numbered, per_text, slices
 
 SEQUENCE = 2048
 END = 1
@@ -183,12 +183,7 @@ def tokenised(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabula
                 names=["key", "n", "curve", "ids"],
             )
 
-    kind = docs.schema[key].dataType.simpleString()
-    return (
-        docs.select(docs[key].alias("key"), text_or_empty(docs, text).alias("text"))
-        .mapInArrow(run, f"key {kind}, n bigint, curve bigint, ids binary")
-        .withColumnRenamed("key", key)
-    )
+    return per_text(docs, key, run, "n bigint, curve bigint, ids binary", text)
 
 
 def _width(path: str) -> str:
@@ -240,4 +235,5 @@ def pack(
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, {_PIECE}" + ", ids binary" * with_ids
-    return placed.select("row", "key", "n", "ids", "begin").mapInArrow(cut, schema).withColumnRenamed("key", key)
+    pieces = map_batches(placed.select("row", "key", "n", "ids", "begin"), cut, schema)
+    return pieces.withColumnRenamed("key", key)

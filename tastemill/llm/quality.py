@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import slices, text_or_empty
+from tastemill.llm.common import per_text, slices
 from tastemill.session import write_stage
 
 #: Expected number of labelled rows the trees are fitted on.
@@ -123,13 +123,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, base counts, features) of every whole text."""
-    kind = docs.schema[key].dataType.simpleString()
     counts = ", ".join(f"{c} bigint" for c in BASE)
-    return (
-        docs.select(docs[key].alias("key"), text_or_empty(docs, text).alias("text"))
-        .mapInArrow(_count, f"key {kind}, {counts}, features array<double>")
-        .withColumnRenamed("key", key)
-    )
+    return per_text(docs, key, _count, f"{counts}, features array<double>", text)
 
 
 def base_failed() -> Column:

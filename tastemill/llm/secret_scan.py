@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import numbered, slices, text_or_empty, unused
+from tastemill.llm.common import identified, numbered, per_text, slices, unused
 from tastemill.session import write_stage
 
 #: Spans are told apart by kind, in this order.
@@ -107,10 +107,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scan(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, strong, weak): the spans of each row, with weak candidates not yet judged."""
     spans = "array<struct<start int, kind int, stop int>>"
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(docs[key].alias("key"), text_or_empty(docs, text).alias("text")).mapInArrow(
-        _scan, f"key {kind}, strong {spans}, weak {spans}"
-    )
+    rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
+    return per_text(rows, "key", _scan, f"strong {spans}, weak {spans}")
 
 
 def _cells(first: Column, last: Column) -> Column:
@@ -246,5 +244,5 @@ def redact(docs: DataFrame, row: str) -> DataFrame:
 
 def without_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with its secrets masked; all rows and columns stay."""
-    row = unused(docs, "row_number")
-    return redact(numbered(docs, row, "documents"), row).drop(row)
+    row = unused(docs, "row_of")
+    return redact(identified(docs, row, "documents"), row).drop(row)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import numbered, slices, text_or_empty, unused
+from tastemill.llm.common import identified, per_text, slices, unused
 from tastemill.session import write_stage
 
 RADIUS = 2
@@ -75,12 +75,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, fp): the fingerprint as a signed BIGINT of the same bits."""
-    kind = docs.schema[key].dataType.simpleString()
-    return (
-        docs.select(docs[key].alias("key"), text_or_empty(docs, text).alias("text"))
-        .mapInArrow(_fingerprints, f"key {kind}, fp bigint")
-        .withColumnRenamed("key", key)
-    )
+    return per_text(docs, key, _fingerprints, "fp bigint", text)
 
 
 def _signed(mask: int) -> int:
@@ -312,8 +307,8 @@ def hex64(fp: Column) -> Column:
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of every component, the one with the smallest ``key``; all columns stay."""
-    row = unused(docs, "row_number")
-    rows = numbered(docs, row, "documents")
+    row = unused(docs, "row_of")
+    rows = identified(docs, row, "documents")
     near = near_copies(rows, [key, row], text, key).filter("members > 1")
     near = write_stage(near.select(row, key, "root"), "near-copies")
     first = F.min(F.struct(F.col(key).isNull(), F.col(key), F.col(row).alias("row"))).getField("row")

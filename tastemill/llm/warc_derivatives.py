@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import slices
+from tastemill.llm.common import map_batches, slices
 
 VERSION = "WARC/1.1"
 #: Date of records whose source has none.
@@ -167,7 +167,7 @@ def derivatives(pages: DataFrame, key: str = "page_id", date: str = NO_DATE) ->
         pages["url"].cast("string").alias("url"),
         pages["html"].cast("string").alias("html"),
     )
-    return rows.mapInArrow(run, f"key {kind}, {_FIELDS}").withColumnRenamed("key", key)
+    return map_batches(rows, run, f"key {kind}, {_FIELDS}").withColumnRenamed("key", key)
 
 
 def write_warc(records: DataFrame, path: str, compression: str = "none") -> None:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.llm.bpe import byte_letters
-from tastemill.llm.common import default_vocabulary, slices, text_or_empty
+from tastemill.llm.common import default_vocabulary, per_text, slices
 
 #: Words remembered by a worker, and their largest length.
 CACHE, CACHE_BYTES = 1 << 18, 40
@@ -133,9 +133,4 @@ def token_counts(
                 names=["key", "n_words", "n_pieces", "n_unknown"],
             )
 
-    kind = docs.schema[key].dataType.simpleString()
-    return (
-        docs.select(docs[key].alias("key"), text_or_empty(docs, text).alias("text"))
-        .mapInArrow(run, f"key {kind}, n_words bigint, n_pieces bigint, n_unknown bigint")
-        .withColumnRenamed("key", key)
-    )
+    return per_text(docs, key, run, "n_words bigint, n_pieces bigint, n_unknown bigint", text)

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 from odd_tables import documents, no_documents, odd_documents, prose
+from pyspark.sql import functions as F
 from test_simhash import plain_components
 from tokenizers import Tokenizer
 
@@ -63,6 +64,17 @@ def test_stages_get_through_odd_and_empty_tables(spark):
         corpus_pipeline.STAGES[-1][1](spark, docs, "").count()
 
 
+def test_stages_on_files_and_on_other_tables_agree(spark, tmp_path):
+    docs = odd_documents(spark).withColumn("_metadata", F.lit("x"))
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    files = spark.read.parquet(str(tmp_path / "docs"))
+    other = files.unionByName(files.limit(0))
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        first, second = (stage(spark, t, "") for t in (files, other))
+        assert first.columns == files.columns
+        assert sorted(map(repr, first.collect())) == sorted(map(repr, second.collect()))
+
+
 def test_clean_documents_stay(spark):
     rows = [(i, prose(80, i) + f" number {i} of a kind {i * i}", "en") for i in range(40)]
     docs = documents(spark, rows)
