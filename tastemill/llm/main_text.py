@@ -6,8 +6,8 @@ that say what they are (menus, headers, footers, forms, adverts, comments and
 so on, by tag, role or class name) are left out as they stream by. Over the
 remaining lines the ratio of text to tags is smoothed with a Gaussian, the
 smoothed ratios are split into two clusters, and the regions (lines of one
-holding element) that reach the upper cluster are the content. A region is kept
-whole, so its short lines stay.
+holding element) with a line of their own in the upper cluster are the content.
+A region is kept whole, so its short lines stay.
 
 Defined results: null or empty html gives the empty text; a page without content
 lines too; unclosed elements end with the element around them; repeated rows are
@@ -47,6 +47,8 @@ NOT_ARTICLE = frozenset(
     "promo promoted promotion recommended related replies search share sharing sidebar signup social sponsor "
     "sponsored subscribe subscription toolbar widget".split()
 )
+# Beginnings of such words (commentlist, sidebarleft, advertbox and the like).
+NOT_ARTICLE_STARTS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar", "sponsor", "subscri")
 _WORDS = re.compile("[a-z]+")
 
 
@@ -54,9 +56,8 @@ def _named_out(attrs: list[tuple[str, str | None]]) -> bool:
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
             words = set(_WORDS.findall(value.lower()))
-            if words & NOT_ARTICLE and not (
-                words & NOT_ARTICLE == {"header"} and words & {"article", "entry", "post"}
-            ):
+            named = {w for w in words if w in NOT_ARTICLE or w.startswith(NOT_ARTICLE_STARTS)}
+            if named and not (named == {"header"} and words & {"article", "entry", "post"}):
                 return True
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             return True
@@ -183,7 +184,12 @@ def main_text(html: str | None) -> str:
         return ""
     ratios = np.array([plain / max(1, tags) for _, _, _, plain, tags in lines], dtype=np.float64)
     values = smoothed(ratios)
-    content = (values >= threshold(values)) & (ratios > 0)
+    border = threshold(values)
+    near = (values >= border) & (ratios > 0)
+    # A line that only its neighbours lift over the border makes no region of its own content.
+    content = near & (ratios >= border / 2)
+    if not content.any():
+        content = near
     regions = {line[0] for line, good in zip(lines, content) if good}
     in_article = {line[0] for line, good in zip(lines, content) if good and line[1]}
     kept = in_article or regions

@@ -33,6 +33,7 @@ def test_everything_around_the_article_goes():
     )
     after = (
         "<section class=comments><article class=comment><p>" + PARAGRAPH * 2 + "</p></article></section>"
+        "<ol class=commentlist><li>" + PARAGRAPH + "</li></ol><div role=complementary><p>" + PARAGRAPH + "</p></div>"
         "<footer>&copy; 2024</footer><script>var x='<p>no</p>';</script><style>p{}</style>"
     )
     body = f"<h1>Head &lt;one&gt;</h1><p>{PARAGRAPH}</p><p>Short.</p><ul><li>{PARAGRAPH}</li></ul>"
@@ -48,6 +49,13 @@ def test_ratio_alone_finds_the_text():
     assert main_text(page(links + body + links)) == "\n\n".join([(PARAGRAPH * 3).strip()] * 4)
 
 
+def test_short_neighbours_of_the_text_are_no_content():
+    top = "<div id=top>Menu <a href=1>one</a> <a href=2>two</a></div>"
+    body = f"<div id=content><h1>Head</h1><p>{PARAGRAPH * 2}</p><p>ok</p><p>{PARAGRAPH * 2}</p></div>"
+    want = ["Head", (PARAGRAPH * 2).strip(), "ok", (PARAGRAPH * 2).strip()]
+    assert main_text(page(top + body + "<div id=last>&copy; me</div>")) == "\n\n".join(want)
+
+
 def test_white_space_references_and_broken_markup():
     assert main_text("<p>a \n\t b&nbsp;c &eacute;&#233; <b>d</b>e<br>f") == "a b c éé de f"
     assert main_text("<article><p><b>one two<br><p>three</p></article>") == "one two\n\nthree"
