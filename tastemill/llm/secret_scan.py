@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -75,9 +77,12 @@ def weak_spans(text: str, strong: list[tuple[int, int, int]]) -> list[tuple[int,
     """(start, kind number, end) of parts that count only beside their complement."""
     weak = [(m.start(), 3, m.end()) for m in _IDENTITY.finditer(text)]
     weak += [(m.start(), 5, m.end()) for m in _ENDPOINT.finditer(text)]
-    inside = strong + weak
+    taken = sorted((a, b) for a, _, b in strong + weak)
+    starts = [a for a, _ in taken]
+    reach = list(accumulate((b for _, b in taken), max))  # furthest end of the spans up to each
     for m in _RANDOM.finditer(text):
-        free = all(m.end() <= a or m.start() >= b for a, _, b in inside)
+        before = bisect_left(starts, m.end()) - 1
+        free = before < 0 or reach[before] <= m.start()
         if free and _looks_random(m.group()):
             weak.append((m.start(), 4, m.end()))
     return sorted(weak)
