@@ -4,10 +4,13 @@ The standard library's streaming parser turns a page into lines, one for each
 block of text, with the tags met in it and the element that holds it. Elements
 that say what they are (menus, headers, footers, forms, adverts, comments and
 so on, by tag, role or class name) are left out as they stream by. Over the
-remaining lines the ratio of text to tags is smoothed with a Gaussian, the
-smoothed ratios are split into two clusters, and the regions (lines of one
-holding element) with a line of their own in the upper cluster are the content.
-A region is kept whole, so its short lines stay.
+remaining lines the ratio of text to tags is smoothed with a Gaussian and the
+smoothed ratios are split into two clusters. The content is the nearest region
+(lines of one holding element, with those of the elements in it) around all
+lines of the upper cluster, widened to a main or article around it and to
+holders around it that add no menu. It is kept whole, so short lines, headings
+and cells in elements of their own stay; only parts of it that hold no line of
+the upper cluster and mostly links (menus without a telling name) go.
 
 Defined results: null or empty html gives the empty text; a page without content
 lines too; unclosed elements end with the element around them; repeated rows are
@@ -49,13 +52,23 @@ NOT_ARTICLE = frozenset(
 )
 # Beginnings of such words (commentlist, sidebarleft, advertbox and the like).
 NOT_ARTICLE_STARTS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar", "sponsor", "subscri")
+# What comes after these in a name tells the layout of a wrapper (has-sidebar, no-comments).
+LAYOUT = frozenset("has have layout no non with without".split())
 _WORDS = re.compile("[a-z]+")
 
 
+def _words(value: str) -> set[str]:
+    found: set[str] = set()
+    for name in value.lower().split():
+        words = _WORDS.findall(name)
+        found.update(words[: next((i for i, w in enumerate(words) if w in LAYOUT), len(words))])
+    return found
+
+
 def _named_out(attrs: list[tuple[str, str | None]]) -> bool:
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
-            words = set(_WORDS.findall(value.lower()))
+            words = _words(value)
             named = {w for w in words if w in NOT_ARTICLE or w.startswith(NOT_ARTICLE_STARTS)}
             if named and not (named == {"header"} and words & {"article", "entry", "post"}):
                 return True
@@ -65,27 +78,35 @@ def _named_out(attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class _Lines(HTMLParser):
-    """Collects (region, in an article, text, letters outside links, tags) for each block of text."""
+    """Collects (region, is an h1, text, letters outside links, tags) for each block of text."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[int, bool, str, int, int]] = []
         self.open: list[tuple[str, bool, int, bool]] = []  # element, left out, region, in an article
+        self.around = [0]  # the region around each region
+        self.kinds = ["body"]  # the element of each region
         self.parts: list[str] = []
-        self.plain = self.tags = self.regions = self.links = 0
+        self.plain = self.tags = self.links = 0
+        self.title = False
 
     def _state(self) -> tuple[bool, int, bool]:
         return self.open[-1][1:] if self.open else (False, 0, False)
 
     def end_line(self) -> None:
-        out, region, article = self._state()
+        out, region, _ = self._state()
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((region, article, text, self.plain, self.tags))
+            self.lines.append((region, self.title, text, self.plain, self.tags))
             self.tags = 0
         self.parts.clear()
         self.plain = 0
 
+    def _new_region(self, tag: str, around: int) -> int:
+        self.around.append(around)
+        self.kinds.append(tag)
+        return len(self.kinds) - 1
+
     def _end_paragraph(self) -> None:
         """A block inside a paragraph ends the paragraph."""
         for i in range(len(self.open) - 1, -1, -1):
@@ -101,6 +122,7 @@ class _Lines(HTMLParser):
             if not self._state()[0]:
                 self.end_line()
             self._end_paragraph()
+            self.title = tag == "h1"
         out, region, article = self._state()
         if tag == "br" and not out:
             self.parts.append(" ")
@@ -110,13 +132,12 @@ class _Lines(HTMLParser):
         named = tag != "body" and bool(attrs) and _named_out(attrs)
         if tag in ("article", "main") and not named:
             # The nearest element decides, so an article inside a named part counts again.
-            article, self.regions = True, self.regions + 1
-            out, region = any(e[0] in LEFT_OUT for e in self.open), self.regions
+            article = True
+            out, region = any(e[0] in LEFT_OUT for e in self.open), self._new_region(tag, region)
         elif tag in LEFT_OUT or named:
             out = True
         elif tag in HOLDERS and not article:
-            self.regions += 1
-            region = self.regions
+            region = self._new_region(tag, region)
         self.links += tag == "a"
         self.open.append((tag, out, region, article))
 
@@ -125,6 +146,7 @@ class _Lines(HTMLParser):
             self.tags += 1
             if tag in BLOCKS:
                 self.end_line()
+                self.title = False
         if tag not in TRACKED:
             return
         for i in range(len(self.open) - 1, -1, -1):
@@ -190,10 +212,50 @@ def main_text(html: str | None) -> str:
     content = near & (ratios >= border / 2)
     if not content.any():
         content = near
-    regions = {line[0] for line, good in zip(lines, content) if good}
-    in_article = {line[0] for line, good in zip(lines, content) if good and line[1]}
-    kept = in_article or regions
-    return "\n\n".join(line[2] for line in lines if line[0] in kept)
+    return "\n\n".join(line[2] for line, kept in zip(lines, _whole(parser, content)) if kept)
+
+
+def _whole(page: _Lines, content: np.ndarray) -> list[bool]:
+    """Which lines belong to the whole content around the ``content`` lines."""
+    lines, around, kinds = page.lines, page.around, page.kinds
+    count = len(kinds)
+    # Of every region with all that is in it; a region comes after the one around it.
+    good, plain, text = [0] * count, [0] * count, [0] * count
+    for line, is_content in zip(lines, content):
+        good[line[0]] += bool(is_content)
+        plain[line[0]] += line[3]
+        text[line[0]] += len(line[2])
+    for i in range(count - 1, 0, -1):
+        good[around[i]] += good[i]
+        plain[around[i]] += plain[i]
+        text[around[i]] += text[i]
+    menu = [
+        not good[i] and text[i] > 0 and 2 * plain[i] < text[i] and kinds[i] not in ("article", "main")
+        for i in range(count)
+    ]
+    if not good[0]:
+        return [False] * len(lines)
+    # The nearest region around all content lines: the last one that holds them all.
+    top = max(i for i in range(count) if good[i] == good[0])
+    i = top
+    while i:
+        i = around[i]
+        if kinds[i] in ("article", "main"):
+            top = i
+    with_menu = {around[i] for i in range(1, count) if menu[i]}
+    while kinds[top] not in ("body", "main") and kinds[around[top]] != "body" and around[top] not in with_menu:
+        top = around[top]
+    inside, kept = [False] * count, [False] * count
+    for i in range(count):
+        inside[i] = i == top or i > 0 and inside[around[i]]
+        kept[i] = i == top or inside[i] and kept[around[i]] and not menu[i]
+    found = [kept[line[0]] for line in lines]
+    # A page's title may stand in an element of its own before the content.
+    if not any(line[1] for line, k in zip(lines, found) if k):
+        before = [n for n in range(found.index(True)) if lines[n][1] and 2 * lines[n][3] >= len(lines[n][2])]
+        if before:
+            found[before[-1]] = True
+    return found
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

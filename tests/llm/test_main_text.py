@@ -56,6 +56,43 @@ def test_short_neighbours_of_the_text_are_no_content():
     assert main_text(page(top + body + "<div id=last>&copy; me</div>")) == "\n\n".join(want)
 
 
+LONG = (PARAGRAPH * 3).strip()
+MENU = "<div id=left>" + "".join(f"<a href=/{i}>link {i}</a> " for i in range(20)) + "</div>"
+
+
+def test_whole_content_around_articles():
+    nested = f"<main><h1>Title</h1><article><p>{LONG}</p></article><p>ok</p></main>"
+    assert main_text(page(MENU + nested + "<div>&copy; me</div>")) == f"Title\n\n{LONG}\n\nok"
+    several = "<article><h2>A</h2><p>{0}</p></article><article><p>Short one.</p></article><article><p>{0}</p></article>"
+    want = f"A\n\n{LONG}\n\nShort one.\n\n{LONG}"
+    for around in ("{}", "<main>{}</main>", "<div class=list>{}</div>"):
+        assert main_text(page(MENU + around.format(several.format(LONG)) + MENU)) == want
+    card = f"<article><p>{LONG}</p></article>"
+    for around in ("{}", "<div>{}</div>"):
+        body = around.format(f"<div><p>{LONG}</p><p>x</p></div><div><p>{LONG}</p></div>{card}")
+        assert main_text(page(body)) == f"{LONG}\n\nx\n\n{LONG}\n\n{LONG}"
+
+
+def test_whole_content_around_divs():
+    parts = f"<div class=title><h1>Title</h1></div><div><p>{LONG}</p></div><div><p>ok</p></div>"
+    table = "<table><tr><td>one</td><td>two</td></tr></table>"
+    want = ["Title", LONG, "ok", "one", "two", LONG]
+    body = f"{parts}{table}<div><p>{LONG}</p></div>"
+    for around in ("{}", "<div id=content>{}</div>", "<section>{}</section>", "<div><div>{}</div></div>"):
+        assert main_text(page(MENU + around.format(body) + MENU)) == "\n\n".join(want)
+    one = f"<div id=content>{parts}</div>"
+    assert main_text(page(one)) == main_text(page(f"<div id=wrap>{MENU}{one}{MENU}</div>")) == "\n\n".join(want[:3])
+    assert main_text(page(f"<div class=title><h1>Title</h1></div><div><p>{LONG}</p></div>")) == f"Title\n\n{LONG}"
+    assert main_text(page(MENU)) == ""
+
+
+def test_layout_words_of_wrappers():
+    for name in ("has-sidebar", "layout-sidebar", "no-comments wide", "with_sidebar"):
+        assert main_text(page(f'<div class="{name}"><p>{LONG}</p></div>')) == LONG
+    for name in ("sidebar", "wide comments", "no-margin sidebar"):
+        assert main_text(page(f'<div class="{name}"><p>{LONG}</p></div><div><p>ok</p></div>')) == "ok"
+
+
 def test_white_space_references_and_broken_markup():
     assert main_text("<p>a \n\t b&nbsp;c &eacute;&#233; <b>d</b>e<br>f") == "a b c éé de f"
     assert main_text("<article><p><b>one two<br><p>three</p></article>") == "one two\n\nthree"
