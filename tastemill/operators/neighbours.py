@@ -12,6 +12,9 @@ from tastemill.functions.ranked import top_per
 from tastemill.operators.postprocess import drop_seen, top_n
 from tastemill.session import write_stage
 
+#: The least chance with which min-hashes must meet a pair at the bar.
+_MET = 0.9
+
 
 
 def _shared() -> Column:
@@ -291,29 +294,39 @@ def minhash_neighbours(prefs: DataFrame, tables: int, threshold: float, k: int)
     agrees; every candidate's Jaccard is then counted exactly. Signatures are
     plain ``min`` aggregates, so no owner list is gathered, and items with the
     same owners are one class (see ``functions.copies``).
+
+    A pair at the bar is met with chance 1 - (1 - threshold)^tables. Where that
+    is under 0.9, hashing would lose too many pairs (and enough tables would
+    meet most pairs that share a user anyway), so all pairs with a shared user
+    are counted instead and the lists are exact.
     """
     require(prefs, "user", "item")
+    hashed = 1 - (1 - threshold) ** tables >= _MET
     owned = write_stage(prefs.select("user", "item"), "owned")
+    mins = [F.min(F.xxhash64(F.lit(t), "user")) for t in range(tables)]
     sketches = owned.groupBy("item").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.xxhash64("user").cast("decimal(20,0)")).alias("_sig"),
         F.sum(F.xxhash64(F.lit(-1), "user").cast("decimal(20,0)")).alias("_sig2"),
-        F.array(*[F.min(F.xxhash64(F.lit(t), "user")) for t in range(tables)]).alias("sketch"),
+        *([F.array(*mins).alias("sketch")] if hashed else []),
     )
     sketches = write_stage(sketches, "sketches")
     members = write_stage(members_of(sketches, "item", ["n", "_sig", "_sig2"]), "classes")
     reps = sketches.join(
         members.filter(F.col("id") == F.col("rep")).select(F.col("id").alias("item")), "item", "left_semi"
     )
-    spots = reps.select("item", F.posexplode("sketch").alias("t", "h")).select(
-        F.xxhash64("t", "h").alias("bucket"), "item"
-    )
-    candidates = shared_pairs(spots.distinct(), "bucket", "item").select("a", "b").distinct()
-    of_a = owned.select(F.col("item").alias("a"), "user")
-    of_b = owned.select(F.col("item").alias("b"), "user")
-    shared = (
-        candidates.join(of_a, "a").join(of_b, ["b", "user"]).groupBy("a", "b").agg(_shared())
-    )
+    if hashed:
+        spots = reps.select("item", F.posexplode("sketch").alias("t", "h")).select(
+            F.xxhash64("t", "h").alias("bucket"), "item"
+        )
+        candidates = shared_pairs(spots.distinct(), "bucket", "item").select("a", "b").distinct()
+        of_a = owned.select(F.col("item").alias("a"), "user")
+        of_b = owned.select(F.col("item").alias("b"), "user")
+        shared = (
+            candidates.join(of_a, "a").join(of_b, ["b", "user"]).groupBy("a", "b").agg(_shared())
+        )
+    else:
+        shared = cooccur(owned.join(reps.select("item"), "item", "left_semi"))
     sizes = reps.select("item", "n")
     sized = shared.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
     score = round6(F.col("k") / (F.col("n_a") + F.col("n_b") - F.col("k")))

@@ -15,6 +15,8 @@ from tastemill.operators import baseline, content, factors, graph, metrics, patt
 from tastemill.operators import interactions as prep
 from tastemill.operators import neighbours as nb
 from tastemill.operators import postprocess as pp
+from tastemill.plans import common
+from tastemill.plans import content as registered
 from tastemill.sources import tables
 
 PREFS = "user bigint, item bigint, weight double"
@@ -139,6 +141,14 @@ def test_minhash_pairs_are_exact_and_found(spark, tastes):
     assert found <= wanted and len(found) >= 0.8 * len(wanted)
 
 
+def test_registered_minhash_finds_the_exact_lists(spark):
+    folder = "/root/testdata/sf0.01"
+    near = set(rows(registered.QUERIES["minhash_neighbours"](spark, folder), "id", "b"))
+    wanted = nb.item_jaccard(common.prefs(spark, folder)).filter("score >= 0.04")
+    exact = set(rows(nb.neighbours(wanted, 10), "a", "b"))
+    assert len(near & exact) >= 0.9 * len(exact)
+
+
 def test_slope_one_by_hand(spark):
     data = [(1, 1, 5.0), (1, 2, 3.0), (2, 1, 3.0), (2, 2, 4.0), (3, 2, 2.0)]
     ratings = spark.createDataFrame(data, "user bigint, item bigint, rating double")
