@@ -281,6 +281,28 @@ def test_vector_searches_agree_with_the_exact_one(spark):
     assert hashed.filter("score < -0.8 or id = b").count() == 0
 
 
+def test_cluster_search_finds_the_lists_with_and_without_clusters(spark):
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=(25, 16))
+    for spread, few in ((0.1, True), (0.4, True), (30.0, False)):
+        v = centre[np.arange(600) % 25] + spread * rng.normal(size=(600, 16))
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id bigint, vec array<double>")
+        exact = set(rows(factors.nearest_exact(df, df, 10), "id", "b"))
+        model = factors.cluster_items(df, factors.cluster_count(df), 5)
+        found = factors.nearest_in_cluster(df, model, 10, 4, 64)
+        assert len(exact & set(rows(found, "id", "b"))) >= 0.9 * len(exact)
+        by_cell = "cell#" in found._jdf.queryExecution().analyzed().toString()
+        assert by_cell or not few
+
+
+def test_registered_cluster_search_finds_the_exact_lists(spark):
+    folder = "/root/testdata/sf0.01"
+    exact = set(rows(registered.QUERIES["nearest_exact"](spark, folder), "id", "b"))
+    near = set(rows(registered.QUERIES["nearest_in_cluster"](spark, folder), "id", "b"))
+    assert len(exact & near) >= 0.9 * len(exact)
+
+
 def test_hashing_meets_few_pairs_and_finds_the_near_ones(spark):
     rng = np.random.default_rng(4)
     centre = rng.normal(size=(60, 64))
