@@ -1,9 +1,13 @@
+import random
 import re
+import time
 from html import unescape
 
+import pytest
+
 from odd_tables import PAGES
 
-from tastemill.llm.main_text import extract, main_text
+from tastemill.llm.main_text import extract, main_text, sound
 from tastemill.sources.tables import read_table
 
 PARAGRAPH = "A river runs past the mill and seven herons wait for fish every dawn. "
@@ -111,3 +115,101 @@ def test_odd_rows(spark):
     assert sorted(r.n_chars for r in out) == sorted([0, 0, len(PARAGRAPH * 5000) - 1, 3, 3])
     assert all(len(r.text) == r.n_chars for r in out)
     assert extract(spark.createDataFrame([], PAGES)).count() == 0
+
+
+@pytest.mark.parametrize("odd", ["<![foo[ x", "<![x y z>", "<![\n", "<![CDATA[ y ]]>", "<!x", "<?php x ?>", "</ x>", "<! >"])
+def test_marked_sections_and_declarations_do_not_stop_a_page(odd):
+    assert LONG in main_text(page(f"<p>{LONG}</p>{odd}"))
+    assert main_text(page(f"{odd}<p>{LONG}</p>")).endswith(LONG)
+
+
+BROKEN = {
+    "open tags": "<a ",
+    "ends without a start": "<div></td>",
+    "articles": "<article>",
+    "scripts": "<script>x ",
+    "comments": "<!-- ",
+    "quotes": "<a b='c \" ",
+    "quoted ends": '<a b=">" ',
+    "spans": "<span></a>",
+    "links in paragraphs": "<a><p></p>",
+    "doubtful": "<form class=comments>",
+    "references": "&amp;&",
+    "marks": "<![x",
+    "spaces": "<p" + " " * 50,
+    "lesser": "< <",
+    "menus": "<div><ul><li><a href=1>x",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(BROKEN))
+def test_broken_markup_takes_time_in_proportion(kind):
+    start = time.time()
+    for after in ("", ">", f"<p>{LONG}</p>"):
+        main_text(BROKEN[kind] * (1_000_000 // len(BROKEN[kind])) + after)
+    assert time.time() - start < 30  # quadratic work on a megabyte takes many minutes
+
+
+def test_random_markup_never_raises():
+    rng = random.Random(5)
+    bits = ["<", ">", "</", "<!", "<!--", "-->", "<![", "]]>", "<?", "'", '"', "=", "&", "&#", "&lt", " ", "a", "p", "div",
+            "<p>", "</p>", "<div class=x>", "<article>", "</article>", "<script>", "</script", "<form>", "<td>", "text ", "\n",
+            "<title>", "<textarea", "class='comments'", "/>", "é"]
+    for n in range(400):
+        html = "".join(rng.choices(bits, k=rng.randrange(1, 200)))
+        main_text(html)
+        assert not re.search("<script>(?!</script>)", sound(html))
+    start = time.time()
+    main_text("".join(rng.choices(bits, k=400_000)))
+    assert time.time() - start < 20
+
+
+def test_whole_tags_pass_unchanged():
+    html = '<!DOCTYPE html><p class="a b" title=\'x > y\' data-x=1>a &lt; b<br/></p ><a href=/x/y>z</a>'
+    assert sound(html) == html.removeprefix("<!DOCTYPE html>").replace(" href=/x/y", "")
+    assert sound("<p>a<!-- <p>no --><!--->b<script>if (a<b) '<p>'</script>c") == "<p>ab<script></script>c"
+    assert sound("a < b <p don't>it's") == "a &lt; b <p>it's"
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<div class="elementor-widget elementor-widget-text-editor">{}</div>',
+        '<form id="aspnetForm"><input name=q>{}</form>',
+        "<form><article>{}</article></form>",
+        "<article><form>{}</form></article>",
+        '<div class="site sidebar-right">{}</div>',
+        '<div class="overlay">{}</div>',
+        '<article><section class="search-theory">{}</section></article>',
+        '<article><div class="social-history">{}</div></article>',
+        '<article><div class="notice-board">{}</div></article>',
+        '<article><div class="share-price-analysis">{}</div></article>',
+    ],
+)
+def test_names_are_evidence_only(around):
+    body = f"<p>{LONG}</p><p>Short.</p><p>{LONG}</p>"
+    want = f"{LONG}\n\nShort.\n\n{LONG}"
+    noise = "<div class=cookie-notice>We use cookies to serve you better.</div><form><label>Name</label><input></form>"
+    assert main_text(page(around.format(body))) == want
+    assert main_text(page(MENU + around.format(noise + body) + MENU)) == want
+
+
+def test_widgets_of_a_page_builder_stay_together():
+    parts = "".join(f"<div class=elementor-widget><p>{LONG}</p></div>" for _ in range(3))
+    assert main_text(page(f"<div class=elementor-section>{parts}</div>")) == "\n\n".join([LONG] * 3)
+
+
+def test_comments_after_the_article_go():
+    said = "".join(f"<div><p>Ann, 3 May</p><p>{PARAGRAPH * 4}</p></div>" for _ in range(5))
+    article = f"<article><h1>Head</h1><p>{LONG}</p></article>"
+    for name in ("<section class=responses>", "<section>", "<div class=post-comments>", "<div id=disqus_thread>"):
+        end = "</section>" if name.startswith("<section") else "</div>"
+        assert main_text(page(f"{MENU}{article}{name}{said}{end}")) == f"Head\n\n{LONG}"
+
+
+def test_lines_of_links_and_rights_beside_the_text_go():
+    links = "".join(f"<li><a href=/{i}>Another page {i}</a></li>" for i in range(5))
+    body = f"<p>{LONG}</p><p>Short.</p><p>{LONG}</p>"
+    foot = f"<ul>{links}</ul><p>&copy; 2024 The Mill. All rights reserved.</p>"
+    assert main_text(page(f"<div><ul>{links}</ul>{body}{foot}</div>")) == f"{LONG}\n\nShort.\n\n{LONG}"
+    assert main_text(page(f"<article>{body}<p><a href=1>one</a></p><p><a href=1>two</a></p></article>")).endswith("one\n\ntwo")
