@@ -226,7 +226,8 @@ def boost(
 def fit(measured: DataFrame, labels: DataFrame, key: str = "doc_id", sample: int = SAMPLE) -> Forest | None:
     """Trees from labelled rows; a quarter of the ids is held out so that they can be tested.
 
-    About ``sample`` rows are taken by a hash of the id, ordered by id, so the same rows give the same trees.
+    About ``sample`` rows are taken by a hash of the id, ordered by id, so the same rows give the same trees;
+    of texts with one id the one with the smallest statistics counts.
     """
     taught = (
         labels.filter(F.col(key).isNotNull() & F.col("quality").isNotNull())
@@ -242,7 +243,7 @@ def fit(measured: DataFrame, labels: DataFrame, key: str = "doc_id", sample: int
     rows = (
         measured.join(taught.filter(place < share), key)
         .groupBy(key)
-        .agg(F.first("features").alias("features"), F.first("good").alias("good"))
+        .agg(F.min("features").alias("features"), F.min("good").alias("good"))
         .orderBy(key)
         .collect()
     )

@@ -19,6 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -198,28 +199,32 @@ def span_text(spans: Column) -> Column:
     )
 
 
+def mask_text(text: str, starts: list[int], stops: list[int], mask: str) -> str:
+    """``text`` with one ``mask`` for each stretch that spans, sorted by start, cover."""
+    out, at = [], 0
+    for start, stop in zip(starts, stops):
+        if start > at or not out:
+            out.append(text[at:start])
+        at = max(at, stop)
+    return mask.join([*out, text[at:]])
+
+
 def masked(text: Column, spans: Column, mask: str = "[REDACTED]") -> Column:
     """``text`` with the characters of all spans replaced by one ``mask`` per covered stretch.
 
-    The gaps between spans are cut out with built-in functions. Spans may
-    overlap and must be sorted by start.
+    Spans may overlap and must be sorted by start. Texts without spans (null or
+    none) stay in the JVM; the others are cut in one pass each, however many
+    spans they have.
     """
-    empty = F.array().cast("array<struct<start:int,stop:int>>")
-    start = F.struct(empty.alias("gaps"), F.lit(0).alias("at"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.array(F.struct(acc["at"].alias("start"), s["start"].alias("stop")))
-        apart = (s["start"] > acc["at"]) | (F.size(acc["gaps"]) == 0)
-        return F.struct(
-            F.when(apart, F.concat(acc["gaps"], gap)).otherwise(acc["gaps"]).alias("gaps"),
-            F.greatest(acc["at"], s["stop"]).alias("at"),
+
+    def cut(texts: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
+        return pd.Series(
+            [None if t is None else mask_text(t, a, b, mask) for t, a, b in zip(texts, starts, stops)], dtype=object
         )
 
-    cut = F.aggregate(spans, start, step)
-    kept = F.transform(cut["gaps"], lambda g: F.substring(text, g["start"] + 1, g["stop"] - g["start"]))
-    tail = F.substring(text, cut["at"] + 1, F.char_length(text))
-    joined = F.array_join(F.concat(kept, F.array(tail)), mask)
-    return F.when(F.size(spans) > 0, joined).otherwise(text)
+    some = F.size(spans) > 0
+    made = F.pandas_udf(cut, "string")(F.when(some, text), spans["start"], spans["stop"])
+    return F.when(some, made).otherwise(text)
 
 
 def redact(docs: DataFrame, row: str) -> DataFrame:
@@ -232,8 +237,9 @@ def redact(docs: DataFrame, row: str) -> DataFrame:
         find_secrets(docs, row).filter(F.size("spans") > 0).select(F.col(row), F.col("spans").alias(name))
     )
     found = write_stage(found, "secret-spans")
-    out = docs.join(found, row, "left")
-    text = masked(F.col("text"), F.col(name))
+    fresh = unused(docs, "masked_text")
+    out = docs.join(found, row, "left").withColumn(fresh, masked(F.col("text"), F.col(name)))
+    text = F.col(fresh)
     changed = F.col(name).isNotNull()
     picked = []
     for c in docs.columns:

@@ -1,4 +1,5 @@
 import hashlib
+import time
 import random
 import re
 
@@ -78,3 +79,31 @@ def test_overlapping_spans_are_masked_once(spark):
     hexes = hashlib.md5(b"x").hexdigest()
     docs = documents(spark, [(1, f"é token = \"{hexes}\" z {hexes}", None)])
     assert secret_scan.without_secrets(docs).first().text == 'é [REDACTED]" z [REDACTED]'
+
+
+def test_masking_many_spans_takes_one_pass():
+    spans = [(i * 10 + i % 7, i * 10 + i % 7 + i % 13) for i in range(200_000)]
+    text = "abcdefghij" * 200_000
+    covered = bytearray(len(text) + 20)
+    for a, b in spans:
+        covered[a:b] = b"x" * (b - a)
+    start = time.time()
+    found = secret_scan.mask_text(text, [a for a, _ in spans], [b for _, b in spans], "#")
+    assert time.time() - start < 5
+    # A span of no width between two letters is masked too, so the plain loop marks places, not only letters.
+    plain, at = [], 0
+    for a, b in spans:
+        if a > at or not plain:
+            plain.append(text[at:a])
+        at = max(at, b)
+    assert found == "#".join(plain) + "#" + text[at:]
+    kept = "".join(c for c, x in zip(text, covered) if not x)
+    assert found.replace("#", "") == kept
+
+
+def test_a_text_with_many_spans_is_masked_in_a_job(spark):
+    line = "token=abcdefgh9\n"
+    docs = documents(spark, [(1, line * 20_000, None), (2, "none", None), (3, None, None)])
+    by_id = {r.doc_id: r for r in secret_scan.without_secrets(docs).collect()}
+    assert by_id[1].text == "[REDACTED]\n" * 20_000 and by_id[1].n_chars == len(by_id[1].text)
+    assert by_id[2].text == "none" and by_id[3].text is None
