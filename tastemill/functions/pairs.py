@@ -80,6 +80,65 @@ def shared_pairs(
     return joined.select(*picked)
 
 
+def _halves(rows: DataFrame, group: str, member: str, values: Sequence[str], cell: int) -> DataFrame:
+    """(list_x, list_y): for each join cell of a group the members of its two chunks, at most ``cell`` a list or so."""
+    tagged = _cells(rows, group, member, cell)
+    one = F.struct(F.col(member).alias("m"), F.col("_salts"), *[F.col(v).alias(f"v_{v}") for v in values])
+    lists = tagged.groupBy(group, "_chunk", "_chunks").agg(F.collect_list(one).alias("list"))
+    others = F.sequence(F.lit(0), F.col("_chunks") - 1)
+    left = lists.select(group, F.col("_chunk").alias("_i"), F.explode(others).alias("_j"), F.col("list").alias("list_x"))
+    right = lists.select(group, F.explode(others).alias("_i"), F.col("_chunk").alias("_j"), F.col("list").alias("list_y"))
+    return left.join(right, [group, "_i", "_j"]).select("list_x", "list_y")
+
+
+def directed_pairs(
+    rows: DataFrame, group: str, member: str, values: Sequence[str] = (), cell: int = CELL
+) -> DataFrame:
+    """One row per ordered pair ``a <> b`` and shared group, all rows of (a, part, b) in one task.
+
+    ``rows`` must be unique in (group, member). What is shuffled are lists of
+    members, one for each member and chunk of a group it is in; pairs are made
+    after that, so whatever is added up by (a, part, b) needs no further shuffle.
+    Groups are cut as in ``shared_pairs``. A member of more than ``cell`` groups
+    has several parts, by a hash of the other member, so it is no task's alone.
+    """
+    rows = write_stage(rows.select(group, member, *values), "members")
+    heavy = (
+        rows.groupBy(member)
+        .agg(F.count(F.lit(1)).alias("_in"))
+        .filter(F.col("_in") > cell)
+        .select(member, F.ceil(F.col("_in") / F.lit(cell)).cast("int").alias("_salts"))
+    )
+    rows = rows.join(heavy, member, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+    halves = _halves(rows, group, member, values, cell)
+    firsts = halves.select(F.inline("list_x").alias("a", "_salts", *[f"{v}_a" for v in values]), "list_y")
+    parted = firsts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    own = F.filter("list_y", lambda y: F.pmod(F.xxhash64(y["m"]), F.col("_salts")) == F.col("part"))
+    mine = F.when(F.col("_salts") == 1, F.col("list_y")).otherwise(own)
+    # Fields travel as arrays of their own, which are half as long as an array of structs.
+    columns = [mine["m"].alias("b"), *[mine[f"v_{v}"].alias(f"{v}_b") for v in values]]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = ["a", "part", *[f"{v}_a" for v in values]]
+    sent = parted.select(*kept, *columns).repartition(parts, "a", "part")
+    zipped = F.arrays_zip("b", *[f"{v}_b" for v in values])
+    return sent.select(*kept, F.inline(zipped)).filter("a <> b")
+
+
+def directed_stats(
+    rows: DataFrame,
+    group: str,
+    member: str,
+    aggregates: Sequence[Column],
+    values: Sequence[str] = (),
+    fixed: Sequence[str] = (),
+    cell: int = CELL,
+) -> DataFrame:
+    """``directed_pairs`` folded to one row per ordered pair; ``fixed`` values belong to the member alone."""
+    pairs = directed_pairs(rows, group, member, [*values, *fixed], cell)
+    own = [f"{v}_{side}" for side in "ab" for v in fixed]
+    return pairs.groupBy("a", "part", "b", *own).agg(*aggregates).drop("part")
+
+
 def pair_stats(
     rows: DataFrame,
     group: str,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.functions.exact import exact_sum, require, round6
-from tastemill.functions.pairs import mirrored, pair_stats
+from tastemill.functions.pairs import directed_stats
 from tastemill.functions.ranked import top_per
 from tastemill.session import write_stage
 
@@ -93,20 +93,16 @@ def mass_diffusion(prefs: DataFrame, blend: float, k: int) -> DataFrame:
     pairs = prefs.select("user", "item")
     share = pairs.groupBy("user").agg((1.0 / F.count(F.lit(1))).alias("r"))
     sizes = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    flows = pair_stats(
+    flows = directed_stats(
         pairs.join(sizes, "item").join(share, "user"),
         "user",
         "item",
-        [
-            exact_sum(F.col("r_a")).alias("flow"),
-            F.max("n_a").alias("n_a"),
-            F.max("n_b").alias("n_b"),
-        ],
-        ["r", "n"],
+        [exact_sum(F.col("r_a")).alias("flow")],
+        ["r"],
+        ["n"],
     )
-    directed = mirrored(flows, both=["flow"], sided=["n"])
     base = F.pow(F.col("n_b").cast("double"), F.lit(1.0 - blend)) * F.pow(
         F.col("n_a").cast("double"), F.lit(blend)
     )
-    scored = directed.select("a", "b", round6(F.col("flow") / base).alias("score"))
+    scored = flows.select("a", "b", round6(F.col("flow") / base).alias("score"))
     return top_per(scored, ["a"], [F.desc("score"), F.asc("b")], k)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.functions.copies import hand_out, members_of
 from tastemill.functions.exact import exact_sum, require, round6
-from tastemill.functions.pairs import mirrored, pair_stats, shared_pairs
+from tastemill.functions.ordered import OrderedSplit
+from tastemill.functions.pairs import directed_pairs, directed_stats, mirrored, pair_stats, shared_pairs
 from tastemill.functions.ranked import top_per
 from tastemill.operators.postprocess import drop_seen, top_n
 from tastemill.session import write_stage
@@ -17,30 +20,71 @@ _MET = 0.9
 
 
 
+@dataclass(frozen=True)
+class Measure:
+    """How alike two items are by the users they share.
+
+    ``rows`` are (user, item) with ``fixed`` values of the item and ``values`` of
+    the row itself; both travel with the rows, which are few, so that the pairs
+    need no join. ``sums`` are added up over shared users (``k`` counts them),
+    and ``score`` is made of them and of the fixed values of ``a`` and ``b``.
+    """
+
+    rows: DataFrame
+    score: Column
+    sums: tuple[Column, ...] = ()
+    values: tuple[str, ...] = ()
+    fixed: tuple[str, ...] = ()
+    keep: Column | None = None
+    #: The score of (a, b) is another one than that of (b, a).
+    directed: bool = False
+
+    def _scored(self, pairs: DataFrame) -> DataFrame:
+        kept = pairs if self.keep is None else pairs.filter(self.keep)
+        return kept.select("a", "b", "k", round6(self.score).alias("score"))
+
+    def pairs(self) -> DataFrame:
+        """(a, b, k, score) of all pairs a < b that share a user; both directions of a directed measure."""
+        sides = [F.max(f"{v}_{s}").alias(f"{v}_{s}") for v in self.fixed for s in "ab"]
+        found = pair_stats(self.rows, "user", "item", [_shared(), *self.sums, *sides], [*self.values, *self.fixed])
+        if self.directed:
+            found = mirrored(found, both=["k"], sided=list(self.fixed))
+        return self._scored(found)
+
+    def nearest(self, k: int) -> DataFrame:
+        """(a, b, k, score, rank): the best k neighbours of every item.
+
+        Lists are made where the pairs of an item are, so no pair is shuffled
+        (see ``functions.pairs.directed_pairs``).
+        """
+        found = directed_stats(self.rows, "user", "item", [_shared(), *self.sums], self.values, self.fixed)
+        if not self.directed:
+            # In one order for both directions, so that both round alike.
+            in_order = F.col("a") < F.col("b")
+            found = found.withColumns(
+                {
+                    f"{v}_{s}": F.when(in_order, F.col(f"{v}_{s}")).otherwise(F.col(f"{v}_{o}"))
+                    for v in self.fixed
+                    for s, o in ("ab", "ba")
+                }
+            )
+        return top_per(self._scored(found), ["a"], [F.desc("score"), F.asc("b")], k)
+
+
 def _shared() -> Column:
     return F.count(F.lit(1)).alias("k")
 
 
 def _sized(prefs: DataFrame, key: str = "item") -> DataFrame:
-    """Preferences with ``n``, the owners of the item, carried on each row.
-
-    Attached before pairing: the preference table is far smaller than the pair
-    table, which then needs no join at all.
-    """
+    """Preferences with ``n``, the owners of the item, carried on each row."""
     sizes = prefs.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return prefs.select("user", "item").join(sizes, key)
 
 
-def _binary_pairs(prefs: DataFrame) -> DataFrame:
-    """a < b, k shared users, n_a and n_b owners."""
+def _binary(prefs: DataFrame, score: Column, **how) -> Measure:
+    """A measure of k, n_a and n_b."""
     require(prefs, "user", "item")
-    return pair_stats(
-        _sized(prefs),
-        "user",
-        "item",
-        [_shared(), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b")],
-        ["n"],
-    )
+    return Measure(_sized(prefs), score, fixed=("n",), **how)
 
 
 def cooccur(prefs: DataFrame) -> DataFrame:
@@ -55,107 +99,121 @@ def neighbours(similar: DataFrame, k: int) -> DataFrame:
     return top_per(directed, ["a"], [F.desc("score"), F.asc("b")], k)
 
 
-def item_cosine(prefs: DataFrame) -> DataFrame:
+def cosine(prefs: DataFrame) -> Measure:
     """k / sqrt(n_a n_b) over binary ownership."""
-    score = F.col("k") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b"))
-    return _binary_pairs(prefs).select("a", "b", "k", round6(score).alias("score"))
+    return _binary(prefs, F.col("k") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b")))
 
 
-def item_cosine_weighted(prefs: DataFrame) -> DataFrame:
+def item_cosine(prefs: DataFrame) -> DataFrame:
+    return cosine(prefs).pairs()
+
+
+def weighted_cosine(prefs: DataFrame) -> Measure:
     """Dot product of weight columns over their norms."""
     require(prefs, "user", "item", "weight")
     w = F.col("weight")
     norms = prefs.groupBy("item").agg(F.sqrt(exact_sum(w * w, 1e6)).alias("norm"))
-    rows = prefs.select("user", "item", "weight").join(norms, "item")
-    dots = pair_stats(
-        rows,
-        "user",
-        "item",
-        [
-            _shared(),
-            exact_sum(F.col("weight_a") * F.col("weight_b"), 1e6).alias("dot"),
-            F.max("norm_a").alias("norm_a"),
-            F.max("norm_b").alias("norm_b"),
-        ],
-        ["weight", "norm"],
-    )
-    score = F.col("dot") / (F.col("norm_a") * F.col("norm_b"))
-    return dots.filter(F.col("norm_a") * F.col("norm_b") > 0).select(
-        "a", "b", "k", round6(score).alias("score")
+    both = F.col("norm_a") * F.col("norm_b")
+    return Measure(
+        prefs.select("user", "item", "weight").join(norms, "item"),
+        F.col("dot") / both,
+        (exact_sum(F.col("weight_a") * F.col("weight_b"), 1e6).alias("dot"),),
+        ("weight",),
+        ("norm",),
+        both > 0,
     )
 
 
+def item_cosine_weighted(prefs: DataFrame) -> DataFrame:
+    return weighted_cosine(prefs).pairs()
+
+
+def jaccard(prefs: DataFrame) -> Measure:
+    """Shared users over all users of either."""
+    return _binary(prefs, F.col("k") / (F.col("n_a") + F.col("n_b") - F.col("k")))
+
+
 def item_jaccard(prefs: DataFrame) -> DataFrame:
-    score = F.col("k") / (F.col("n_a") + F.col("n_b") - F.col("k"))
-    return _binary_pairs(prefs).select("a", "b", "k", round6(score).alias("score"))
+    return jaccard(prefs).pairs()
 
 
 def _user_count(prefs: DataFrame) -> Column:
     return prefs.agg(F.countDistinct("user").alias("n")).scalar()
 
 
-def item_lift(prefs: DataFrame) -> DataFrame:
+def _lift(prefs: DataFrame) -> Column:
+    return F.col("k").cast("double") * _user_count(prefs) / (F.col("n_a").cast("double") * F.col("n_b"))
+
+
+def lift(prefs: DataFrame) -> Measure:
     """k N / (n_a n_b)."""
-    pairs = _binary_pairs(prefs).withColumn("N", _user_count(prefs))
-    score = F.col("k").cast("double") * F.col("N") / (F.col("n_a").cast("double") * F.col("n_b"))
-    return pairs.select("a", "b", "k", round6(score).alias("score"))
+    return _binary(prefs, _lift(prefs))
 
 
-def item_pmi(prefs: DataFrame) -> DataFrame:
+def item_lift(prefs: DataFrame) -> DataFrame:
+    return lift(prefs).pairs()
+
+
+def pmi(prefs: DataFrame) -> Measure:
     """Natural log of the lift."""
-    pairs = _binary_pairs(prefs).withColumn("N", _user_count(prefs))
-    lift = F.col("k").cast("double") * F.col("N") / (F.col("n_a").cast("double") * F.col("n_b"))
-    return pairs.select("a", "b", "k", round6(F.ln(lift)).alias("score"))
+    return _binary(prefs, F.ln(_lift(prefs)))
+
+
+def item_pmi(prefs: DataFrame) -> DataFrame:
+    return pmi(prefs).pairs()
 
 
 def _xlogx(x: Column) -> Column:
     return F.when(x > 0, x * F.ln(x)).otherwise(F.lit(0.0))
 
 
-def item_llr(prefs: DataFrame) -> DataFrame:
+def llr(prefs: DataFrame) -> Measure:
     """Log-likelihood ratio of the 2x2 table of owners of a and of b."""
-    total = F.col("N").cast("double")
+    total = _user_count(prefs).cast("double")
     both = F.col("k").cast("double")
     only_a, only_b = F.col("n_a") - both, F.col("n_b") - both
     neither = total - F.col("n_a") - F.col("n_b") + both
     cells = _xlogx(both) + _xlogx(only_a) + _xlogx(only_b) + _xlogx(neither)
     rows = _xlogx(F.col("n_a").cast("double")) + _xlogx(total - F.col("n_a"))
     columns = _xlogx(F.col("n_b").cast("double")) + _xlogx(total - F.col("n_b"))
-    score = F.greatest(F.lit(0.0), 2.0 * (cells - rows - columns + _xlogx(total)))
-    pairs = _binary_pairs(prefs).withColumn("N", _user_count(prefs))
-    return pairs.select("a", "b", "k", round6(score).alias("score"))
+    return _binary(prefs, F.greatest(F.lit(0.0), 2.0 * (cells - rows - columns + _xlogx(total))))
 
 
-def item_iuf_cosine(prefs: DataFrame) -> DataFrame:
+def item_llr(prefs: DataFrame) -> DataFrame:
+    return llr(prefs).pairs()
+
+
+def iuf_cosine(prefs: DataFrame) -> Measure:
     """Cosine in which a shared user of n_u items counts 1 / ln(1 + n_u)."""
     require(prefs, "user", "item")
     breadth = prefs.groupBy("user").agg(
         (1.0 / F.ln(1.0 + F.count(F.lit(1)))).alias("iuf")
     )
-    pairs = pair_stats(
+    return Measure(
         _sized(prefs).join(breadth, "user"),
-        "user",
-        "item",
-        [
-            _shared(),
-            exact_sum(F.col("iuf_a")).alias("s"),
-            F.max("n_a").alias("n_a"),
-            F.max("n_b").alias("n_b"),
-        ],
-        ["iuf", "n"],
+        F.col("s") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b")),
+        (exact_sum(F.col("iuf_a")).alias("s"),),
+        ("iuf",),
+        ("n",),
     )
-    score = F.col("s") / F.sqrt(F.col("n_a").cast("double") * F.col("n_b"))
-    return pairs.select("a", "b", "k", round6(score).alias("score"))
 
 
-def item_conditional(prefs: DataFrame, alpha: float) -> DataFrame:
-    """Directed k / (n_a n_b ** alpha); both directions are returned."""
-    directed = mirrored(_binary_pairs(prefs), both=["k"], sided=["n"])
+def item_iuf_cosine(prefs: DataFrame) -> DataFrame:
+    return iuf_cosine(prefs).pairs()
+
+
+def conditional(prefs: DataFrame, alpha: float) -> Measure:
+    """Directed k / (n_a n_b ** alpha)."""
     score = F.col("k") / (F.col("n_a") * F.pow(F.col("n_b").cast("double"), F.lit(alpha)))
-    return directed.select("a", "b", "k", round6(score).alias("score"))
+    return _binary(prefs, score, directed=True)
 
 
-def item_adjusted_cosine(ratings: DataFrame) -> DataFrame:
+def item_conditional(prefs: DataFrame, alpha: float) -> DataFrame:
+    """Both directions are returned."""
+    return conditional(prefs, alpha).pairs()
+
+
+def adjusted_cosine(ratings: DataFrame) -> Measure:
     """Cosine of ratings centred by the user's mean, over shared users."""
     require(ratings, "user", "item", "rating")
     means = ratings.groupBy("user").agg(
@@ -164,47 +222,48 @@ def item_adjusted_cosine(ratings: DataFrame) -> DataFrame:
     rows = ratings.join(means, "user").select(
         "user", "item", (F.col("rating") - F.col("mean")).alias("c")
     )
-    sums = pair_stats(
+    base = F.sqrt(F.col("aa") * F.col("bb"))
+    return Measure(
         rows,
-        "user",
-        "item",
-        [
-            _shared(),
+        F.when(base > 0, F.col("ab") / base).otherwise(F.lit(0.0)),
+        (
             exact_sum(F.col("c_a") * F.col("c_b")).alias("ab"),
             exact_sum(F.col("c_a") * F.col("c_a")).alias("aa"),
             exact_sum(F.col("c_b") * F.col("c_b")).alias("bb"),
-        ],
-        ["c"],
+        ),
+        ("c",),
     )
-    base = F.sqrt(F.col("aa") * F.col("bb"))
-    score = F.when(base > 0, F.col("ab") / base).otherwise(F.lit(0.0))
-    return sums.select("a", "b", "k", round6(score).alias("score"))
 
 
-def item_pearson(ratings: DataFrame, min_overlap: int) -> DataFrame:
+def item_adjusted_cosine(ratings: DataFrame) -> DataFrame:
+    return adjusted_cosine(ratings).pairs()
+
+
+def pearson(ratings: DataFrame, min_overlap: int) -> Measure:
     """Pearson correlation over the users two items share."""
     require(ratings, "user", "item", "rating")
     ra, rb = F.col("rating_a"), F.col("rating_b")
-    sums = pair_stats(
+    k = F.col("k")
+    cov = k * F.col("sab") - F.col("sa") * F.col("sb")
+    va = k * F.col("saa") - F.col("sa") * F.col("sa")
+    vb = k * F.col("sbb") - F.col("sb") * F.col("sb")
+    return Measure(
         ratings.select("user", "item", "rating"),
-        "user",
-        "item",
-        [
-            _shared(),
+        F.when((va > 0) & (vb > 0), cov / F.sqrt(va * vb)).otherwise(F.lit(0.0)),
+        (
             exact_sum(ra, 1e6).alias("sa"),
             exact_sum(rb, 1e6).alias("sb"),
             exact_sum(ra * ra, 1e6).alias("saa"),
             exact_sum(rb * rb, 1e6).alias("sbb"),
             exact_sum(ra * rb, 1e6).alias("sab"),
-        ],
-        ["rating"],
-    ).filter(F.col("k") >= min_overlap)
-    k = F.col("k")
-    cov = k * F.col("sab") - F.col("sa") * F.col("sb")
-    va = k * F.col("saa") - F.col("sa") * F.col("sa")
-    vb = k * F.col("sbb") - F.col("sb") * F.col("sb")
-    score = F.when((va > 0) & (vb > 0), cov / F.sqrt(va * vb)).otherwise(F.lit(0.0))
-    return sums.select("a", "b", "k", round6(score).alias("score"))
+        ),
+        ("rating",),
+        keep=k >= min_overlap,
+    )
+
+
+def item_pearson(ratings: DataFrame, min_overlap: int) -> DataFrame:
+    return pearson(ratings, min_overlap).pairs()
 
 
 def _swap(table: DataFrame) -> DataFrame:
@@ -212,22 +271,26 @@ def _swap(table: DataFrame) -> DataFrame:
     return table.select(F.col("item").alias("user"), F.col("user").alias("item"), value)
 
 
-def user_similarity(table: DataFrame, method: str, min_overlap: int = 1) -> DataFrame:
+def user_measure(table: DataFrame, method: str, min_overlap: int = 1) -> Measure:
     """The item measures with the roles swapped; popular items are split, not dropped."""
     swapped = _swap(table)
     if method == "cosine":
-        return item_cosine(swapped)
+        return cosine(swapped)
     if method == "weighted":
-        return item_cosine_weighted(swapped)
+        return weighted_cosine(swapped)
     if method == "jaccard":
-        return item_jaccard(swapped)
+        return jaccard(swapped)
     if method == "adjusted":
-        return item_adjusted_cosine(swapped)
+        return adjusted_cosine(swapped)
     if method == "pearson":
-        return item_pearson(swapped, min_overlap)
+        return pearson(swapped, min_overlap)
     raise ValueError(f"unknown method: {method}")
 
 
+def user_similarity(table: DataFrame, method: str, min_overlap: int = 1) -> DataFrame:
+    return user_measure(table, method, min_overlap).pairs()
+
+
 def item_cf(prefs: DataFrame, near: DataFrame, n: int) -> DataFrame:
     """Unseen items by the weighted similarity to what a user owns, best n."""
     require(near, "a", "b", "score")
@@ -287,49 +350,137 @@ def slope_one_top(ratings: DataFrame, candidates: DataFrame, deviations: DataFra
     return top_n(predicted, n)
 
 
+#: How many rare users two items must share before they are compared.
+_DEEP = 2
+
+
+def _classes(owned: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
+    """(item, n, ...) of one item per set of owners, and (id, rep) of all items.
+
+    Items with the same owners are one class (see ``functions.copies``); two
+    sums of hashes and the size stand for the set.
+    """
+    sketches = owned.groupBy("item").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64("user").cast("decimal(20,0)")).alias("_sig"),
+        F.sum(F.xxhash64(F.lit(-1), "user").cast("decimal(20,0)")).alias("_sig2"),
+        *more,
+    )
+    sketches = write_stage(sketches, "sketches")
+    members = write_stage(members_of(sketches, "item", ["n", "_sig", "_sig2"]), "classes")
+    first = members.filter(F.col("id") == F.col("rep")).select(F.col("id").alias("item"))
+    return sketches.join(first, "item", "left_semi").drop("_sig", "_sig2"), members
+
+
+def _least_shared(bar: float, size: Column, other: Column | None = None) -> Column:
+    """Users two sets of these sizes must share to reach the bar; with one size, that set and any other."""
+    # Scores are rounded, so the bar is taken a little lower.
+    low = max(bar - 1e-6, 0.0)
+    part = low * size if other is None else low / (1 + low) * (size + other)
+    return F.greatest(F.ceil(part - F.lit(1e-9)), F.lit(1)).cast("bigint")
+
+
+def rare_owners(sized: DataFrame, bar: float, deep: int = _DEEP) -> DataFrame:
+    """(user, item, n, whole): of every item the owners by which it can be found.
+
+    ``sized`` is (user, item, n). Owners are ordered by how few items they have.
+    Two sets that reach the bar share at least ``least`` users; leaving all but
+    ``deep`` of these out at the frequent end of both, ``deep`` shared users are
+    left. Users with the longest histories, whose pairs are most, thus drop out.
+    ``whole`` marks items of which no owner is left out.
+    """
+    least = _least_shared(bar, F.col("n"))
+    kept = F.col("n") - least + F.least(F.lit(deep), least)
+    sized = sized.withColumn("_kept", kept)
+    whole = sized.filter(F.col("_kept") >= F.col("n")).select("user", "item", "n", F.lit(True).alias("whole"))
+    breadth = sized.groupBy("user").agg(F.count(F.lit(1)).alias("_breadth"))
+    cut = sized.filter(F.col("_kept") < F.col("n")).join(breadth, "user")
+    ranked = OrderedSplit(cut, ["item"], ["_breadth", "user"]).row_number("_at").result()
+    heads = ranked.filter(F.col("_at") <= F.col("_kept")).select("user", "item", "n", F.lit(False).alias("whole"))
+    return whole.unionByName(heads)
+
+
+def similar_sets(sized: DataFrame, bar: float, deep: int = _DEEP) -> DataFrame:
+    """(a, b, k, n_a, n_b): all pairs of items whose Jaccard reaches the bar, each once, exactly.
+
+    A join of an inverted index: items meet in the owners ``rare_owners`` leaves,
+    if their sizes allow the bar. Pairs of whole items are then counted; of the
+    others those with ``deep`` shared rare owners are candidates, and only for
+    these all owners of the smaller item are looked up in the other.
+    """
+    heads = rare_owners(sized, bar, deep)
+    low = max(bar - 1e-6, 0.0)
+    smaller = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    met = directed_pairs(heads, "user", "item", ["n", "whole"]).filter(
+        smaller & (F.col("n_a") >= F.lit(low) * F.col("n_b"))
+    )
+    counted = met.groupBy("a", "part", "b", "n_a", "n_b", "whole_a", "whole_b").agg(_shared())
+    need = _least_shared(bar, F.col("n_a"), F.col("n_b"))
+    known = F.col("whole_a") & F.col("whole_b")
+    enough = F.when(known, need).otherwise(F.least(F.lit(deep), need))
+    found = write_stage(
+        counted.filter(F.col("k") >= enough).select("a", "b", "k", "n_a", "n_b", known.alias("known")), "candidates"
+    )
+    of_a = sized.select(F.col("item").alias("a"), "user")
+    of_b = sized.select(F.col("item").alias("b"), "user")
+    checked = (
+        found.filter("not known")
+        .drop("k")
+        .join(of_a, "a")
+        .join(of_b, ["b", "user"])
+        .groupBy("a", "b", "n_a", "n_b")
+        .agg(_shared())
+    )
+    return (
+        found.filter("known")
+        .select("a", "b", "k", "n_a", "n_b")
+        .unionByName(checked.select("a", "b", "k", "n_a", "n_b"))
+        .filter(F.col("k") >= need)
+    )
+
+
+def _listed(shared: DataFrame, members: DataFrame, threshold: float, k: int) -> DataFrame:
+    """The k best of each item from (a, b, k, n_a, n_b) between representatives."""
+    score = round6(F.col("k") / (F.col("n_a") + F.col("n_b") - F.col("k")))
+    scored = shared.select("a", "b", score.alias("score")).filter(F.col("score") >= threshold)
+    near = top_per(mirrored(scored, both=["score"]), ["a"], [F.desc("score"), F.asc("b")], k)
+    return hand_out(near, members, k, F.lit(1.0))
+
+
+def jaccard_join(prefs: DataFrame, bar: float, k: int, deep: int = _DEEP) -> DataFrame:
+    """(id, b, score, rank): the k nearest items with Jaccard at least ``bar``, exactly (see ``similar_sets``)."""
+    require(prefs, "user", "item")
+    owned = write_stage(prefs.select("user", "item"), "owned")
+    reps, members = _classes(owned)
+    sized = write_stage(owned.join(reps, "item"), "sized")
+    return _listed(similar_sets(sized, bar, deep), members, bar, k)
+
+
 def minhash_neighbours(prefs: DataFrame, tables: int, threshold: float, k: int) -> DataFrame:
     """The k nearest items found by min-hashing, with Jaccard at least ``threshold``.
 
     Two items are candidates when one of ``tables`` min-hashes of their owners
     agrees; every candidate's Jaccard is then counted exactly. Signatures are
     plain ``min`` aggregates, so no owner list is gathered, and items with the
-    same owners are one class (see ``functions.copies``).
+    same owners are one class.
 
     A pair at the bar is met with chance 1 - (1 - threshold)^tables. Where that
-    is under 0.9, hashing would lose too many pairs (and enough tables would
-    meet most pairs that share a user anyway), so all pairs with a shared user
-    are counted instead and the lists are exact.
+    is under 0.9, hashing would lose too many pairs, so the pairs come from the
+    exact join ``similar_sets`` instead.
     """
     require(prefs, "user", "item")
-    hashed = 1 - (1 - threshold) ** tables >= _MET
+    if 1 - (1 - threshold) ** tables < _MET:
+        return jaccard_join(prefs, threshold, k)
     owned = write_stage(prefs.select("user", "item"), "owned")
     mins = [F.min(F.xxhash64(F.lit(t), "user")) for t in range(tables)]
-    sketches = owned.groupBy("item").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("user").cast("decimal(20,0)")).alias("_sig"),
-        F.sum(F.xxhash64(F.lit(-1), "user").cast("decimal(20,0)")).alias("_sig2"),
-        *([F.array(*mins).alias("sketch")] if hashed else []),
-    )
-    sketches = write_stage(sketches, "sketches")
-    members = write_stage(members_of(sketches, "item", ["n", "_sig", "_sig2"]), "classes")
-    reps = sketches.join(
-        members.filter(F.col("id") == F.col("rep")).select(F.col("id").alias("item")), "item", "left_semi"
+    reps, members = _classes(owned, F.array(*mins).alias("sketch"))
+    spots = reps.select("item", F.posexplode("sketch").alias("t", "h")).select(
+        F.xxhash64("t", "h").alias("bucket"), "item"
     )
-    if hashed:
-        spots = reps.select("item", F.posexplode("sketch").alias("t", "h")).select(
-            F.xxhash64("t", "h").alias("bucket"), "item"
-        )
-        candidates = shared_pairs(spots.distinct(), "bucket", "item").select("a", "b").distinct()
-        of_a = owned.select(F.col("item").alias("a"), "user")
-        of_b = owned.select(F.col("item").alias("b"), "user")
-        shared = (
-            candidates.join(of_a, "a").join(of_b, ["b", "user"]).groupBy("a", "b").agg(_shared())
-        )
-    else:
-        shared = cooccur(owned.join(reps.select("item"), "item", "left_semi"))
+    candidates = shared_pairs(spots.distinct(), "bucket", "item").select("a", "b").distinct()
+    of_a = owned.select(F.col("item").alias("a"), "user")
+    of_b = owned.select(F.col("item").alias("b"), "user")
+    shared = candidates.join(of_a, "a").join(of_b, ["b", "user"]).groupBy("a", "b").agg(_shared())
     sizes = reps.select("item", "n")
     sized = shared.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
-    score = round6(F.col("k") / (F.col("n_a") + F.col("n_b") - F.col("k")))
-    scored = sized.select("a", "b", score.alias("score")).filter(F.col("score") >= threshold)
-    near = top_per(mirrored(scored, both=["score"]), ["a"], [F.desc("score"), F.asc("b")], k)
-    return hand_out(near, members, k, F.lit(1.0))
+    return _listed(sized, members, threshold, k)

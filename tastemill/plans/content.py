@@ -92,6 +92,7 @@ QUERIES = {
     "nearest_in_cluster": _in_cluster,
     "nearest_lsh": lambda s, d: fa.nearest_lsh(_vectors(s, d), 10, 0.2, 12, 1.3, 5, 6),
     "minhash_neighbours": lambda s, d: nb.minhash_neighbours(c.prefs(s, d), 16, 0.04, 10),
+    "jaccard_join": lambda s, d: nb.jaccard_join(c.prefs(s, d), 0.04, 10),
     "als_explicit": _als_explicit,
     "als_implicit": _als_implicit,
     "als_top_n": _als_top_n,
@@ -114,7 +115,15 @@ def _cosine(a: str, b: str) -> str:
 
 _VECS = "vecs AS MATERIALIZED (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
 
+_JACCARD = f"""WITH {c.PREF}, n AS (SELECT i, count(*) AS n FROM pref GROUP BY i),
+        both_own AS (SELECT x.i AS a, y.i AS b, count(*) AS k FROM pref x JOIN pref y ON x.u = y.u AND x.i <> y.i GROUP BY 1, 2),
+        sim AS (SELECT a, b, {c.r6('k / (p.n + q.n - k)')} AS score FROM both_own JOIN n p ON p.i = a JOIN n q ON q.i = b)
+        SELECT * FROM (SELECT a AS id, b, score, {c.rank_int('a', 'score DESC, b')} AS rank FROM sim WHERE score >= 0.04::DOUBLE) WHERE rank <= 10"""
+
 ORACLE = {
+    "jaccard_join": _JACCARD,
+    # At this bar min-hashes would meet too few pairs, so the lists are the exact ones.
+    "minhash_neighbours": _JACCARD,
     "tfidf": f"WITH {_TERMS} SELECT * FROM terms",
     "similar_docs": f"""WITH {_TERMS}, nrm AS (SELECT doc_id, sqrt({c.xsum('weight * weight', '1e6')}) AS nrm FROM terms GROUP BY 1),
         u AS MATERIALIZED (SELECT doc_id AS id, term, weight / nrm AS u FROM terms JOIN nrm USING (doc_id) WHERE nrm > 0),

@@ -29,7 +29,7 @@ def _folds(s, d):
 
 
 def _sims(prefs):
-    return nb.neighbours(nb.item_cosine(prefs), N)
+    return nb.cosine(prefs).nearest(N)
 
 
 def _recs(s, d):

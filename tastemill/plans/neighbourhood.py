@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tastemill.functions.ranked import top_per
 from tastemill.operators import neighbours as nb
 from tastemill.plans import common as c
 from tastemill.session import write_stage
@@ -13,30 +12,29 @@ TOP = 10
 
 
 def _near(measure):
-    return lambda s, d: nb.neighbours(measure(c.prefs(s, d)), TOP)
+    return lambda s, d: measure(c.prefs(s, d)).nearest(TOP)
 
 
 def _rated(measure):
-    return lambda s, d: nb.neighbours(measure(c.ratings(s, d)), TOP)
+    return lambda s, d: measure(c.ratings(s, d)).nearest(TOP)
 
 
 def item_cosine(s, d):
-    return nb.neighbours(nb.item_cosine(c.prefs(s, d)), TOP)
+    return nb.cosine(c.prefs(s, d)).nearest(TOP)
 
 
 def item_cf(s, d):
     # Read by the pair job, the votes and the filter of seen items.
     prefs = write_stage(c.prefs(s, d), "prefs")
-    return nb.item_cf(prefs, nb.neighbours(nb.item_cosine(prefs), TOP), TOP)
+    return nb.item_cf(prefs, nb.cosine(prefs).nearest(TOP), TOP)
 
 
 def _conditional(s, d):
-    scored = nb.item_conditional(c.prefs(s, d), 0.5)
-    return top_per(scored, ["a"], [F.desc("score"), F.asc("b")], TOP)
+    return nb.conditional(c.prefs(s, d), 0.5).nearest(TOP)
 
 
 def _user_near(s, d):
-    return nb.neighbours(nb.user_similarity(c.prefs(s, d), "cosine"), 20)
+    return nb.user_measure(c.prefs(s, d), "cosine").nearest(20)
 
 
 def _slope_one(s, d):
@@ -50,28 +48,20 @@ def _slope_one(s, d):
 QUERIES = {
     "cooccur": lambda s, d: nb.cooccur(c.prefs(s, d)),
     "item_cosine": item_cosine,
-    "item_cosine_weighted": _near(nb.item_cosine_weighted),
-    "item_jaccard": _near(nb.item_jaccard),
-    "item_adjusted_cosine": _rated(nb.item_adjusted_cosine),
-    "item_pearson": _rated(lambda r: nb.item_pearson(r, 3)),
-    "item_lift": _near(nb.item_lift),
-    "item_pmi": _near(nb.item_pmi),
-    "item_llr": _near(nb.item_llr),
-    "item_iuf_cosine": _near(nb.item_iuf_cosine),
+    "item_cosine_weighted": _near(nb.weighted_cosine),
+    "item_jaccard": _near(nb.jaccard),
+    "item_adjusted_cosine": _rated(nb.adjusted_cosine),
+    "item_pearson": _rated(lambda r: nb.pearson(r, 3)),
+    "item_lift": _near(nb.lift),
+    "item_pmi": _near(nb.pmi),
+    "item_llr": _near(nb.llr),
+    "item_iuf_cosine": _near(nb.iuf_cosine),
     "item_conditional": _conditional,
     "user_similarity_cosine": _user_near,
-    "user_similarity_weighted": lambda s, d: nb.neighbours(
-        nb.user_similarity(c.prefs(s, d), "weighted"), TOP
-    ),
-    "user_similarity_jaccard": lambda s, d: nb.neighbours(
-        nb.user_similarity(c.prefs(s, d), "jaccard"), TOP
-    ),
-    "user_similarity_adjusted": lambda s, d: nb.neighbours(
-        nb.user_similarity(c.ratings(s, d), "adjusted"), TOP
-    ),
-    "user_similarity_pearson": lambda s, d: nb.neighbours(
-        nb.user_similarity(c.ratings(s, d), "pearson", 3), TOP
-    ),
+    "user_similarity_weighted": lambda s, d: nb.user_measure(c.prefs(s, d), "weighted").nearest(TOP),
+    "user_similarity_jaccard": lambda s, d: nb.user_measure(c.prefs(s, d), "jaccard").nearest(TOP),
+    "user_similarity_adjusted": lambda s, d: nb.user_measure(c.ratings(s, d), "adjusted").nearest(TOP),
+    "user_similarity_pearson": lambda s, d: nb.user_measure(c.ratings(s, d), "pearson", 3).nearest(TOP),
     "item_cf": item_cf,
     "user_cf": lambda s, d: nb.user_cf(c.prefs(s, d), _user_near(s, d), TOP),
     "slope_one_deviations": lambda s, d: nb.slope_one_deviations(c.ratings(s, d)),

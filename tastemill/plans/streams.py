@@ -89,7 +89,7 @@ def _profile(s, d):
 
 
 def _near(s, d):
-    return nb.neighbours(nb.item_cosine(prep.preferences(c.event_interactions(s, d))), 10)
+    return nb.cosine(prep.preferences(c.event_interactions(s, d))).nearest(10)
 
 
 def _scored(s, d):

@@ -15,7 +15,7 @@ from tastemill.functions.blocks import block_top_k
 from tastemill.functions.copies import hand_out, members_of
 from tastemill.functions.exact import exact_sum, require, round6
 from tastemill.functions.ordered import OrderedSplit
-from tastemill.functions.pairs import pair_stats, shared_pairs
+from tastemill.functions.pairs import directed_pairs, directed_stats, pair_stats, shared_pairs
 
 
 def test_ordered_scans_equal_plain_windows(spark, many_parts):
@@ -67,6 +67,32 @@ def test_pair_stats_of_nothing(spark):
     assert pair_stats(df, "user", "item", [F.count("*").alias("k")]).count() == 0
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.sets(st.tuples(st.integers(0, 4), st.integers(0, 14)), min_size=1, max_size=50),
+    st.sampled_from([1, 2, 3, 100]),
+)
+def test_directed_pairs_meet_once_in_one_part(spark, owned, cell):
+    df = spark.createDataFrame([(u, i, i * 10) for u, i in owned], "user bigint, item bigint, v bigint")
+    pairs = directed_pairs(df, "user", "item", ["v"], cell)
+    got = rows(pairs, "a", "b", "v_a", "v_b")
+    expected = []
+    for user in {u for u, _ in owned}:
+        items = [i for u, i in owned if u == user]
+        expected += [(a, b, a * 10, b * 10) for a in items for b in items if a != b]
+    assert got == sorted(expected)
+    assert len({r[:2] for r in rows(pairs, "a", "b", "part")}) == len(set(rows(pairs, "a", "b", "part")))
+
+
+def test_directed_sums_need_no_further_shuffle(spark):
+    df = spark.createDataFrame([(u, i, 1) for u in range(30) for i in range(9)], "user bigint, item bigint, n bigint")
+    sums = directed_stats(df, "user", "item", [F.count("*").alias("k")], fixed=["n"], cell=4)
+    assert {r["k"] for r in sums.collect()} == {30} and sums.count() == 72
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    spread = plan[: plan.index("Generate")]
+    assert "HashAggregate" in spread and "Exchange" not in spread
+
+
 def test_copies_share_the_list_of_their_representative(spark):
     rng = random.Random(5)
     values = {i: rng.choice([0, 0, 0, 1, 4, 9, 15]) for i in range(60)}

@@ -149,6 +149,51 @@ def test_registered_minhash_finds_the_exact_lists(spark):
     assert len(near & exact) >= 0.9 * len(exact)
 
 
+def _similar(owned, bar):
+    sets = {}
+    for user, item in owned:
+        sets.setdefault(item, set()).add(user)
+    out = {}
+    for a in sets:
+        for b in sets:
+            score = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+            if a != b and score >= bar:
+                out.setdefault(a, []).append((-math.floor(score * 1e6 + 0.5) / 1e6, b))
+    return sorted((a, b, -s) for a, found in out.items() for s, b in sorted(found)[:10])
+
+
+@pytest.mark.parametrize("bar", [0.02, 0.15, 0.5, 0.9, 1.0])
+def test_set_join_finds_every_pair_at_the_bar(spark, bar):
+    rng = random.Random(7)
+    owned = {(rng.randrange(12) if rng.random() < 0.6 else rng.randrange(90), i) for i in range(40) for _ in range(i % 25)}
+    owned |= {(u, 100 + i) for u, j in list(owned) if 30 <= j for i in (j, j + 50) if rng.random() < 0.97}
+    owned |= {(u, i) for u in range(200, 230) for i in (300, 301, 302)}
+    prefs = spark.createDataFrame(sorted(owned), "user bigint, item bigint")
+    for deep in (1, 2, 4):
+        found = rows(nb.jaccard_join(prefs, bar, 10, deep), "id", "b", "score")
+        assert found == _similar(owned, bar) and (bar > 0.5 or found)
+
+
+def test_set_join_meets_far_fewer_pairs_than_share_a_user(spark):
+    """Users with long histories are left out first: their pairs are most of the work."""
+    prefs = common.prefs(spark, "/root/testdata/sf0.01").select("user", "item")
+    sized = prefs.join(prefs.groupBy("item").agg(F.count("*").alias("n")), "item")
+
+    def meetings(df):
+        return df.groupBy("user").count().agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0]
+
+    every = meetings(prefs)
+    shares = [meetings(nb.rare_owners(sized, bar)) / every for bar in (0.04, 0.2, 0.5, 0.8)]
+    assert shares == sorted(shares, reverse=True)
+    assert shares[0] <= 1 and shares[2] < 0.4 and shares[3] < 0.15
+
+
+def test_nearest_lists_equal_those_of_the_pair_table(spark, tastes):
+    for measure in (nb.cosine, nb.weighted_cosine, nb.jaccard, nb.llr, nb.iuf_cosine):
+        pairs = nb.neighbours(measure(tastes).pairs(), 3)
+        assert rows(measure(tastes).nearest(3)) == rows(pairs)
+
+
 def test_slope_one_by_hand(spark):
     data = [(1, 1, 5.0), (1, 2, 3.0), (2, 1, 3.0), (2, 2, 4.0), (3, 2, 2.0)]
     ratings = spark.createDataFrame(data, "user bigint, item bigint, rating double")
