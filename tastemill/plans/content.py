@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tastemill.functions.exact import exact_sum, round6
 from tastemill.operators import content as ct
 from tastemill.operators import factors as fa
 from tastemill.operators import interactions as prep
 from tastemill.operators import neighbours as nb
 from tastemill.plans import common as c
+from tastemill.session import write_stage
 from tastemill.sources import tables
 
 DIM = 64
@@ -82,6 +84,23 @@ def _in_cluster(s, d):
     return fa.nearest_in_cluster(vectors, fa.cluster_items(vectors, fa.cluster_count(vectors), 5), 10, 4)
 
 
+def _profile_vectors(s, d):
+    """Four averages of a part's sales, less those of all parts: a table whose vectors have near neighbours."""
+    lines = c.table(s, d, "lineitem")
+    share = (F.col("l_returnflag") == "R").cast("double")
+    values = {"quantity": F.col("l_quantity") / 50, "discount": F.col("l_discount") * 10, "tax": F.col("l_tax") * 12, "returned": share}
+    means = [(exact_sum(v, 1e6) / F.count(F.lit(1))).alias(n) for n, v in values.items()]
+    per_part = lines.groupBy(F.col("l_partkey").alias("id")).agg(*means)
+    all_parts = lines.agg(*means)
+    centred = [round6(F.col(n) - all_parts.select(n).scalar()) for n in values]
+    return per_part.select("id", F.array(*centred).alias("vec"))
+
+
+def _parts_in_cells(s, d):
+    vectors = write_stage(_profile_vectors(s, d), "profiles")
+    return fa.nearest_in_cluster(vectors, fa.cluster_items(vectors, fa.cluster_count(vectors), 5), 10)
+
+
 QUERIES = {
     "tfidf": _terms,
     "similar_docs": lambda s, d: ct.similar_docs(_terms(s, d), 5, 0.5),
@@ -90,6 +109,7 @@ QUERIES = {
     "content_recs": _content_recs,
     "nearest_exact": lambda s, d: fa.nearest_exact(_vectors(s, d), _vectors(s, d), 10),
     "nearest_in_cluster": _in_cluster,
+    "nearest_parts_in_cells": _parts_in_cells,
     "nearest_lsh": lambda s, d: fa.nearest_lsh(_vectors(s, d), 10, 0.2, 12, 1.3, 5, 6),
     "minhash_neighbours": lambda s, d: nb.minhash_neighbours(c.prefs(s, d), 16, 0.04, 10),
     "jaccard_join": lambda s, d: nb.jaccard_join(c.prefs(s, d), 0.04, 10),
@@ -115,6 +135,23 @@ def _cosine(a: str, b: str) -> str:
 
 _VECS = "vecs AS MATERIALIZED (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
 
+
+
+def _mean(value: str) -> str:
+    return f"{c.xsum(value, '1e6')} / count(*)"
+
+
+_PARTS = {"q": "l_quantity / 50", "d": "l_discount * 10", "t": "l_tax * 12", "r": "CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"}
+_PROFILES = f"""per AS (SELECT l_partkey AS id, {', '.join(f'{_mean(v)} AS {n}' for n, v in _PARTS.items())} FROM lineitem GROUP BY 1),
+whole AS (SELECT {', '.join(f'{_mean(v)} AS {n}' for n, v in _PARTS.items())} FROM lineitem),
+vecs AS MATERIALIZED (SELECT id, [{', '.join(c.r6(f'per.{n} - whole.{n}') for n in _PARTS)}] AS v FROM per, whole)"""
+
+
+def _nearest(vectors: str) -> str:
+    return f"""WITH {vectors}, sc AS (SELECT x.id, y.id AS b, {_cosine('x.v', 'y.v')} AS score FROM vecs x JOIN vecs y ON x.id <> y.id)
+        SELECT * FROM (SELECT *, {c.rank_int('id', 'score DESC, b')} AS rank FROM sc) WHERE rank <= 10"""
+
+
 _JACCARD = f"""WITH {c.PREF}, n AS (SELECT i, count(*) AS n FROM pref GROUP BY i),
         both_own AS (SELECT x.i AS a, y.i AS b, count(*) AS k FROM pref x JOIN pref y ON x.u = y.u AND x.i <> y.i GROUP BY 1, 2),
         sim AS (SELECT a, b, {c.r6('k / (p.n + q.n - k)')} AS score FROM both_own JOIN n p ON p.i = a JOIN n q ON q.i = b)
@@ -140,6 +177,11 @@ ORACLE = {
         sc AS (SELECT u, id AS i, {_cosine('pv.v', 'vecs.v')} AS score FROM pv, vecs
           WHERE NOT EXISTS (SELECT 1 FROM pref p WHERE p.u = pv.u AND p.i = vecs.id))
         SELECT * FROM (SELECT u AS "user", i AS item, score, {c.rank_int('u', 'score DESC, i')} AS rank FROM sc) WHERE rank <= 10""",
-    "nearest_exact": f"""WITH {_VECS}, sc AS (SELECT x.id, y.id AS b, {_cosine('x.v', 'y.v')} AS score FROM vecs x JOIN vecs y ON x.id <> y.id)
-        SELECT * FROM (SELECT *, {c.rank_int('id', 'score DESC, b')} AS rank FROM sc) WHERE rank <= 10""",
+    "nearest_exact": _nearest(_VECS),
+    "nearest_in_cluster": _nearest(_VECS),
+    "nearest_parts_in_cells": _nearest(_PROFILES),
+    # At these parameters hashing would meet most vectors, so the lists are the exact ones.
+    "nearest_lsh": f"""WITH {_VECS}, sc AS (SELECT x.id, y.id AS b, sqrt(list_sum(list_transform(list_zip(x.v, y.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS far FROM vecs x JOIN vecs y ON x.id <> y.id),
+        near AS (SELECT id, b, {c.r6('-far')} AS score FROM sc WHERE far <= 1.3::DOUBLE)
+        SELECT * FROM (SELECT *, {c.rank_int('id', 'score DESC, b')} AS rank FROM near) WHERE rank <= 10""",
 }

@@ -361,6 +361,70 @@ def test_hashing_meets_few_pairs_and_finds_the_near_ones(spark):
     assert len(exact & found) >= 0.9 * len(exact)
 
 
+def _frame(spark, v, first=0):
+    return spark.createDataFrame([(first + i, list(map(float, x))) for i, x in enumerate(v)], "id bigint, vec array<double>")
+
+
+@pytest.mark.parametrize("spread", [0.02, 0.5, 3.0])
+def test_cells_give_the_exact_lists(spark, spread):
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=(12, 8))
+    v = centre[np.arange(400) % 12] * rng.uniform(0.5, 2, (400, 1)) + spread * rng.normal(size=(400, 8))
+    v[30:60] = v[30]  # copies
+    v[100:103] = 0.0  # vectors without a direction
+    df = _frame(spark, v)
+    model = factors.cluster_items(df, 20, 5)
+    assert rows(factors.nearest_in_cluster(df, model, 10, 1)) == rows(factors.nearest_exact(df, df, 10))
+
+
+def test_cells_rule_most_vectors_out_where_there_are_clusters(spark):
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=(40, 16))
+    df = _frame(spark, centre[np.arange(2000) % 40] + 0.1 * rng.normal(size=(2000, 16)))
+    homes, cells = factors.inverted_file(df, factors.cluster_items(df, 40, 5))
+    size = dict(zip(cells.names.tolist(), cells.size.tolist()))
+    seen = homes.select("id", "vec").mapInPandas(factors._visit(cells, 10, 1, False), "id bigint, vec array<double>, cell int")
+    bound = factors.nearest_exact(df, df, 10).filter("rank = 10").select("id", F.col("score").alias("bound"))
+    more = homes.select("id", "vec").join(bound, "id").mapInPandas(
+        factors._visit(cells, 10, 1, True), "id bigint, vec array<double>, cell int"
+    )
+    touched = sum(size[r["cell"]] for r in seen.unionByName(more).collect())
+    assert touched < 0.1 * 2000 * 2000
+
+
+def test_registered_cells_prune(spark):
+    vectors = registered._profile_vectors(spark, "/root/testdata/sf0.01")
+    found = registered.QUERIES["nearest_parts_in_cells"](spark, "/root/testdata/sf0.01")
+    assert found.count() == 10 * vectors.count()
+    assert "cell#" in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_more_probes_are_taken_until_the_sample_is_found(spark):
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(60, 64))
+    v = centre[np.arange(600) % 60] + 0.25 * rng.normal(size=(600, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = _frame(spark, v)
+    exact = set(rows(factors.within(df, df, 5, 1.3), "id", "b"))
+    plain = {p for a, b in rows(factors.lsh_candidates(df, 0.2, 4, 7, 5)) for p in ((a, b), (b, a))}
+    assert len(exact & plain) < 0.9 * len(exact)
+    tables, probes, recall, share = factors.lsh_plan(df, 5, 0.2, 4, 1.3, 5, 7)
+    assert probes > 0 and recall >= 0.9 and share < 0.5
+    found = set(rows(factors.nearest_lsh(df, 5, 0.2, 4, 1.3, 5, 7), "id", "b"))
+    assert len(exact & found) >= 0.88 * len(exact)
+
+
+def test_all_vectors_are_searched_where_hashing_does_not_pay(spark):
+    rng = np.random.default_rng(5)
+    df = _frame(spark, rng.normal(size=(200, 32)))
+    assert factors.lsh_plan(df, 5, 0.3, 4, 100.0, 5, 6) is None
+    found = rows(factors.nearest_lsh(df, 5, 0.3, 4, 100.0, 5, 6), "id", "b", "score")
+    x = np.array([r["vec"] for r in sorted(df.collect())])
+    far = np.linalg.norm(x[:, None] - x[None], axis=2) + np.diag([np.inf] * 200)
+    want = [(i, int(b), round(-far[i, b], 6)) for i in range(200) for b in np.argsort(far[i])[:5]]
+    assert [f[:2] for f in found] == sorted(w[:2] for w in want)
+
+
 def test_item2vec_shapes(spark):
     seqs = prep.sequences(steps(spark, [[1, 2, 3, 1, 2], [4, 5, 4], [2, 3]]))
     got = factors.item2vec(seqs, 6, 2, 1).collect()
