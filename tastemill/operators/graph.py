@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tastemill.functions.exact import exact_sum, require, round6
 from tastemill.functions.pairs import directed_stats
@@ -84,6 +85,76 @@ def personal_rank(prefs: DataFrame, seeds: DataFrame, damping: float, iters: int
     )
 
 
+def personal_rank_push(
+    prefs: DataFrame, seeds: DataFrame, damping: float, threshold: float, n: int, keep: int | None = None
+) -> DataFrame:
+    """(user, item, score, rank, missing): best n unseen items per seed by pushing residuals, with an error bound.
+
+    All mass begins as a residual at the seed. A node whose residual is over
+    ``threshold`` times its degree keeps 1 - damping of it as its score and pushes
+    the rest to its neighbours; it ends when no residual is over that. Scores
+    are those of the endless walk, less at most ``threshold`` times the degree
+    of the node. A seed's nodes with a score have at most 1 / (threshold (1 -
+    damping)) neighbours together, whatever the size of the graph, and so has
+    its state. ``missing`` is the mass no node has got: no score can be further
+    off. With ``keep`` only the largest ``keep`` residuals of a seed stay in each
+    round (the survey's form); what is dropped shows in ``missing``.
+    """
+    require(seeds, "user")
+    edges = _edges(prefs)
+    by_user = edges.select(F.lit(False).alias("is_item"), F.col("user").alias("node"), "n_u", "item", "n_i").toDF(
+        "is_item", "node", "_own", "_to", "_to_degree"
+    )
+    by_item = edges.select(F.lit(True).alias("is_item"), F.col("item").alias("node"), "n_i", "user", "n_u").toDF(
+        "is_item", "node", "_own", "_to", "_to_degree"
+    )
+    links = write_stage(by_user.unionByName(by_item), "links")
+    known = edges.select("user", F.col("n_u").alias("degree")).distinct()
+    zero = F.lit(0.0)
+    state = write_stage(
+        seeds.select("user").distinct().join(known, "user").select(
+            F.col("user").alias("seed"), F.lit(False).alias("is_item"), F.col("user").alias("node"), "degree",
+            F.lit(1.0).alias("residual"), zero.alias("score"),
+        ),
+        "pushed",
+    )
+    active = F.col("residual") > F.lit(threshold) * F.col("degree")
+    while not state.filter(active).isEmpty():
+        sent = (
+            state.filter(active)
+            .join(links, ["is_item", "node"])
+            .groupBy("seed", (~F.col("is_item")).alias("is_item"), F.col("_to").alias("node"), F.col("_to_degree").alias("degree"))
+            .agg(exact_sum(F.lit(damping) * F.col("residual") / F.col("degree"), 1e12).alias("flow"))
+        )
+        held = state.select(
+            "seed", "is_item", "node", "degree",
+            F.when(active, zero).otherwise(F.col("residual")).alias("left"),
+            (F.col("score") + F.when(active, F.lit(1.0 - damping) * F.col("residual")).otherwise(zero)).alias("score"),
+        )
+        joined = held.join(sent, ["seed", "is_item", "node", "degree"], "full")
+        after = joined.select(
+            "seed", "is_item", "node", "degree",
+            (F.coalesce("left", zero) + F.coalesce("flow", zero)).alias("residual"), F.coalesce("score", zero).alias("score"),
+        )
+        if keep is not None:
+            place = F.row_number().over(
+                Window.partitionBy("seed").orderBy(F.desc("residual"), "is_item", "node")
+            )
+            after = after.withColumn("_place", place).withColumn(
+                "residual", F.when(F.col("_place") <= keep, F.col("residual")).otherwise(zero)
+            ).filter((F.col("residual") > 0) | (F.col("score") > 0)).drop("_place")
+        state = write_stage(after, "pushed")
+    given = state.groupBy("seed").agg(round6(1.0 - exact_sum(F.col("score"), 1e12)).alias("missing"))
+    seen = edges.select(F.col("user").alias("seed"), F.col("item").alias("node"))
+    scored = (
+        state.filter(F.col("is_item") & (F.col("score") > 0))
+        .join(seen, ["seed", "node"], "left_anti")
+        .select(F.col("seed").alias("user"), F.col("node").alias("item"), (F.floor(F.col("score") * 1e9 + 0.5) / 1e9).alias("score"))
+    )
+    best = top_per(scored, ["user"], [F.desc("score"), F.asc("item")], n)
+    return best.join(given.withColumnRenamed("seed", "user"), "user").select("user", "item", "score", "rank", "missing")
+
+
 def mass_diffusion(prefs: DataFrame, blend: float, k: int) -> DataFrame:
     """Item-to-item resource flow a -> b: blend 1 spreads mass, 0 spreads heat; best k per a.
 

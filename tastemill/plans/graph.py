@@ -9,6 +9,8 @@ from tastemill.operators import graph as gr
 from tastemill.plans import common as c
 
 ROUNDS = 4
+#: Residual over degree that is pushed on.
+PUSH = 4e-6
 
 
 def _seeds(s, d):
@@ -20,6 +22,7 @@ def _seeds(s, d):
 QUERIES = {
     "pagerank_items": lambda s, d: gr.pagerank_items(c.prefs(s, d), 0.85, ROUNDS),
     "personal_rank": lambda s, d: gr.personal_rank(c.prefs(s, d), _seeds(s, d), 0.8, ROUNDS, 10),
+    "personal_rank_push": lambda s, d: gr.personal_rank_push(c.prefs(s, d), _seeds(s, d), 0.8, PUSH, 10),
     "mass_diffusion": lambda s, d: gr.mass_diffusion(c.prefs(s, d), 1.0, 10),
     "heat_conduction_blend": lambda s, d: gr.mass_diffusion(c.prefs(s, d), 0.5, 10),
 }
@@ -37,6 +40,28 @@ def _pagerank(rounds: int) -> str:
     return f"WITH {_EDGE}, {', '.join(parts)} SELECT i AS item, r AS score FROM ri{rounds}"
 
 
+def _pushed(rounds: int) -> str:
+    """As many rounds as it takes on the given tables; a round without a large residual changes nothing."""
+    parts = [
+        "seed AS MATERIALIZED (SELECT u FROM (SELECT c_custkey AS u, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS rn FROM customer) WHERE rn = 1)",
+        "links AS MATERIALIZED (SELECT false AS it, u AS v, n_u AS g, i AS w, n_i AS h FROM e UNION ALL SELECT true, i, n_i, u, n_u FROM e)",
+        "st0 AS MATERIALIZED (SELECT seed.u AS s, false AS it, seed.u AS v, n_u AS g, 1.0::DOUBLE AS r, 0.0::DOUBLE AS p FROM seed JOIN nu ON nu.u = seed.u)",
+    ]
+    for t in range(rounds):
+        big = f"r > {PUSH}::DOUBLE * g"
+        parts.append(
+            f"fl{t} AS (SELECT s, NOT a.it AS it, w AS v, h AS g, {c.xsum('0.8::DOUBLE * r / a.g', '1e12')} AS f FROM st{t} a JOIN links l ON l.it = a.it AND l.v = a.v WHERE a.{big.replace('* g', '* a.g')} GROUP BY 1, 2, 3, 4)"
+        )
+        parts.append(
+            f"st{t + 1} AS MATERIALIZED (SELECT s, it, v, g, coalesce(CASE WHEN {big} THEN 0.0::DOUBLE ELSE r END, 0.0::DOUBLE) + coalesce(f, 0.0::DOUBLE) AS r, "
+            f"coalesce(p + CASE WHEN {big} THEN (1.0::DOUBLE - 0.8::DOUBLE) * r ELSE 0.0::DOUBLE END, 0.0::DOUBLE) AS p FROM st{t} FULL JOIN fl{t} USING (s, it, v, g))"
+        )
+    return f"""WITH {_EDGE}, {', '.join(parts)},
+        given AS (SELECT s, {c.r6('1.0::DOUBLE - ' + c.xsum('p', '1e12'))} AS missing FROM st{rounds} GROUP BY s),
+        sc AS (SELECT s, v, floor(p * 1e9 + 0.5) / 1e9 AS score FROM st{rounds} x WHERE it AND p > 0 AND NOT EXISTS (SELECT 1 FROM pref q WHERE q.u = x.s AND q.i = x.v))
+        SELECT s AS "user", v AS item, score, rank, missing FROM (SELECT *, {c.rank_int('s', 'score DESC, v')} AS rank FROM sc) JOIN given USING (s) WHERE rank <= 10"""
+
+
 def _personal(rounds: int) -> str:
     parts = [
         "seed AS MATERIALIZED (SELECT u FROM (SELECT c_custkey AS u, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS rn FROM customer) "
@@ -71,6 +96,7 @@ def _diffusion(blend: float) -> str:
 ORACLE = {
     "pagerank_items": _pagerank(ROUNDS),
     "personal_rank": _personal(ROUNDS),
+    "personal_rank_push": _pushed(12),
     "mass_diffusion": _diffusion(1.0),
     "heat_conduction_blend": _diffusion(0.5),
 }

@@ -41,18 +41,32 @@ def _negatives(s, d):
     return prep.negative_sample(c.prefs(s, d), items, 5, 7, 4)
 
 
-def _written(s, d):
-    recs = baseline.popular_by(
+def _nation_lists(s, d):
+    return baseline.popular_by(
         c.prefs(s, d),
         c.table(s, d, "customer").select(F.col("c_custkey").alias("user"), F.col("c_nationkey").cast("bigint").alias("nation")),
         "nation",
         20,
     ).select(F.col("nation").alias("user"), "item", F.col("users").cast("double").alias("score"), "rank")
+
+
+def _written(s, d):
     path = stage_path(s, "recs")
-    tables.write_recs(recs, path, 8)
+    tables.write_recs(_nation_lists(s, d), path, 8)
     return tables.read_recs(s, path)
 
 
+def _saved(s, d):
+    """A part's rank among the best of a nation beside each owner there: saved lists joined in their buckets."""
+    path = stage_path(s, "saved")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    tables.save_recs_table(_nation_lists(s, d), name, 8, path)
+    people = c.table(s, d, "customer").select(F.col("c_nationkey").cast("bigint").alias("user"), F.col("c_custkey").alias("customer"))
+    owned = c.prefs(s, d).select(F.col("user").alias("customer"), "item").join(people, "customer")
+    joined = tables.join_saved(s.table(name), owned.withColumnRenamed("item", "owned"), 8)
+    return joined.filter("item = owned").select(F.col("user").alias("nation"), "customer", "item", "rank")
+
+
 def _popular_segment(s, d):
     users = c.table(s, d, "customer").select(F.col("c_custkey").alias("user"), "c_mktsegment")
     return baseline.popular_by(c.prefs(s, d), users, "c_mktsegment", 10)
@@ -82,6 +96,7 @@ QUERIES = {
     "split_last_fraction": lambda s, d: prep.split_last_fraction(_latest(s, d), 0.2),
     "split_by_hash": lambda s, d: prep.split_by_hash(c.prefs(s, d), 20, "fold"),
     "write_recs": _written,
+    "saved_recs_join": _saved,
     "derived_ratings": c.ratings,
     "popular": lambda s, d: baseline.popular(c.prefs(s, d), 50),
     "popularity_ranks": lambda s, d: baseline.popularity_ranks(c.prefs(s, d)),
@@ -123,6 +138,11 @@ def _negative_sql(n: int, seed: int, bucket_items: int) -> str:
     SELECT * FROM (SELECT {_OUT}, round, {c.rank_int('u', 'round, h, i')} AS rank FROM draws) WHERE rank <= {n}"""
 
 
+_LISTS = f"""{c.PREF}, t AS (SELECT CAST(c_nationkey AS BIGINT) AS nation, i, count(*) AS users, {c.xsum('w', '1e6')} AS wt
+        FROM pref JOIN customer ON c_custkey = u GROUP BY 1, 2),
+    lists AS (SELECT * FROM (SELECT nation AS "user", i AS item, CAST(users AS DOUBLE) AS score,
+          {c.rank_int('nation', 'users DESC, wt DESC, i')} AS rank FROM t) WHERE rank <= 20)"""
+
 ORACLE = {
     "purchases": f'WITH {c.PUR} SELECT {_OUT}, ts, w AS weight, basket FROM pur',
     "event_interactions": f'WITH {c.EVI} SELECT {_OUT}, ts, w AS weight, event_id FROM evi',
@@ -158,10 +178,9 @@ ORACLE = {
         CASE WHEN percent_rank() OVER (PARTITION BY u ORDER BY ts, i) >= 1.0::DOUBLE - 0.2::DOUBLE THEN 'test' ELSE 'train' END AS fold FROM latest""",
     "split_by_hash": f"""WITH {c.PREF} SELECT {_OUT}, w AS weight, last_ts,
         CASE WHEN {c.hash_int("'fold'", 'u', 'i')} % 100 < 20 THEN 'test' ELSE 'train' END AS fold FROM pref""",
-    "write_recs": f"""WITH {c.PREF}, t AS (SELECT CAST(c_nationkey AS BIGINT) AS nation, i, count(*) AS users, {c.xsum('w', '1e6')} AS wt
-        FROM pref JOIN customer ON c_custkey = u GROUP BY 1, 2)
-        SELECT * FROM (SELECT nation AS "user", i AS item, CAST(users AS DOUBLE) AS score,
-          {c.rank_int('nation', 'users DESC, wt DESC, i')} AS rank FROM t) WHERE rank <= 20""",
+    "write_recs": f"WITH {_LISTS} SELECT * FROM lists",
+    "saved_recs_join": f"""WITH {_LISTS} SELECT lists.user AS nation, c_custkey AS customer, item, rank
+        FROM lists JOIN customer ON c_nationkey = lists.user JOIN pref ON pref.u = c_custkey AND pref.i = item""",
     "derived_ratings": f'WITH {c.RATING} SELECT {_OUT}, CAST(r AS DOUBLE) AS rating FROM rating',
     "popular": f"""WITH {c.PREF} SELECT i AS item, count(*) AS users, {c.xsum('w', '1e6')} AS weight
         FROM pref GROUP BY i ORDER BY users DESC, weight DESC, item LIMIT 50""",

@@ -19,7 +19,7 @@ PARTS = 3
 class _Feed:
     """The event table arriving in three parts by time, each one run of a job.
 
-    ``repeats`` sends every third event twice; ``stragglers`` holds every 50th back for one part.
+    ``repeats`` sends every third event again with the next part; ``stragglers`` holds every 50th back for one part.
     """
 
     def __init__(self, s, d, repeats=False, stragglers=False):
@@ -31,8 +31,10 @@ class _Feed:
             part = F.least(part + F.when(F.col("event_id") % 50 == 0, 1).otherwise(0), F.lit(PARTS - 1))
         if repeats:
             again = F.when(F.col("event_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-            events = events.withColumn("_again", F.explode(again)).drop("_again")
-        path, self.arrivals = jobs.arriving(s, [events.filter(part == i) for i in range(PARTS)], "feed")
+            events = events.withColumn("_again", F.explode(again))
+            part = F.least(part + F.col("_again"), F.lit(PARTS - 1))
+        parts = [events.filter(part == i).drop("_again") for i in range(PARTS)]
+        path, self.arrivals = jobs.arriving(s, parts, "feed")
         self.events = jobs.read_events(s, path)
         self.actions = jobs.stream_interactions(self.events)
 
@@ -65,7 +67,8 @@ def _sessions(s, d):
 
 def _deduped(s, d):
     feed = _Feed(s, d, repeats=True)
-    kept = jobs.stream_dedupe(feed.actions, ["event_id"], "1 hour")
+    # A part covers ten days, so a repeat in the next one is not late; only the state of the runs before knows it.
+    kept = jobs.stream_dedupe(feed.actions, ["event_id"], "25 days")
     return feed.table(kept.select("event_id", "user", "item"), "dedupe")
 
 

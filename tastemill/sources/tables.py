@@ -91,16 +91,29 @@ def write_recs(recs: DataFrame, path: str, buckets: int) -> None:
     )
 
 
-def save_recs_table(recs: DataFrame, table: str, buckets: int) -> None:
-    """The same lists as a bucketed table, so joins on ``user`` need no shuffle."""
+def save_recs_table(recs: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """The same lists as a bucketed table, so joins on ``user`` need no shuffle.
+
+    With ``path`` the files lie there and the table is only their entry in the catalogue.
+    """
     require(recs, "user", "item", "score", "rank")
-    (
+    writer = (
         recs.repartition(buckets, "user")
         .write.mode("overwrite")
         .bucketBy(buckets, "user")
         .sortBy("user", "rank")
-        .saveAsTable(table)
     )
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+
+
+def join_saved(saved: DataFrame, other: DataFrame, buckets: int) -> DataFrame:
+    """``saved``, a table of ``save_recs_table``, with the rows of ``other`` of the same user.
+
+    The other side is brought into the buckets of the table, whose rows stay where they are.
+    """
+    return saved.join(other.repartition(buckets, "user"), "user")
 
 
 def read_recs(spark: SparkSession, path: str, user_bucket: int | None = None) -> DataFrame:

@@ -194,6 +194,56 @@ def test_nearest_lists_equal_those_of_the_pair_table(spark, tastes):
         assert rows(measure(tastes).nearest(3)) == rows(pairs)
 
 
+def _endless_walk(owned, seed, damping):
+    nodes = sorted({("u", u) for u, _ in owned} | {("i", i) for _, i in owned})
+    at = {v: n for n, v in enumerate(nodes)}
+    step = np.zeros((len(nodes), len(nodes)))
+    for u, i in owned:
+        step[at["i", i], at["u", u]] = step[at["u", u], at["i", i]] = 1
+    degree = step.sum(axis=0)
+    start = np.zeros(len(nodes))
+    start[at["u", seed]] = 1 - damping
+    score = np.linalg.solve(np.eye(len(nodes)) - damping * step / degree, start)
+    return {v: (score[n], degree[n]) for v, n in at.items()}
+
+
+@pytest.mark.parametrize("threshold", [1e-2, 1e-3, 1e-5])
+def test_pushed_scores_lie_within_their_bound(spark, threshold):
+    rng = random.Random(3)
+    owned = sorted({(rng.randrange(40), rng.randrange(60) if rng.random() < 0.7 else 1) for _ in range(260)})
+    prefs = spark.createDataFrame(owned, "user bigint, item bigint")
+    seeds = spark.createDataFrame([(u,) for u in sorted({u for u, _ in owned})[:3]], "user bigint")
+    found = graph.personal_rank_push(prefs, seeds, 0.8, threshold, 1000).collect()
+    for seed in {r["user"] for r in found}:
+        walk, mine = _endless_walk(owned, seed, 0.8), [r for r in found if r["user"] == seed]
+        for r in mine:
+            want, degree = walk["i", r["item"]]
+            assert -1e-8 <= want - r["score"] <= min(threshold * degree, r["missing"]) + 1e-6
+            assert (seed, r["item"]) not in owned
+    if threshold == 1e-5:
+        whole = graph.personal_rank_push(prefs, seeds, 0.8, threshold, 1000, keep=5).collect()
+        assert whole and all(r["missing"] >= next(f["missing"] for f in found if f["user"] == r["user"]) for r in whole)
+        for r in whole:
+            assert -1e-8 <= _endless_walk(owned, r["user"], 0.8)["i", r["item"]][0] - r["score"] <= r["missing"] + 1e-6
+
+
+def test_saved_lists_are_joined_where_they_lie(spark, tastes, tmp_path):
+    recs = nb.cosine(tastes).nearest(5).select(F.col("a").alias("user"), F.col("b").alias("item"), "score", "rank")
+    tables.save_recs_table(recs, "recs_in_buckets", 4, str(tmp_path / "lists"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = tables.join_saved(spark.table("recs_in_buckets"), tastes.select("user", F.lit(1).alias("one")), 4)
+        assert joined.count() == recs.join(tastes, "user").count()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and plan.split("Bucketed: true")[0].count("Exchange") <= 1
+        assert plan.count("Exchange hashpartitioning(user") == 1
+        assert rows(spark.table("recs_in_buckets")) == rows(recs)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE recs_in_buckets")
+
+
 def test_slope_one_by_hand(spark):
     data = [(1, 1, 5.0), (1, 2, 3.0), (2, 1, 3.0), (2, 2, 4.0), (3, 2, 2.0)]
     ratings = spark.createDataFrame(data, "user bigint, item bigint, rating double")
