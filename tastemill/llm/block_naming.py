@@ -3,8 +3,10 @@
 Each text is cut into blocks of a fixed number of bytes. Equal blocks get one
 integer name; then adjacent names are paired and the pairs are named, level by
 level, until every document has one name. Two texts have the same name if and
-only if they are identical: names number the rows of a written table that has
-one row per block (or pair), so different blocks cannot share one.
+only if they are identical: a name is the rank of a block among all different
+blocks, sorted by hash and then bytes, or of a pair among all different pairs, so
+different blocks cannot share one, and names are the same however the table is
+partitioned.
 
 - A block that occurs once needs no name of its own: its document is unlike all
   others, gets a negative name from its row number and leaves the naming.
@@ -28,18 +30,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastemill.functions.ordered import OrderedSplit
 from tastemill.llm.common import identified, text_or_empty, unused
 from tastemill.session import write_stage
 
 #: Bytes in a block.
 BLOCK = 4096
-#: A name is a row number times LEVELS plus the level it was given at, so names of two levels differ.
+#: A name is a rank times LEVELS plus the level it was given at, so names of two levels differ.
 LEVELS = 64
 _EXACT = LEVELS - 1
 
 
-def _number(level: int) -> Column:
-    return F.monotonically_increasing_id() * LEVELS + level
+def _ranked(rows: DataFrame, order: list[str], level: int, name: str = "name") -> DataFrame:
+    """``rows``, which differ in ``order``, named by their rank in it.
+
+    The sort is spread over range parts; a rank is counted from the parts before.
+    """
+    ranked = OrderedSplit(rows, [], order).row_number("_rank").result()
+    return ranked.withColumn(name, F.col("_rank") * LEVELS + level).drop("_rank")
 
 
 def _blocks(docs: DataFrame, carry: list[str], text: str, block: int) -> DataFrame:
@@ -66,29 +74,23 @@ def _blocks(docs: DataFrame, carry: list[str], text: str, block: int) -> DataFra
 
 
 def _name_blocks(blocks: DataFrame, hashed: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame | None]:
-    """Names of the blocks that occur twice or more, by hash, and by bytes where hashes collide.
-
-    A name is the number of the block's row in a table that is written once, so
-    it stays what it is.
-    """
+    """Names of the blocks that occur twice or more, by hash, and by bytes where hashes collide."""
     distinct = blocks.groupBy("bytes").agg(F.count(F.lit(1)).alias("times"))
     by_hash = distinct.groupBy(hashed(F.col("bytes")).alias("h")).agg(
         F.count(F.lit(1)).alias("blocks"), F.max("times").alias("times")
     )
-    named = write_stage(
-        by_hash.filter((F.col("times") > 1) | (F.col("blocks") > 1)).withColumn("name", _number(0)),
-        "block-names",
-    )
+    repeated = by_hash.filter((F.col("times") > 1) | (F.col("blocks") > 1))
+    named = write_stage(_ranked(repeated, ["h"], 0), "block-names")
     clashing = named.filter(F.col("blocks") > 1).select("h")
     exact = None
     if not clashing.isEmpty():
-        exact = write_stage(
+        clashes = (
             distinct.filter(F.col("times") > 1)
             .withColumn("h", hashed(F.col("bytes")))
             .join(clashing, "h", "left_semi")
-            .select("bytes", _number(_EXACT).alias("exact_name")),
-            "block-clashes",
+            .select("h", "bytes")
         )
+        exact = write_stage(_ranked(clashes, ["h", "bytes"], _EXACT, "exact_name").drop("h"), "block-clashes")
     return named.filter(F.col("blocks") == 1).select("h", "name"), exact
 
 
@@ -162,7 +164,7 @@ def _pair_up(level: DataFrame, height: int) -> DataFrame:
         )
     )
     pairs = write_stage(pairs, "pairs")
-    names = pairs.select("l", "r").distinct().withColumn("name", _number(height))
+    names = _ranked(pairs.select("l", "r").distinct(), ["l", "r"], height)
     return pairs.join(write_stage(names, "pair-names"), ["l", "r"]).select("row", "n", "index", "name")
 
 

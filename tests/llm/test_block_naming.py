@@ -52,6 +52,17 @@ def test_colliding_hashes_do_not_join_texts(spark):
         assert len(groups) == len(set(texts))
 
 
+def test_names_do_not_depend_on_the_partitioning(spark):
+    texts = [prose(300 + i % 7, i % 11) for i in range(30)] * 2 + ["short", "short", ""]
+    docs = documents(spark, [(i, t, None) for i, t in enumerate(texts)])
+    seen = []
+    for parts in (1, 3, 11):
+        named = block_naming.identities(docs.repartition(parts), ["doc_id"], block=32)
+        found = {r.doc_id: r.identity for r in named.collect()}
+        seen.append({i: name for i, name in found.items() if name >= 0})
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) > 50
+
+
 def test_one_group_with_a_third_of_all_rows(spark):
     rows = [(i, prose(900) if i % 3 == 0 else prose(20, i) + str(i), None) for i in range(900)]
     check(rows, block_naming.copies(documents(spark, rows)).collect())
