@@ -96,7 +96,7 @@ def _diffusion(blend: float) -> str:
 ORACLE = {
     "pagerank_items": _pagerank(ROUNDS),
     "personal_rank": _personal(ROUNDS),
-    "personal_rank_push": _pushed(12),
+    "personal_rank_push": _pushed(20),
     "mass_diffusion": _diffusion(1.0),
     "heat_conduction_blend": _diffusion(0.5),
 }
