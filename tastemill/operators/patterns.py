@@ -81,6 +81,72 @@ def fp_growth(items: DataFrame, min_support: float, min_confidence: float) -> FP
     ).fit(baskets)
 
 
+#: Baskets a word of a bitmap stands for.
+_WORD = 64
+
+
+def _bitmaps(rows: DataFrame, *keys: str) -> DataFrame:
+    """(keys, word, bits): the numbered baskets (tid) of each key, as words that are not zero."""
+    bit = F.expr(f"shiftleft(1L, CAST(tid % {_WORD} AS INT))")
+    return rows.groupBy(*keys, F.floor(F.col("tid") / _WORD).alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def vertical_itemsets(items: DataFrame, min_support: float, max_size: int | None = None) -> DataFrame:
+    """Frequent sets (items sorted array, freq), level by level, from bitmaps of the baskets that hold a set.
+
+    Baskets are numbered densely, and a set is the words of 64 baskets in which
+    its bits are not all zero. Two sets of one prefix class (all items but the
+    last are the same) meet word by word, and what both have is the set that has
+    both last items; its count is the number of bits. No basket is gathered in a
+    row. Single items and pairs are counted on the rows, since words of single
+    items share baskets far less often than they meet.
+
+    A giant basket is cut into join cells like any large group. Rows without
+    basket or item, and repeats of a row, do not count. A table without baskets
+    has no sets.
+    """
+    require(items, "basket", "item")
+    rows = _frequent_items(items.select("basket", "item").dropna().distinct(), min_support)
+    rows = write_stage(rows.select("basket", "item", "n", "total"), "frequent")
+    single = rows.groupBy(F.array("item").alias("items")).agg(F.max("n").alias("freq"))
+    found = single
+    if max_size == 1 or rows.isEmpty():
+        return found
+    need = _smallest_count(min_support, rows.first()["total"])
+    numbers = OrderedSplit(rows.select("basket").distinct(), [], ["basket"]).row_number("tid").result()
+    pairs = shared_pairs(rows.join(numbers, "basket").select("tid", "item"), "tid", "item")
+    counts = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= need)
+    counts = write_stage(counts, "frequent-pairs")
+    level = counts.select(F.array("a", "b").alias("items"), "freq")
+    held = _bitmaps(pairs.join(counts.select("a", "b"), ["a", "b"], "left_semi"), "a", "b")
+    state = held.select(F.struct(F.array("a").alias("prefix"), "word").alias("class"), F.col("b").alias("item"), "bits")
+    size = 2
+    while not level.isEmpty():
+        found = found.unionByName(level)
+        if size == max_size:
+            break
+        size += 1
+        both = F.col("bits_a").bitwiseAND(F.col("bits_b"))
+        met = shared_pairs(state, "class", "item", ["bits"]).withColumn("bits", both).filter("bits <> 0")
+        # Written once: the counts and the next level both read it.
+        grown = write_stage(
+            met.select(
+                F.concat("class.prefix", F.array("a")).alias("prefix"),
+                F.col("b").alias("item"),
+                F.col("class.word").alias("word"),
+                "bits",
+            ),
+            "grown",
+        )
+        freq = F.sum(F.bit_count("bits")).alias("freq")
+        counts = write_stage(grown.groupBy("prefix", "item").agg(freq).filter(F.col("freq") >= need), "frequent-sets")
+        level = counts.select(F.concat("prefix", F.array("item")).alias("items"), "freq")
+        state = grown.join(counts, ["prefix", "item"], "left_semi").select(
+            F.struct("prefix", "word").alias("class"), "item", "bits"
+        )
+    return found
+
+
 def _smallest_count(min_support: float, total: int) -> int:
     """Smallest count whose share of ``total`` reaches the bar, by the comparison frequent items use."""
     count = max(1, int(min_support * total) - 1)

@@ -22,6 +22,11 @@ def _itemsets(s, d):
     )
 
 
+def _vertical(s, d):
+    sets = pt.vertical_itemsets(_items(s, d), SUPPORT)
+    return sets.select(F.array_join("items", ",").alias("items"), F.size("items").alias("size"), "freq")
+
+
 def _fp_rules(s, d):
     rules = pt.fp_growth(_items(s, d), SUPPORT, 0.05).associationRules
     return rules.select(
@@ -51,6 +56,7 @@ def _session_cf(s, d):
 QUERIES = {
     "frequent_pairs": lambda s, d: pt.frequent_pairs(_items(s, d), SUPPORT),
     "fp_growth_itemsets": _itemsets,
+    "vertical_itemsets": _vertical,
     "fp_growth_rules": _fp_rules,
     "apply_rules": _applied,
     "prefix_span": _spans,
@@ -79,6 +85,7 @@ firsts AS MATERIALIZED (SELECT u, i, min(p) AS fp, max(p) AS lp FROM pos GROUP B
 ORACLE = {
     "frequent_pairs": f"WITH {_BASKET}, {_PAIRED} SELECT * FROM p",
     "fp_growth_itemsets": f"WITH RECURSIVE {_BASKET}, {_SETS} SELECT items, size, freq FROM fs",
+    "vertical_itemsets": f"WITH RECURSIVE {_BASKET}, {_SETS} SELECT items, size, freq FROM fs",
     "fp_growth_rules": f"""WITH RECURSIVE {_BASKET}, {_SETS},
         cut AS (SELECT items, freq, unnest(string_split(items, ',')) AS c FROM fs WHERE size > 1),
         r AS (SELECT array_to_string(list_filter(string_split(items, ','), lambda x: x <> c), ',') AS a, CAST(c AS BIGINT) AS c, freq FROM cut)

@@ -287,6 +287,21 @@ def test_fp_growth_keeps_sets_at_exactly_the_bar(spark):
     }
 
 
+def test_vertical_sets_equal_fp_growth_with_a_giant_basket(spark, many_parts):
+    """Sets of up to five items, 300 baskets over several words, and one basket of every item."""
+    held = [(n, i) for n in range(300) for i in range(12) if (n * (i + 3) + n // 7) % 5 < 2]
+    giant = [(1000, i) for i in range(3000)]
+    items = spark.createDataFrame(held + giant, "basket bigint, item bigint")
+    tree = patterns.fp_growth(items, 0.08, 0.1).freqItemsets.collect()
+    expected = {tuple(sorted(r["items"])): r["freq"] for r in tree}
+    odd = items.union(spark.createDataFrame([(None, 1), (5, None), held[0]], items.schema)).withColumn("bits", F.lit(1))
+    got = {tuple(r["items"]): r["freq"] for r in patterns.vertical_itemsets(odd, 0.08).collect()}
+    assert got == expected and max(map(len, got)) >= 4
+    small = {k: v for k, v in expected.items() if len(k) <= 2}
+    assert {tuple(r["items"]): r["freq"] for r in patterns.vertical_itemsets(items, 0.08, 2).collect()} == small
+    assert patterns.vertical_itemsets(items.limit(0), 0.08).count() == 0
+
+
 def test_fp_growth_agrees_with_pairs(spark, tastes):
     items = tastes.select(F.col("user").alias("basket"), "item")
     sets = patterns.fp_growth(items, 0.2, 0.1).freqItemsets.collect()
