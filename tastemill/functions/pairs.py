@@ -80,6 +80,28 @@ def shared_pairs(
     return joined.select(*picked)
 
 
+def pairs_between(left: DataFrame, right: DataFrame, group: str, member: str, cell: int = CELL) -> DataFrame:
+    """One row (group, a, b) for each member ``a`` of ``left`` and ``b`` of ``right`` that share a group.
+
+    Both must be unique in (group, member). As in ``shared_pairs`` either side
+    of a group above ``cell`` rows is cut into chunks, and each chunk of the one
+    meets each chunk of the other in a join cell of its own.
+    """
+    x, y = _cells(left.select(group, member), group, member, cell), _cells(right.select(group, member), group, member, cell)
+
+    def facing(rows: DataFrame, others: DataFrame, own: str, other: str, name: str) -> DataFrame:
+        many = others.filter(F.col("_chunks") > 1).select(group, F.col("_chunks").alias("_facing")).distinct()
+        last = F.coalesce(F.col("_facing"), F.lit(1)) - 1
+        return rows.join(many, group, "left").select(
+            group,
+            F.col("_chunk").alias(own),
+            F.explode(F.sequence(F.lit(0), last)).alias(other),
+            F.col(member).alias(name),
+        )
+
+    return facing(x, y, "_i", "_j", "a").join(facing(y, x, "_j", "_i", "b"), [group, "_i", "_j"]).select(group, "a", "b")
+
+
 def _halves(rows: DataFrame, group: str, member: str, values: Sequence[str], cell: int) -> DataFrame:
     """(list_x, list_y): for each join cell of a group the members of its two chunks, at most ``cell`` a list or so."""
     tagged = _cells(rows, group, member, cell)

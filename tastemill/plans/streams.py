@@ -91,6 +91,11 @@ def _profile(s, d):
     return jobs.stream_profile(feed.actions, RATE, stage_path(s, "profile"), feed.arrivals)
 
 
+def _profile_idle(s, d):
+    feed = _Feed(s, d)
+    return feed.table(jobs.stream_profile_idle(feed.actions, RATE, "12 HOURS", "1 hour"), "profile-idle")
+
+
 def _near(s, d):
     return nb.cosine(prep.preferences(c.event_interactions(s, d))).nearest(10)
 
@@ -118,6 +123,7 @@ QUERIES = {
     "stream_attribute": _attributed("inner"),
     "stream_attribute_outer": _attributed("left_outer"),
     "stream_profile": _profile,
+    "stream_profile_idle": _profile_idle,
     "stream_cooccur": _cooccur,
     "stream_score": _scored,
     "stream_late_report": _late,
@@ -154,6 +160,14 @@ ORACLE = {
     "stream_profile": f"""WITH {c.EVI}, t AS (SELECT u, max(epoch_us(ts)) AS last_us FROM evi GROUP BY u)
         SELECT evi.u AS "user", {c.r6(f"sum(w * exp(-{RATE}::DOUBLE * (last_us - epoch_us(ts)) / 86400000000.0::DOUBLE))")} AS score,
           count(*) AS events, max(last_us) AS last_us FROM evi JOIN t ON t.u = evi.u GROUP BY 1""",
+    "stream_profile_idle": f"""WITH {c.EVI}, mark AS (SELECT epoch_us(max(ts)) // 1000 - 3600000 AS mark_ms FROM evi),
+        g AS (SELECT u, epoch_us(ts) AS us, w, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY u ORDER BY ts) AS gap FROM evi),
+        s AS (SELECT u, us, w, sum(CASE WHEN gap IS NULL OR gap >= 43200000000 THEN 1 ELSE 0 END)
+          OVER (PARTITION BY u ORDER BY us ROWS UNBOUNDED PRECEDING) AS sid FROM g),
+        t AS (SELECT u, us, w, sid, max(us) OVER (PARTITION BY u, sid) AS last_us FROM s)
+        SELECT u AS "user", min(us) AS since_us, last_us, count(*) AS events,
+          {c.r6(f"sum(w * exp(-{RATE}::DOUBLE * (last_us - us) / 86400000000.0::DOUBLE))")} AS score
+        FROM t, mark WHERE (last_us + 43200000000 + 999) // 1000 < mark_ms GROUP BY u, sid, last_us""",
     "stream_cooccur": f"""WITH {c.EVI}, p AS (SELECT DISTINCT u, i FROM evi)
         SELECT x.i AS a, y.i AS b, count(*) AS k FROM p x JOIN p y ON x.u = y.u AND x.i < y.i GROUP BY 1, 2""",
     "stream_score": f"""WITH {c.EVI}, pref AS MATERIALIZED (SELECT DISTINCT u, i FROM evi), {c.PAIRS},

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+import sys
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tastemill.functions.exact import exact_sum, require, round6
-from tastemill.functions.pairs import pair_stats
-from tastemill.session import stage_path
+from tastemill.functions.pairs import pair_stats, pairs_between
+from tastemill.session import stage_path, write_stage
 from tastemill.sources.tables import EVENT_WEIGHTS, event_interactions
 
 
@@ -204,6 +210,105 @@ def merge_profiles(partials: DataFrame, rate: float) -> DataFrame:
     )
 
 
+#: A run of one user's actions: first and last time in microseconds, their number, the decayed weight.
+Spell = tuple[int, int, int, float]
+_IDLE = "user bigint, since_us bigint, last_us bigint, events bigint, score double"
+_OPEN = "since array<bigint>, last array<bigint>, events array<bigint>, score array<double>"
+
+
+def _folded(spells: Iterable[Spell], idle_us: int, rate: float) -> list[Spell]:
+    """Spells (since, last, events, score) with less than ``idle_us`` between them made one, in order of time."""
+    merged: list[Spell] = []
+    for since, last, events, score in sorted(spells):
+        if merged and since - merged[-1][1] < idle_us:
+            first, before, n, old = merged.pop()
+            newest = max(before, last)
+            aged = old * math.exp(-rate * (newest - before) / _DAY_US) + score * math.exp(-rate * (newest - last) / _DAY_US)
+            since, last, events, score = first, newest, n + events, aged
+        merged.append((since, last, events, score))
+    return merged
+
+
+def _spells_of_task(idle_us: int, rate: float):
+    """The spells of each Arrow batch: what a hot user sends to its state."""
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch.sort_values(["user", "us"], kind="stable")
+            user, us = batch["user"].to_numpy(), batch["us"].to_numpy()
+            if not len(us):
+                continue
+            start = np.flatnonzero(np.append(True, (user[1:] != user[:-1]) | (us[1:] - us[:-1] >= idle_us)))
+            size = np.diff(np.append(start, len(us)))
+            last = us[start + size - 1]
+            aged = batch["weight"].to_numpy() * np.exp(-rate * (np.repeat(last, size) - us) / _DAY_US)
+            yield pd.DataFrame(
+                {
+                    "user": user[start],
+                    "ts": pd.to_datetime(last, unit="us", utc=True),
+                    "since_us": us[start],
+                    "last_us": last,
+                    "events": size,
+                    "score": np.add.reduceat(aged, start),
+                }
+            )
+
+    return partial
+
+
+def _close_idle(idle_us: int, rate: float):
+    def keep(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        spells = list(zip(*state.get)) if state.exists else []
+        for part in parts:
+            arrived = part[["since_us", "last_us", "events", "score"]].itertuples(index=False, name=None)
+            spells = _folded([*spells, *arrived], idle_us, rate)
+        mark = state.getCurrentWatermarkMs()
+        # The millisecond after which nothing can join a spell any more.
+        ends = [-(-(spell[1] + idle_us) // 1000) for spell in spells]
+        closed = [spell for spell, end in zip(spells, ends) if end < mark]
+        still = [spell for spell, end in zip(spells, ends) if end >= mark]
+        if still:
+            state.update(tuple(list(column) for column in zip(*still)))
+            state.setTimeoutTimestamp(max(mark + 1, min(end for end in ends if end >= mark)))
+        elif state.exists:
+            state.remove()
+        if closed:
+            out = pd.DataFrame(closed, columns=["since_us", "last_us", "events", "score"])
+            out.insert(0, "user", key[0])
+            yield out
+
+    return keep
+
+
+def stream_profile_idle(interactions: DataFrame, rate: float, idle: str, late: str) -> DataFrame:
+    """A user's profile once the user has been idle: (user, since_us, last_us, events, score).
+
+    A profile is the decayed weight, as of its newest event, of a spell of
+    actions with less than ``idle`` between them. It is sent when the watermark
+    has passed its last action by ``idle``; a timer does so for users who never
+    return, and their state is removed. State is four numbers for each spell
+    that is still open, and so bounded by how far rows may be late. Actions are
+    folded to spells inside each task first, so a hot user sends one row for
+    each Arrow batch and spell. An action without user, time or weight is left
+    out; one that comes after its spell was sent begins a spell of its own, if
+    the watermark lets it in at all.
+    """
+    require(interactions, "user", "ts", "weight")
+    spark = interactions.sparkSession
+    idle_us = spark.sql(f"SELECT unix_micros(TIMESTAMP_SECONDS(0) + INTERVAL {idle})").first()[0]
+    rows = interactions.select("user", F.unix_micros("ts").alias("us"), F.col("weight").cast("double").alias("weight"))
+    spells = rows.dropna().mapInPandas(
+        _spells_of_task(idle_us, rate),
+        "user bigint, ts timestamp, since_us bigint, last_us bigint, events bigint, score double",
+    )
+    return (
+        spells.withWatermark("ts", late)
+        .groupBy("user")
+        .applyInPandasWithState(_close_idle(idle_us, rate), _IDLE, _OPEN, "append", GroupStateTimeout.EventTimeTimeout)
+        .withColumn("score", round6(F.col("score")))
+    )
+
+
 def _open_store(spark: SparkSession, path: str, schema: str) -> None:
     """An empty first folder, so that every batch can read what came before it."""
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/batch=-1")
@@ -219,37 +324,112 @@ _OWNED = "user bigint, item bigint"
 _REPORT = "rows bigint, late bigint, newest_us bigint"
 
 
-def cooccur_batch(store: str) -> Callable[[DataFrame, int], None]:
+#: Users of the co-occurrence store are dealt to so many folders; a batch reads only those its users are in.
+_BUCKETS = 64
+#: So many runs of one length are merged into the next longer one.
+_FAN = 4
+Run = tuple[int, int]
+
+
+def owned_runs(batch_id: int) -> list[Run]:
+    """The runs (first batch, batch after the last) that hold what came before ``batch_id``.
+
+    Their lengths are the digits of the number in base ``_FAN``, so there are
+    few of them, and they depend on nothing but the number.
+    """
+    size, low, runs = 1, 0, []
+    while size * _FAN <= batch_id:
+        size *= _FAN
+    while size:
+        while low + size <= batch_id:
+            runs.append((low, low + size))
+            low += size
+        size //= _FAN
+    return runs
+
+
+def _run_path(store: str, run: Run) -> str:
+    return f"{store}/owned/from={run[0]}/to={run[1]}"
+
+
+def _read_runs(spark: SparkSession, store: str, runs: list[Run]) -> DataFrame:
+    paths = [_run_path(store, run) for run in runs]
+    if not paths:
+        return spark.createDataFrame([], f"{_OWNED}, bucket int")
+    reader = spark.read.schema(f"{_OWNED}, bucket int").option("basePath", f"{store}/owned")
+    return reader.parquet(*paths).select("user", "item", "bucket")
+
+
+def _write_run(rows: DataFrame, store: str, run: Run) -> None:
+    # Even parts by bucket; a bucket with a hot user is split over several.
+    rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(_run_path(store, run))
+
+
+def merge_runs(spark: SparkSession, store: str, batch_id: int) -> None:
+    """Merges the runs that end where ``batch_id`` begins, when enough of one length are there.
+
+    A row is rewritten once for each length of run, so the work for all batches
+    grows with the rows and the logarithm of the number of batches. The merged
+    run is made of shorter ones that stay, so doing it again changes nothing.
+    """
+    runs = owned_runs(batch_id)
+    if not runs or runs[-1][1] - runs[-1][0] == 1:
+        return
+    parts = [run for run in owned_runs(batch_id - 1) if run[0] >= runs[-1][0]] + [(batch_id - 1, batch_id)]
+    _write_run(_read_runs(spark, store, parts), store, runs[-1])
+
+
+def owned_by(arrived: DataFrame, store: str, batch_id: int) -> DataFrame:
+    """What batches before ``batch_id`` left in the buckets of the users in ``arrived`` (user, item, bucket)."""
+    # At most one row a bucket.
+    buckets = [r["bucket"] for r in arrived.select("bucket").distinct().collect()]
+    known = _read_runs(arrived.sparkSession, store, owned_runs(batch_id))
+    return known.filter(F.col("bucket").isin(buckets))
+
+
+def cooccur_batch(store: str, buckets: int = _BUCKETS) -> Callable[[DataFrame, int], None]:
     """Adds a batch's new (user, item) pairs and the pair counts they cause to the store.
 
-    Every batch overwrites its own folder, so a repeated batch changes nothing.
-    Only pairs with at least one new member are counted.
+    Owned pairs lie in folders by run of batches and bucket of users. A batch
+    reads the buckets its users are in, and writes a run of its own; runs are
+    merged as ``merge_runs`` says. What is read and written follows from the
+    batch's number and rows alone, so a repeated batch changes nothing. Only
+    pairs with at least one new member are counted. ``buckets`` belongs to the
+    store and must not change. Rows without user or item are left out.
     """
 
     def update(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = _earlier(spark, f"{store}/owned", batch_id, _OWNED)
-        arrived = batch.select("user", "item").distinct()
-        fresh_path = f"{store}/owned/batch={batch_id}"
-        arrived.join(known, ["user", "item"], "left_anti").write.mode("overwrite").parquet(fresh_path)
-        fresh = spark.read.schema(_OWNED).parquet(fresh_path)
+        merge_runs(spark, store, batch_id)
+        bucket = F.pmod(F.xxhash64("user"), F.lit(buckets)).cast("int")
+        arrived = batch.select("user", "item").dropna().distinct().withColumn("bucket", bucket)
+        arrived = write_stage(arrived, "arrived")
+        known = owned_by(arrived, store, batch_id)
+        own = (batch_id, batch_id + 1)
+        _write_run(arrived.join(known, ["bucket", "user", "item"], "left_anti"), store, own)
+        fresh = _read_runs(spark, store, [own])
         inside = pair_stats(fresh, "user", "item", [F.count(F.lit(1)).alias("k")])
-        across = (
-            fresh.join(known.withColumnRenamed("item", "old"), "user")
-            .groupBy(F.least("item", "old").alias("a"), F.greatest("item", "old").alias("b"))
-            .agg(F.count(F.lit(1)).alias("k"))
-        )
+        old = known.join(fresh.select("user").distinct(), "user", "left_semi")
+        met = pairs_between(fresh, old, "user", "item")
+        across = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("k"))
         counts = inside.unionByName(across).groupBy("a", "b").agg(F.sum("k").alias("k"))
         counts.write.mode("overwrite").parquet(f"{store}/pairs/batch={batch_id}")
 
     return update
 
 
-def stream_cooccur(interactions: DataFrame, store: str, arrivals: Arrivals = _AT_ONCE) -> DataFrame:
+def stream_cooccur(
+    interactions: DataFrame, store: str, arrivals: Arrivals = _AT_ONCE, buckets: int = _BUCKETS
+) -> DataFrame:
     """Keeps co-occurrence counts up to date in ``store``; returns the totals so far."""
+    require(interactions, "user", "item")
     spark = interactions.sparkSession
-    _open_store(spark, f"{store}/owned", _OWNED)
-    _run(interactions.writeStream.foreachBatch(cooccur_batch(store)), f"{store}/checkpoint", arrivals)
+    _run(interactions.writeStream.foreachBatch(cooccur_batch(store, buckets)), f"{store}/checkpoint", arrivals)
+    return stored_cooccur(spark, store)
+
+
+def stored_cooccur(spark: SparkSession, store: str) -> DataFrame:
+    """The pair counts of all batches so far."""
     rows = spark.read.schema("a bigint, b bigint, k bigint, batch bigint").parquet(f"{store}/pairs")
     return rows.groupBy("a", "b").agg(F.sum("k").alias("k"))
 
@@ -302,3 +482,7 @@ def late_report(
 
 def stream_interactions(events: DataFrame) -> DataFrame:
     return event_interactions(events, EVENT_WEIGHTS)
+
+
+# Tasks get this module's functions by value, so workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

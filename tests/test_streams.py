@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tastemill.functions import pairs
 from tastemill.operators import neighbours as nb
 from tastemill.streaming import jobs
 
@@ -57,6 +58,42 @@ def test_cooccurrence_over_batches_and_replay(spark, feed, tmp_path):
     assert rows(stored.groupBy("a", "b").agg(F.sum("k"))) == expected
 
 
+def test_runs_cover_all_batches_before():
+    for n in range(70):
+        runs = jobs.owned_runs(n)
+        assert [b for low, high in runs for b in range(low, high)] == list(range(n))
+        assert len(runs) <= 3 * 4
+
+
+def test_cooccurrence_reads_its_own_users_in_few_runs(spark, tmp_path):
+    """Nine batches of two users each: merged runs, only touched buckets, replays that change nothing."""
+    store, buckets = str(tmp_path / "store"), 16
+    update = jobs.cooccur_batch(store, buckets)
+    batches = [[(u, 10 * n + i) for u in (n % 5, 7) for i in range(3)] + [(7, 0), (None, 1), (3, None)] for n in range(9)]
+    for n, batch in enumerate(batches):
+        update(spark.createDataFrame(batch, "user bigint, item bigint"), n)
+    everything = spark.createDataFrame([r for b in batches for r in b], "user bigint, item bigint").dropna().distinct()
+    expected = rows(nb.cooccur(everything))
+    assert rows(jobs.stored_cooccur(spark, store)) == expected
+    # Batch 8 merged batches 4 to 7; again it, and a batch between merges, with the same rows.
+    for n in (8, 6):
+        update(spark.createDataFrame(batches[n], "user bigint, item bigint"), n)
+        assert rows(jobs.stored_cooccur(spark, store)) == expected
+    bucket = F.pmod(F.xxhash64("user"), F.lit(buckets)).cast("int")
+    asked = spark.createDataFrame([(2, 0)], "user bigint, item bigint").withColumn("bucket", bucket)
+    known = jobs.owned_by(asked, store, 9)
+    assert "PartitionFilters: [isnotnull(bucket" in known._jdf.queryExecution().toString()
+    assert {r["item"] for r in known.filter("user = 2").collect()} == {r["item"] for r in everything.filter("user = 2").collect()}
+
+
+def test_pairs_between_cut_groups_equal_a_plain_join(spark, many_parts):
+    left = spark.range(40).select((F.col("id") % 2).alias("g"), F.col("id").alias("m"))
+    right = spark.range(100, 170).select((F.col("id") % 3).alias("g"), F.col("id").alias("m"))
+    plain = left.withColumnRenamed("m", "a").join(right.withColumnRenamed("m", "b"), "g").select("g", "a", "b")
+    for cell in (4, 2048):
+        assert rows(pairs.pairs_between(left, right, "g", "m", cell)) == rows(plain)
+
+
 def test_late_rows_are_counted_per_batch(feed, tmp_path):
     report = jobs.late_report(feed(*BATCHES), str(tmp_path / "late"), 3600)
     assert rows(report, "batch", "rows", "late") == [(0, 3, 0), (1, 2, 0), (2, 2, 1)]
@@ -79,6 +116,58 @@ def test_profile_does_not_depend_on_order_or_replay(spark, feed, tmp_path):
         assert {r["user"]: (round(r["score"], 6), r["events"]) for r in got} == expected
 
 
+def test_idle_profiles_leave_and_their_state_with_them(spark, feed, tmp_path):
+    """User 1 is late in the middle of a spell, user 2 returns after the gap, user 3 never does."""
+    acts = jobs.stream_interactions(
+        feed(
+            [event(1, 0, 1, 10), event(2, 50, 1, 11, "click"), event(3, 6, 2, 10), event(4, 7, 3, 10)],
+            [event(5, 25, 1, 12, "purchase"), event(6, 55, 4, 10)],
+            [event(7, 300, 2, 11), event(8, 301, 2, 12)],
+            [event(9, 302, 2, 13, "click")],
+            [event(10, 900, 4, 13)],
+            [event(11, 901, 4, 13)],
+        )
+    )
+    idle = jobs.stream_profile_idle(acts, 0.5, "60 MINUTES", "30 minutes")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def go():
+        writer = idle.writeStream.outputMode("append").format("parquet").option("path", out)
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert query.exception() is None
+        return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+
+    held = go()
+    minute = 60_000_000
+    base = int((START - datetime(1970, 1, 1)).total_seconds()) * 1_000_000
+
+    def aged(*actions):
+        last = max(m for m, _ in actions)
+        return round(sum(w * math.exp(-0.5 * (last - m) / 1440) for m, w in actions), 6)
+
+    expected = [
+        (1, base, base + 50 * minute, 3, aged((0, 1), (25, 5), (50, 2))),
+        (2, base + 6 * minute, base + 6 * minute, 1, 1.0),
+        (2, base + 300 * minute, base + 302 * minute, 3, aged((300, 1), (301, 1), (302, 2))),
+        (3, base + 7 * minute, base + 7 * minute, 1, 1.0),
+        (4, base + 55 * minute, base + 55 * minute, 1, 1.0),
+    ]
+    columns = ["user", "since_us", "last_us", "events", "score"]
+    assert rows(spark.read.parquet(out), *columns) == expected
+    assert max(held) == 4 and held[-1] == 1
+    # Run again from its checkpoint, the job has nothing more to send.
+    go()
+    assert rows(spark.read.parquet(out), *columns) == expected
+
+
+def test_spells_fold_whatever_their_order():
+    parts = [(0, 10, 2, 1.0), (15, 20, 1, 2.0), (40, 45, 1, 1.0), (5, 12, 1, 4.0)]
+    folded = jobs._folded(parts, 6, 0.0)
+    assert folded == [(0, 20, 4, 7.0), (40, 45, 1, 1.0)]
+    assert jobs._folded(reversed(parts), 6, 0.0) == folded == jobs._folded([*folded[:1], *folded[1:]], 6, 0.0)
+
+
 def test_dedupe_keeps_one_row_per_key(feed):
     twice = [event(8, 2, 1, 10), event(9, 3, 1, 10)]
     acts = jobs.stream_interactions(feed(BATCHES[0] + twice))
