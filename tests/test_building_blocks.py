@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tastemill.functions import bands
 from tastemill.functions.blocks import block_top_k
 from tastemill.functions.copies import hand_out, members_of
 from tastemill.functions.exact import exact_sum, require, round6
@@ -145,6 +146,31 @@ def test_left_out_pairs_are_masked_in_their_block(spark, block):
     ]
 
 
+@pytest.mark.parametrize("block", [16, 2048])
+def test_bands_leave_out_blocks_and_no_vector(spark, block):
+    """Lengths that fall, ties, a zero query and vector, negative scores, users who have seen nearly all."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(300, 5)) * np.exp(-np.arange(300) / 60)[:, None]
+    vectors[20:24], vectors[299] = vectors[10], 0.0
+    people = rng.normal(size=(50, 5))
+    people[7], people[8] = 0.0, -np.abs(people[8])
+    schema = "id bigint, vec array<double>"
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(vectors)], schema)
+    q = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(people)], schema)
+    seen = [(u, i) for u in range(50) for i in range(300) if (u * 7 + i) % 11 == 0] + [(3, i) for i in range(296)]
+    left_out = spark.createDataFrame(seen, "id bigint, b bigint")
+    for out in (None, left_out):
+        expected = rows(block_top_k(q, v, 4, 64, cosine=False, skip_self=False, left_out=out))
+        assert rows(bands.band_top_k(q, v, 4, block, out)) == expected
+    held = bands.bands_of(v, block)
+    assert np.all(np.diff(held.longest) <= 0) and held.blocks == -(-300 // block)
+    if block == 16:
+        near = bands.band_top_k(q, v, 4, block)
+        seen_blocks = bands.visits(q, near, held, 4).agg(F.avg(F.col("last") + 1)).first()[0]
+        assert seen_blocks < 0.4 * held.blocks
+    assert bands.band_top_k(q, v.limit(0), 4, block).count() == 0 == bands.band_top_k(q.limit(0), v, 4, block).count()
+
+
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="item"):
         require(spark.range(1), "item")
