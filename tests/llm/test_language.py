@@ -1,5 +1,9 @@
+import math
 import zlib
+from collections import Counter
+from itertools import combinations
 
+import numpy as np
 from odd_tables import documents, no_documents, odd_documents, odd_rows
 
 from tastemill.llm import language
@@ -20,6 +24,57 @@ def test_held_out_accuracy(spark):
     assert sum(r.lang_pred == known[r.doc_id] for r in unseen) / len(unseen) > 0.98
 
 
+def plain_vector(text):
+    """Dictionary counts of hashed triples with whole numbers."""
+    text, counts = f" {text.lower()} ", Counter()
+    for x, y, z in zip(text, text[1:], text[2:]):
+        h = (ord(x) * 0x9E3779B1 + ord(y) * 0x85EBCA77 + ord(z) * 0xC2B2AE3D) % 2**32
+        counts[(h ^ (h >> 15)) * 0x27D4EB2F % 2**32 >> 20] += 1
+    length = math.sqrt(sum(counts.values()))
+    return {k: math.sqrt(n) / length for k, n in counts.items()}
+
+
+def plain_prediction(model, text):
+    """One text at a time: the likeliest family, then a vote of each pair of its languages."""
+    if text is None or not any(ch.isalpha() for ch in text):
+        return "und", 0.0
+    x = plain_vector(text)
+    z = [sum(w[k] * v for k, v in x.items()) + c for w, c in zip(model.first.weights, model.first.intercepts)]
+    chance = [math.exp(v - max(z)) for v in z]
+    best = z.index(max(z))
+    members = model.families[model.first.classes[best]]
+    votes, near = dict.fromkeys(members, 0), dict.fromkeys(members, 1.0)
+    for (a, b), (w, c) in model.pairs.items():
+        if a in votes and b in votes:
+            for_b = 1 / (1 + math.exp(-2 * max(-30, min(30, sum(w[k] * v for k, v in x.items()) + c))))
+            votes[b if for_b >= 0.5 else a] += 1
+            near[a], near[b] = min(near[a], 1 - for_b), min(near[b], for_b)
+    lang = max(members, key=lambda m: (votes[m], near[m]))
+    return lang, chance[best] / sum(chance) * near[lang]
+
+
+def test_every_prediction_equals_a_plain_one(spark):
+    """Whole texts of the table, and a family of three in which languages get as many votes."""
+    docs = read_table(spark, FOLDER, "documents")
+    model = language.fit(docs)
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    rng = np.random.default_rng(5)
+    families = {"germanic": ["de", "en", "nl"], "only xx": ["xx"]}
+    width = language.WIDTH
+    three = language.Model(
+        families,
+        language.Linear(list(families), rng.normal(size=(2, width)), rng.normal(size=2) * 0.1),
+        {pair: (rng.normal(size=width), 0.1) for pair in combinations(families["germanic"], 2)},
+    )
+    for known in (model, three):
+        out = language.predict(docs, known).collect()
+        assert len(out) == len(texts)
+        for r in out:
+            lang, score = plain_prediction(known, texts[r.doc_id])
+            assert r.lang_pred == lang and abs(r.score - score) < 1e-4
+    assert {r.lang_pred for r in out} == {"de", "en", "nl", "xx"}
+
+
 def test_labels_of_held_out_rows_and_other_columns_have_no_effect(spark):
     docs = read_table(spark, FOLDER, "documents").limit(300)
     rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
