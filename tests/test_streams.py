@@ -86,6 +86,15 @@ def test_cooccurrence_reads_its_own_users_in_few_runs(spark, tmp_path):
     assert {r["item"] for r in known.filter("user = 2").collect()} == {r["item"] for r in everything.filter("user = 2").collect()}
 
 
+def test_empty_batches_leave_the_store_as_it_is(spark, tmp_path):
+    store = str(tmp_path / "store")
+    update = jobs.cooccur_batch(store)
+    schema = "user bigint, item bigint"
+    for n, batch in enumerate([[], [(1, 1), (1, 2)], [(None, 3)], [], [(1, 2), (1, 3)]]):
+        update(spark.createDataFrame(batch, schema), n)
+    assert rows(jobs.stored_cooccur(spark, store)) == [(1, 2, 1), (1, 3, 1), (2, 3, 1)]
+
+
 def test_pairs_between_cut_groups_equal_a_plain_join(spark, many_parts):
     left = spark.range(40).select((F.col("id") % 2).alias("g"), F.col("id").alias("m"))
     right = spark.range(100, 170).select((F.col("id") % 3).alias("g"), F.col("id").alias("m"))
