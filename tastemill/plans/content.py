@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tastemill.functions.exact import exact_sum, round6
 from tastemill.operators import content as ct
 from tastemill.operators import factors as fa
-from tastemill.operators import interactions as prep
 from tastemill.operators import neighbours as nb
 from tastemill.plans import common as c
 from tastemill.session import write_stage
@@ -70,7 +69,7 @@ def _fold_in(s, d):
 
 
 def _item2vec(s, d):
-    vectors = fa.item2vec(prep.sequences(c.event_interactions(s, d)), 16, 5, 3)
+    vectors = fa.item2vec(c.event_interactions(s, d), 16, 5, 3)
     return vectors.select("id", F.posexplode("vec").alias("dim", "value"))
 
 
@@ -117,6 +116,8 @@ QUERIES = {
     "als_implicit": _als_implicit,
     "als_top_n": _als_top_n,
     "als_fold_in": _fold_in,
+    "item_contexts": lambda s, d: fa.item_contexts(c.event_interactions(s, d), 5),
+    "item_pmi_cells": lambda s, d: fa.positive_pmi(fa.item_contexts(c.event_interactions(s, d), 5)),
     "item2vec": _item2vec,
     "cluster_items": _clusters,
 }
@@ -157,7 +158,18 @@ _JACCARD = f"""WITH {c.PREF}, n AS (SELECT i, count(*) AS n FROM pref GROUP BY i
         sim AS (SELECT a, b, {c.r6('k / (p.n + q.n - k)')} AS score FROM both_own JOIN n p ON p.i = a JOIN n q ON q.i = b)
         SELECT * FROM (SELECT a AS id, b, score, {c.rank_int('a', 'score DESC, b')} AS rank FROM sim WHERE score >= 0.04::DOUBLE) WHERE rank <= 10"""
 
+# Offsets are an outer table, so that each is an equality join on (user, position).
+_CONTEXTS = f"""{c.EVI}, stepped AS MATERIALIZED (SELECT u, i, row_number() OVER (PARTITION BY u ORDER BY ts, event_id) AS pos FROM evi),
+context AS MATERIALIZED (SELECT least(x.i, y.i) AS a, greatest(x.i, y.i) AS b, count(*) AS k, CAST(sum(6 - x.far) AS BIGINT) AS weight
+  FROM (SELECT u, i, pos, unnest([1, 2, 3, 4, 5]) AS far FROM stepped) x JOIN stepped y ON y.u = x.u AND y.pos = x.pos + x.far GROUP BY 1, 2)"""
+
 ORACLE = {
+    "item_contexts": f"WITH {_CONTEXTS} SELECT * FROM context",
+    "item_pmi_cells": f"""WITH {_CONTEXTS}, both_ways AS (SELECT a, b, weight AS w FROM context UNION ALL SELECT b, a, weight FROM context),
+cell AS MATERIALIZED (SELECT a, b, sum(w) AS w FROM both_ways GROUP BY 1, 2), own AS (SELECT a, sum(w) AS n FROM cell GROUP BY 1), t AS (SELECT sum(w) AS t FROM cell),
+scored AS (SELECT cell.a, cell.b, {c.r6('ln(CAST(w AS DOUBLE) * CAST(t AS DOUBLE) / (CAST(x.n AS DOUBLE) * CAST(y.n AS DOUBLE)))')} AS score
+  FROM cell JOIN own x ON x.a = cell.a JOIN own y ON y.a = cell.b, t)
+SELECT * FROM scored WHERE score > 0""",
     "jaccard_join": _JACCARD,
     # At this bar min-hashes would meet too few pairs, so the lists are the exact ones.
     "minhash_neighbours": _JACCARD,

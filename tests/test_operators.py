@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -490,10 +491,68 @@ def test_all_vectors_are_searched_where_hashing_does_not_pay(spark):
     assert [f[:2] for f in found] == sorted(w[:2] for w in want)
 
 
-def test_item2vec_shapes(spark):
-    seqs = prep.sequences(steps(spark, [[1, 2, 3, 1, 2], [4, 5, 4], [2, 3]]))
-    got = factors.item2vec(seqs, 6, 2, 1).collect()
-    assert {r["id"] for r in got} == {1, 2, 3, 4, 5} and all(len(r["vec"]) == 6 for r in got)
+def uncut_contexts(sequences, window):
+    """Every (centre, context) pair of whole histories, as counts of unordered item pairs."""
+    count, weight = Counter(), Counter()
+    for items in sequences:
+        for at, item in enumerate(items):
+            for far, other in enumerate(items[at + 1 : at + 1 + window], 1):
+                if item is not None and other is not None:
+                    pair = min(item, other), max(item, other)
+                    count[pair] += 1
+                    weight[pair] += window + 1 - far
+    return sorted((a, b, k, weight[a, b]) for (a, b), k in count.items())
+
+
+@pytest.mark.parametrize("chunk", [5, 7, 64])
+def test_item_contexts_see_across_cells(spark, many_parts, chunk):
+    rng = random.Random(chunk)
+    sequences = [[rng.choice([*range(9), None]) for _ in range(rng.randrange(0, 90))] for _ in range(12)]
+    got = factors.item_contexts(steps(spark, sequences), 5, chunk)
+    assert rows(got, "a", "b", "k", "weight") == uncut_contexts(sequences, 5)
+
+
+def test_item_contexts_of_a_long_history(spark, many_parts):
+    rng = random.Random(4)
+    sequences = [[rng.randrange(300) for _ in range(10_000)], [1, 2]]
+    got = factors.item_contexts(steps(spark, sequences), 5)
+    assert rows(got, "a", "b", "k", "weight") == uncut_contexts(sequences, 5)
+
+
+def test_item_contexts_want_a_window_inside_a_cell(spark):
+    with pytest.raises(ValueError):
+        factors.item_contexts(steps(spark, [[1, 2]]), 6, 5)
+    assert factors.item_contexts(steps(spark, [[]]), 2).count() == 0
+
+
+def test_positive_pmi_by_hand(spark):
+    contexts = spark.createDataFrame([(1, 2, 3, 3), (1, 1, 1, 1), (2, 3, 1, 1)], "a bigint, b bigint, k bigint, weight bigint")
+    # Sums over contexts: 5 for item 1 (twice beside itself), 4 for item 2, 1 for item 3; 10 in all.
+    want = {(1, 2): 3 * 10 / 20, (2, 1): 3 * 10 / 20, (2, 3): 10 / 4, (3, 2): 10 / 4, (1, 1): 2 * 10 / 25}
+    got = {(a, b): score for a, b, score in rows(factors.positive_pmi(contexts), "a", "b", "score")}
+    assert got == {p: round(math.log(r), 6) for p, r in want.items() if r > 1}
+    shifted = factors.positive_pmi(contexts, 2.0)
+    assert rows(shifted, "a", "b", "score") == [(2, 3, round(math.log(1.25), 6)), (3, 2, round(math.log(1.25), 6))]
+
+
+def test_item2vec_tells_groups_apart(spark):
+    rng = random.Random(7)
+    sequences = [[rng.randrange(8) + 8 * (user % 3) for _ in range(40)] for user in range(60)]
+    vectors = {r["id"]: np.array(r["vec"]) for r in factors.item2vec(steps(spark, sequences), 6, 3, 1).collect()}
+    assert set(vectors) == set(range(24))
+    unit = {i: v / np.linalg.norm(v) for i, v in vectors.items()}
+    assert all(abs(unit[i] @ unit[i] - 1) < 1e-9 for i in unit)
+    inside = [unit[i] @ unit[j] for i in unit for j in unit if i < j and i // 8 == j // 8]
+    across = [unit[i] @ unit[j] for i in unit for j in unit if i < j and i // 8 != j // 8]
+    assert min(inside) > max(across)
+
+
+def test_item2vec_keeps_every_item(spark):
+    got = {r["id"]: r["vec"] for r in factors.item2vec(steps(spark, [[1, 2, 3, 1, 2], [4, 5, 4], [6], [None]]), 3, 2, 1).collect()}
+    assert set(got) == {1, 2, 3, 4, 5, 6} and all(len(v) == 3 for v in got.values())
+    assert got[6] == [0.0, 0.0, 0.0] and any(got[1])
+    alone = factors.item2vec(steps(spark, [[6], [7]]), 3, 2, 1).collect()
+    assert sorted((r["id"], r["vec"]) for r in alone) == [(6, [0.0] * 3), (7, [0.0] * 3)]
 
 
 def test_pagerank_keeps_its_mass(tastes):
