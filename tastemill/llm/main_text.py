@@ -14,7 +14,9 @@ lines of the upper cluster, widened to a main or article around it and to
 holders around it that add no menu. It is kept whole, so short lines, headings
 and cells in elements of their own stay; only parts of it that hold no line of
 the upper cluster and mostly links (menus without a telling name) go, as do runs
-of links and a copyright line at either end, and divisions after a single article.
+of links and a copyright line at either end, divisions after a single article, and
+what stands under a heading that says that readers write there (it must count them
+or ask for more, or be followed by elements of their own).
 
 Defined results: null or empty html gives the empty text; a page without content
 lines too; unclosed elements end with the element around them, an unclosed
@@ -53,6 +55,7 @@ TRACKED = HOLDERS | LEFT_OUT | {"a", "form", "ul", "ol", "table", "p", "span"}
 INLINE = frozenset({"a", "p", "span"})
 # Elements whose content is not markup.
 RAW = frozenset("iframe script style textarea title".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTROLS = frozenset("button input select textarea".split())
 # Words in class names, ids and roles of parts that are not the article.
 NOT_ARTICLE = frozenset(
@@ -193,11 +196,11 @@ def _plain_form(slash: str, name: str, rest: str) -> str:
 
 
 class _Lines(HTMLParser):
-    """Collects (region, is an h1, text, letters outside links, tags) for each block of text."""
+    """Collects (region, is an h1, text, letters outside links, tags, level if a heading) for each block of text."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[int, bool, str, int, int]] = []
+        self.lines: list[tuple[int, bool, str, int, int, int]] = []
         # element, left out, region, in an article, tags before a doubtful element
         self.open: list[tuple[str, bool, int, bool, int | None]] = []
         self.places: dict[str, list[int]] = {}  # where in ``open`` each element stands
@@ -209,7 +212,7 @@ class _Lines(HTMLParser):
         self.controls: Counter[int] = Counter()
         self.parts: list[str] = []
         self.plain = self.tags = self.links = 0
-        self.title = False
+        self.level = 0  # of the heading that is open
 
     def _state(self) -> tuple[bool, int, bool]:
         return self.open[-1][1:4] if self.open else (False, 0, False)
@@ -218,7 +221,7 @@ class _Lines(HTMLParser):
         out, region, _ = self._state()
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((region, self.title, text, self.plain, self.tags))
+            self.lines.append((region, self.level == 1, text, self.plain, self.tags, self.level))
             self.tags = 0
         self.parts.clear()
         self.plain = 0
@@ -265,7 +268,7 @@ class _Lines(HTMLParser):
             if not self._state()[0]:
                 self.end_line()
             self._end_paragraph()
-            self.title = tag == "h1"
+            self.level = int(tag[1]) if tag in HEADINGS else 0
         out, region, article = self._state()
         if tag == "br" and not out:
             self.parts.append(" ")
@@ -296,7 +299,7 @@ class _Lines(HTMLParser):
             self.tags += 1
             if tag in BLOCKS:
                 self.end_line()
-                self.title = False
+                self.level = 0
         place = self._last(tag)
         if tag not in TRACKED or place < 0:
             return
@@ -398,10 +401,11 @@ def main_text(html: str | None) -> str:
     if parser.doubt:
         gone = parser.left_out()
         parser.lines = [line for line in parser.lines if not gone[line[0]]]
+    parser.lines = _without_readers(parser)
     lines = parser.lines
     if not lines:
         return ""
-    ratios = np.array([plain / max(1, tags) for _, _, _, plain, tags in lines], dtype=np.float64)
+    ratios = np.array([plain / max(1, tags) for _, _, _, plain, tags, _ in lines], dtype=np.float64)
     values = smoothed(ratios)
     border = threshold(values)
     near = (values >= border) & (ratios > 0)
@@ -413,6 +417,60 @@ def main_text(html: str | None) -> str:
     return "\n\n".join(line[2] for line, k in zip(lines, kept) if k)
 
 
+# Headings over what readers write; those that count or ask for it leave no doubt.
+_READERS_SAY = re.compile(
+    r"(?:\d[\d,.]* (?:(?:reader|user) )?(?:comments?|responses?|replies|reply|thoughts?)(?: (?:on|to|so far)\b.*)?"
+    r"|one (?:comment|reply|response|thought on\b.*)|no (?:comments|replies|responses)(?: yet)?"
+    r"|(?:reader |user )?(?:comments?|responses?|replies) ?\(\d[\d,.]*\)"
+    r"|leave (?:a|your) (?:comment|reply)\b.*|(?:add|post|write) (?:a|your) (?:comment|reply)"
+    r"|join the (?:conversation|discussion)|(?:readers?'?s?|user) comments)\W*",
+    re.I,
+)
+_READERS_MAY = re.compile(r"(?:comments?|responses?|replies|discussion)\W*", re.I)
+#: Letters that must stand before such a heading; a page of comments alone keeps them.
+_ARTICLE_LEAST = 80
+
+
+def _without_readers(page: _Lines) -> list[tuple[int, bool, str, int, int, int]]:
+    """The lines of a page without the parts under headings over readers' comments.
+
+    Such a part reaches to the end of the element that holds the heading and the
+    line after it, or to the next heading there that is not a lower one; outside
+    of articles also to the next article. Lines of an element stand together, and
+    regions are numbered in the order of their starts, so one pass does.
+    """
+    lines, around, kinds = page.lines, page.around, page.kinds
+    marks = [bool(line[5]) and bool(_READERS_SAY.fullmatch(line[2]) or _READERS_MAY.fullmatch(line[2])) for line in lines]
+    if not any(marks):
+        return lines
+    last = list(range(len(kinds)))  # the last region inside each region
+    for i in range(len(kinds) - 1, 0, -1):
+        last[around[i]] = max(last[around[i]], last[i])
+    kept, plain, at = [], 0, 0
+    while at < len(lines):
+        region, level = lines[at][0], lines[at][5]
+        if not marks[at] or at + 1 == len(lines) or plain < _ARTICLE_LEAST:
+            kept.append(lines[at])
+            plain += lines[at][3]
+            at += 1
+            continue
+        following = lines[at + 1][0]
+        while not region <= following <= last[region]:
+            region = around[region]
+        if following == lines[at][0] and not _READERS_SAY.fullmatch(lines[at][2]):
+            kept.append(lines[at])
+            at += 1
+            continue
+        wide = kinds[region] in ("body", "main")
+        at += 1
+        while at < len(lines) and region <= lines[at][0] <= last[region]:
+            own, other = lines[at][0], lines[at][5]
+            if own == region and 0 < other <= level and not marks[at] or wide and kinds[own] == "article":
+                break
+            at += 1
+    return kept
+
+
 # How a line about rights begins.
 _RIGHTS = re.compile(r"(?:©|\(c\)|copyright\b|all rights reserved)", re.I)
 
@@ -430,7 +488,7 @@ def _trimmed(page: _Lines, content: np.ndarray, kept: list[bool]) -> list[bool]:
     for ends in ([i for i in places if i < firm[0]][::-1], [i for i in places if i > firm[-1]]):
         run: list[int] = []
         for i in ends:
-            region, title, text, plain, _ = page.lines[i]
+            region, title, text, plain, *_ = page.lines[i]
             if page.kinds[region] == "article" or title:
                 break
             if _RIGHTS.match(text):

@@ -213,3 +213,41 @@ def test_lines_of_links_and_rights_beside_the_text_go():
     foot = f"<ul>{links}</ul><p>&copy; 2024 The Mill. All rights reserved.</p>"
     assert main_text(page(f"<div><ul>{links}</ul>{body}{foot}</div>")) == f"{LONG}\n\nShort.\n\n{LONG}"
     assert main_text(page(f"<article>{body}<p><a href=1>one</a></p><p><a href=1>two</a></p></article>")).endswith("one\n\ntwo")
+
+
+TOLD = [
+    "The council met on Tuesday to discuss the new bridge, which has been planned for more than ten years, and its cost.",
+    "Engineers said that the foundations were laid last autumn and that the approach roads would be ready before the frost.",
+    "Residents spoke of noise, but most of those at the meeting were in favour and asked for a cycle path on both sides.",
+]
+
+
+@pytest.mark.parametrize(
+    "page, kept, gone",
+    [
+        ("<div><p>{0}<p>{1}<h3>Comments</h3><div class=c1><b>Ann</b><p>{2}</div><div class=c1><p>{2}</div></div>", "01", "2"),
+        ("<article><p>{0}<p>{1}<h3>2 Comments</h3><div><p>{2}</div></article>", "01", "2"),
+        ("<article><p>{0}<section><h2>Comments</h2><article><p>{2}</article></section></article>", "0", "2"),
+        ("<div><div><p>{0}<p>{1}</div><div><h2>3 thoughts on the bridge</h2></div><div><div>{2}</div></div></div>", "01", "2"),
+        ("<div><p>{0}<h2>Replies (2)</h2><p>{1}<h2>More of the story</h2><p>{2}</div>", "02", "1"),
+        ("<article><p>{0}<h3>Leave a Reply</h3><p>{2}</article>", "0", "2"),
+        # Headings of an article that only sound alike.
+        ("<article><p>{0}<h2>Discussion</h2><p>{1}<h2>End</h2><p>{2}</article>", "012", ""),
+        ("<div><p>{0}<h2>Comments</h2><p>{1}</div>", "01", ""),
+        ("<div><p>{0}<h2>No response to the letter</h2><div>{1}</div></div>", "01", ""),
+        ("<div><p>{0}<h2>One reply to critics</h2><p>{1}</div>", "01", ""),
+        # A page of comments alone keeps them.
+        ("<div><h1>2 comments</h1><div>{0}</div><div>{1}</div></div>", "01", ""),
+    ],
+)
+def test_parts_under_headings_of_readers_go(page, kept, gone):
+    text = main_text(page.format(*TOLD))
+    assert all(TOLD[int(i)] in text for i in kept) and not any(TOLD[int(i)] in text for i in gone)
+
+
+@pytest.mark.parametrize("piece", ["<div><h2>Comments</h2><p>{0}", "<h2>3 comments</h2><div>{0}</div>", "<h2>Comments</h2><p>{0}</p>"])
+def test_many_headings_of_readers_take_linear_time(piece):
+    page = piece.format(TOLD[0]) * 8_000
+    start = time.time()
+    main_text(page)
+    assert time.time() - start < 5
