@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions.exact import exact_sum, require, round6
 from tastemill.functions.ordered import OrderedSplit
-from tastemill.functions.pairs import mirrored, pair_stats, shared_pairs
+from tastemill.functions.pairs import CELL, mirrored, pair_stats, shared_pairs
 from tastemill.functions.ranked import top_per
 from tastemill.session import write_stage
 
@@ -177,13 +177,15 @@ def apply_rules(items: DataFrame, rules: DataFrame, n: int) -> DataFrame:
     return top_per(fresh, ["basket"], [F.desc("score"), F.asc("item")], n)
 
 
-def prefix_span(steps: DataFrame, min_support: float, max_len: int) -> DataFrame:
+def prefix_span(steps: DataFrame, min_support: float, max_len: int, cell: int = CELL) -> DataFrame:
     """Frequent ordered patterns (pattern array, freq) of up to ``max_len`` items.
 
     Grown one item at a time. For each user and frequent pattern only the
     leftmost place where the pattern ends is kept; an item extends it when its
     last place in the user's history lies further right. Histories are never
-    gathered into arrays, and repeats of an item collapse to two positions.
+    gathered into arrays, and repeats of an item collapse to two positions. A user
+    with over ``cell`` frequent items is cut by a hash of the item, so that the
+    user's patterns meet them in several tasks; the cut travels with the patterns.
     """
     require(steps, "user", "ts", "event_id", "item")
     placed = OrderedSplit(steps.select("user", "ts", "event_id", "item"), ["user"], ["ts", "event_id"])
@@ -199,20 +201,27 @@ def prefix_span(steps: DataFrame, min_support: float, max_len: int) -> DataFrame
     result = level = frequent(single)
     keep = level.select(F.col("pattern")[0].alias("item"))
     rows = rows.join(keep, "item", "left_semi")
-    lasts = write_stage(
-        ends.join(keep, "item", "left_semi").select("user", F.col("item").alias("next"), "last"), "lasts"
+    ends = write_stage(ends.join(keep, "item", "left_semi"), "ends")
+    several = (
+        ends.groupBy("user")
+        .agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("salts"))
+        .filter(F.col("salts") > 1)
     )
-    state = single.join(level.select("pattern"), "pattern", "left_semi").select("user", "pattern", "end")
+    ends = ends.join(several, "user", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    salt = F.pmod(F.xxhash64("item"), F.col("salts")).cast("int")
+    lasts = write_stage(ends.select("user", F.col("item").alias("next"), "last", salt.alias("salt")), "lasts")
+    state = ends.select("user", F.array("item").alias("pattern"), "end", "salts")
     for length in range(2, max_len + 1):
         # Written once: the supports and the next state both read it.
         grown = write_stage(
-            state.join(lasts, "user")
+            state.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+            .join(lasts, ["user", "salt"])
             .filter(F.col("last") > F.col("end"))
             .select(
                 "user",
-                F.col("pattern").alias("prefix"),
                 "end",
                 "next",
+                "salts",
                 F.concat("pattern", F.array("next")).alias("pattern"),
             ),
             "grown",
@@ -228,7 +237,7 @@ def prefix_span(steps: DataFrame, min_support: float, max_len: int) -> DataFrame
                 kept.join(later, ["user", "next"])
                 .filter(F.col("pos") > F.col("end"))
                 .groupBy("user", "pattern")
-                .agg(F.min("pos").alias("end")),
+                .agg(F.min("pos").alias("end"), F.max("salts").alias("salts")),
                 "state",
             )
     return result

@@ -269,6 +269,8 @@ def test_prefix_span_equals_the_ml_one(spark, many_parts):
     got = {tuple(r["pattern"]): r["freq"] for r in patterns.prefix_span(steps(spark, sequences), 0.2, 4).collect()}
     data = spark.createDataFrame([([[i] for i in s],) for s in sequences], "sequence array<array<bigint>>")
     ml = PrefixSpan(minSupport=0.2, maxPatternLength=4).findFrequentSequentialPatterns(data).collect()
+    cut = patterns.prefix_span(steps(spark, sequences), 0.2, 4, cell=2)
+    assert {tuple(r["pattern"]): r["freq"] for r in cut.collect()} == got
     expected = {
         tuple(x for part in r["sequence"] for x in part): r["freq"]
         for r in ml
