@@ -26,13 +26,14 @@ from tastemill.sources.tables import read_table
 def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in every document, with counts of the patterns that report on their own."""
     found = secret_scan.find_secrets(read_table(spark, folder, "documents"), "doc_id")
-    count = {
-        kind: F.size(F.filter("strong", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{kind}")
-        for i, kind in enumerate(secret_scan.KINDS[:3])
-    }
+
+    def count(number: int, kind: str):
+        # A second parameter of the lambda would be the place in the array.
+        return F.size(F.filter("strong", lambda s: s["kind"] == number)).cast("bigint").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *count.values(),
+        *[count(i, kind) for i, kind in enumerate(secret_scan.KINDS[:3])],
         F.sha2(secret_scan.span_text(F.col("strong")), 256).alias("base_sha256"),
         secret_scan.span_text(F.col("spans")).alias("spans"),
     )

@@ -5,7 +5,7 @@ import re
 
 from odd_tables import documents, no_documents, odd_documents, odd_rows
 
-from tastemill.llm import secret_scan
+from tastemill.llm import queries, secret_scan
 
 PLAIN = {
     "assign": r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -107,3 +107,16 @@ def test_a_text_with_many_spans_is_masked_in_a_job(spark):
     by_id = {r.doc_id: r for r in secret_scan.without_secrets(docs).collect()}
     assert by_id[1].text == "[REDACTED]\n" * 20_000 and by_id[1].n_chars == len(by_id[1].text)
     assert by_id[2].text == "none" and by_id[3].text is None
+
+
+def test_the_query_counts_spans_by_kind(spark, tmp_path):
+    hexes, key = "0123456789abcdef" * 2, "AKIA" + "Z9" * 6
+    texts = ["password=abcdefgh9", key, hexes, f"{key} {hexes} {hexes} token={hexes}", "none", None]
+    documents(spark, [(i, t, None) for i, t in enumerate(texts)]).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op1_secret_scan(spark, str(tmp_path)).orderBy("doc_id").collect()
+    spans = [plain(t) for t in texts]
+    assert [(r.n_assign, r.n_access, r.n_hex) for r in found] == [
+        tuple(sum(kind == i for _, kind, _ in s) for i in range(3)) for s in spans
+    ]
+    told = [",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in s) for s in spans]
+    assert [r.base_sha256 for r in found] == [hashlib.sha256(t.encode()).hexdigest() for t in told]
