@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tastemill.functions.exact import exact_sum, require, round6
-from tastemill.functions.pairs import directed_stats
+from tastemill.functions.exact import SCALE, exact_sum, require, round6
 from tastemill.functions.ranked import top_per
+from tastemill.operators.neighbours import Measure
 from tastemill.session import write_stage
 
 
@@ -164,16 +164,17 @@ def mass_diffusion(prefs: DataFrame, blend: float, k: int) -> DataFrame:
     pairs = prefs.select("user", "item")
     share = pairs.groupBy("user").agg((1.0 / F.count(F.lit(1))).alias("r"))
     sizes = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    flows = directed_stats(
+
+    def score(v, m):
+        base = m.power(v["n_b"] * m.number(1), m.number(1.0 - blend)) * m.power(v["n_a"] * m.number(1), m.number(blend))
+        return v["flow"] / base
+
+    flows = Measure(
         pairs.join(sizes, "item").join(share, "user"),
-        "user",
-        "item",
-        [exact_sum(F.col("r_a")).alias("flow")],
-        ["r"],
-        ["n"],
-    )
-    base = F.pow(F.col("n_b").cast("double"), F.lit(1.0 - blend)) * F.pow(
-        F.col("n_a").cast("double"), F.lit(blend)
+        score,
+        {"flow": (lambda v: v["r"], SCALE)},
+        fixed=("n",),
+        shared=("r",),
+        directed=True,
     )
-    scored = flows.select("a", "b", round6(F.col("flow") / base).alias("score"))
-    return top_per(scored, ["a"], [F.desc("score"), F.asc("b")], k)
+    return flows.nearest(k).drop("k")

@@ -12,6 +12,8 @@ from pyspark.ml.evaluation import RankingEvaluator
 from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import functions as F
 
+from tastemill.functions.pairs import mirrored
+from tastemill.functions.top_pairs import top_pairs
 from tastemill.operators import baseline, content, factors, graph, metrics, patterns, ranking
 from tastemill.operators import interactions as prep
 from tastemill.operators import neighbours as nb
@@ -189,6 +191,41 @@ def test_set_join_meets_far_fewer_pairs_than_share_a_user(spark):
     assert shares[0] <= 1 and shares[2] < 0.4 and shares[3] < 0.15
 
 
+def test_lists_of_hot_users_and_items_hold_no_pair_rows(spark):
+    """Chunks, parts and folds as small as can be give the lists of the pair table."""
+    rng = random.Random(11)
+    owned = {(rng.randrange(30) if rng.random() < 0.5 else 1, rng.randrange(25) if rng.random() < 0.7 else -3) for _ in range(300)}
+    prefs = spark.createDataFrame([(u, i, rng.randrange(1, 60) / 4) for u, i in sorted(owned)], "user bigint, item bigint, weight double")
+    ratings = prefs.withColumnRenamed("weight", "rating")
+    measures = [nb.cosine(prefs), nb.weighted_cosine(prefs), nb.conditional(prefs, 0.5), nb.pmi(prefs)]
+    measures += [nb.pearson(ratings, 2), nb.adjusted_cosine(ratings), nb.iuf_cosine(prefs)]
+    for m in measures:
+        pairs = m.pairs()
+        want = rows(pairs if m.directed else mirrored(pairs, both=["k", "score"]))
+        totals = {} if m.totals is None else m.totals.first().asDict()
+        for cell, entries in ((2048, 1 << 21), (4, 10)):
+            found = top_pairs(
+                m.rows, "user", "item", 1000, m.score, m.sums, m.values, m.fixed, m.shared, m.keep, m.directed, totals, cell, entries
+            )
+            assert rows(found.drop("rank")) == want
+    # One row of lists for each row of the table, whatever the number of pairs.
+    plan = nb.cosine(prefs).nearest(3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") >= 2 and "HashAggregate" not in plan[: plan.index("MapInArrow")]
+
+
+def test_votes_are_added_up_where_the_user_is(spark):
+    prefs = spark.createDataFrame([(1, 10, 2.0), (1, 11, 1.0), (2, 11, None), (None, 10, 3.0)], "user bigint, item bigint, weight double")
+    near = spark.createDataFrame(
+        [(10, 11, 0.5), (10, 12, 0.25), (11, 12, 0.5), (11, 13, 0.125)], "a bigint, b bigint, score double"
+    )
+    recs = nb.item_cf(prefs, near, 5)
+    assert sorted(map(tuple, recs.collect()), key=repr) == sorted(
+        [(1, 12, 1.0, 1), (1, 13, 0.125, 2), (2, 12, None, 1), (2, 13, None, 2), (None, 11, 1.5, 1), (None, 12, 0.75, 2)], key=repr
+    )
+    plan = recs._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Exchange" not in plan[: plan.index("Generate")]
+
+
 def test_nearest_lists_equal_those_of_the_pair_table(spark, tastes):
     for measure in (nb.cosine, nb.weighted_cosine, nb.jaccard, nb.llr, nb.iuf_cosine):
         pairs = nb.neighbours(measure(tastes).pairs(), 3)
