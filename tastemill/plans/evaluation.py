@@ -80,15 +80,17 @@ def _strong(s, d):
     return _all_votes(s, d).filter(F.col("score") >= 4.0)
 
 
-def _similarities(s, d):
-    """The training fold and its item cosines, written once: both are read several times."""
-    train = write_stage(_folds(s, d)[0], "train")
-    return train, write_stage(nb.item_cosine(train), "similarities")
+def _listed(s, d):
+    """The lists and the item cosines of the pairs inside a list, written once: both are read several times."""
+    train, _ = _folds(s, d)
+    recs = write_stage(nb.item_cf(train, _sims(train), N), "recs")
+    pairs = recs.select("user", F.col("item").alias("a")).join(recs.select("user", F.col("item").alias("b")), "user")
+    sims = nb.item_cosine(train, among=pairs.filter("a < b").select("a", "b"))
+    return recs, write_stage(sims, "similarities")
 
 
 def _mmr(s, d):
-    train, sims = _similarities(s, d)
-    recs = nb.item_cf(train, nb.neighbours(sims, N), N)
+    recs, sims = _listed(s, d)
     return pp.mmr(recs, mirrored(sims.select("a", "b", "score"), both=["score"]), 0.05, 4)
 
 
@@ -99,8 +101,7 @@ def _eligible(s, d):
 
 
 def _diversity(s, d):
-    train, sims = _similarities(s, d)
-    return mt.intra_list_diversity(nb.item_cf(train, nb.neighbours(sims, N), N), sims)
+    return mt.intra_list_diversity(*_listed(s, d))
 
 
 def _ab(s, d):

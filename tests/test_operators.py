@@ -213,6 +213,20 @@ def test_lists_of_hot_users_and_items_hold_no_pair_rows(spark):
     assert plan.count("MapInArrow") >= 2 and "HashAggregate" not in plan[: plan.index("MapInArrow")]
 
 
+def test_wanted_pairs_are_scored_without_the_others(spark):
+    rng = random.Random(12)
+    owned = {(rng.randrange(30), rng.randrange(25) if rng.random() < 0.7 else 3) for _ in range(300)}
+    prefs = spark.createDataFrame(sorted(owned), "user bigint, item bigint")
+    wanted = {(a, b) for a in range(27) for b in range(a + 1, 27) if rng.random() < 0.3}
+    among = spark.createDataFrame([*wanted, *list(wanted)[:20]], "a bigint, b bigint")
+    want = [r for r in rows(nb.item_cosine(prefs)) if r[:2] in wanted]
+    sims = nb.item_cosine(prefs, among=among)
+    assert want and rows(sims) == want
+    m = nb.cosine(prefs)
+    assert rows(top_pairs(m.rows, "user", "item", 0, m.score, fixed=m.fixed, cell=4, entries=10, among=among)) == want
+    assert "_x" not in sims._jdf.queryExecution().executedPlan().toString()
+
+
 def test_votes_are_added_up_where_the_user_is(spark):
     prefs = spark.createDataFrame([(1, 10, 2.0), (1, 11, 1.0), (2, 11, None), (None, 10, 3.0)], "user bigint, item bigint, weight double")
     near = spark.createDataFrame(
