@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tastemill.functions import bands
+from tastemill.functions import bands, blocks
 from tastemill.functions.blocks import block_top_k
 from tastemill.functions.copies import hand_out, members_of
 from tastemill.functions.exact import exact_sum, require, round6
@@ -212,3 +213,29 @@ def test_exact_sum_does_not_depend_on_order(spark):
         df = spark.createDataFrame(data, "g int, x double").repartition(parts)
         results.add(tuple(rows(df.groupBy("g").agg(exact_sum(F.col("x")).alias("s")))))
     assert len(results) == 1
+
+
+def test_wide_blocks_are_searched_tile_by_tile():
+    """Blocks of many tiles give the lists of one product: ties, copies, seen vectors, and queries without enough others."""
+    rng = np.random.default_rng(11)
+    vectors = np.round(rng.normal(size=(300, 4)), 1)
+    vectors[50:90], vectors[200] = vectors[7], 0.0
+    frame = pd.DataFrame({"b": np.arange(300), "b_vec": list(vectors)}).sample(frac=1, random_state=1)
+    out = [np.arange(300) if q == 3 else np.arange(q % 7, 296, 2) if q % 5 == 0 else None for q in range(40)]
+    asked = pd.DataFrame({"id": np.arange(40), "vec": list(vectors[:40]), "left_out": out})
+    for cosine, scale in ((True, 1e6), (False, 1e12), (False, 1.0)):
+        whole = blocks._best_of_block(9, cosine, True, scale, 512)(asked, frame)
+        tiles = blocks._best_of_block(9, cosine, True, scale, 16)(asked, frame)
+        order = ["id", "score", "b"]
+        found = [x.sort_values(order, ascending=[True, False, True]).reset_index(drop=True) for x in (whole, tiles)]
+        pd.testing.assert_frame_equal(*found)
+        assert found[1].groupby("id").size().max() == 9 and 3 not in found[1]["id"].values
+
+
+def test_vectors_travel_to_few_wide_blocks(spark):
+    """At the least width a row of 100,000 would be copied to 49 blocks of the other side."""
+    wide = spark.range(100000).select("id", F.array(F.lit(1.0)).alias("vec"))
+    grid = blocks._grid(wide, wide, [], 2048, 8).first()
+    assert (grid["_qs"], grid["_vs"]) == (4, 4)
+    few = blocks._grid(wide, wide.limit(3000), [], 2048, 32).first()
+    assert (few["_qs"], few["_vs"]) == (32, 1)
