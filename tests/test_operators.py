@@ -6,6 +6,7 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.ml.evaluation import RankingEvaluator
@@ -496,6 +497,19 @@ def test_cells_give_the_exact_lists(spark, spread):
     assert rows(factors.nearest_in_cluster(df, model, 10, 1)) == rows(factors.nearest_exact(df, df, 10))
 
 
+def test_cell_visits_come_in_small_batches_and_are_counted_without_rows():
+    """Vectors without clusters visit all cells: their rows would be as many vectors in one batch."""
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(50, 8))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    cells = factors.Cells(np.arange(50, dtype=np.int32), centres, np.full(50, 2.0), np.full(50, 9))
+    batch = pd.DataFrame({"id": np.arange(3000), "vec": list(rng.normal(size=(3000, 8))), "bound": 0.0})
+    made = list(factors._visit(cells, 5, 2, True, 100)(iter([batch])))
+    assert max(map(len, made)) == 100
+    counted = sum(x["met"].sum() for x in factors._count_visits(cells, 5, 2)(iter([batch])))
+    assert counted == sum(map(len, made)) == 3000 * 48
+
+
 def test_cells_rule_most_vectors_out_where_there_are_clusters(spark):
     rng = np.random.default_rng(9)
     centre = rng.normal(size=(40, 16))
