@@ -18,6 +18,7 @@ from tastemill.functions.copies import hand_out, members_of
 from tastemill.functions.exact import exact_sum, require, round6
 from tastemill.functions.ordered import OrderedSplit
 from tastemill.functions.pairs import directed_pairs, directed_stats, pair_stats, shared_pairs
+from tastemill.functions.sparse import near_vectors
 
 
 def test_ordered_scans_equal_plain_windows(spark, many_parts):
@@ -239,3 +240,32 @@ def test_vectors_travel_to_few_wide_blocks(spark):
     assert (grid["_qs"], grid["_vs"]) == (4, 4)
     few = blocks._grid(wide, wide.limit(3000), [], 2048, 32).first()
     assert (few["_qs"], few["_vs"]) == (32, 1)
+
+
+@pytest.mark.parametrize("bar", [0.3, 0.5, 0.8])
+def test_sparse_vectors_meet_in_blocks_without_pair_rows(spark, bar):
+    """Frequent and rare terms, copies, a vector without entries, and blocks, index and lists cut small."""
+    rng = np.random.default_rng(13)
+    near, data = {}, []
+    for i in range(150):
+        terms = np.unique(np.r_[rng.choice(400, 3), 400 + rng.choice(30, 6), 430 + rng.choice(4, 3)])
+        base = data[i - 1][1:] if i % 3 == 1 else None
+        if base is not None:
+            terms = np.array(sorted(set(base[0][: rng.integers(4, 9)]) | set(terms[-2:].tolist())))
+        u = rng.uniform(0.1, 2.0, len(terms)) * np.where(terms < 400, 3, 1)
+        if base is not None and i % 4 == 1:
+            terms, u = np.array(base[0]), np.array(base[1])
+        u = u / np.sqrt((u * u).sum())
+        data.append((i, terms.tolist(), u.tolist()))
+    wide = np.zeros((150, 434))
+    for i, terms, u in data:
+        wide[i, terms] = u
+    for i in range(150):
+        score = np.floor(np.floor(wide * wide[i] * 1e9 + 0.5).sum(axis=1) / 1e9 * 1e6 + 0.5) / 1e6
+        best = sorted((-score[j], j) for j in range(150) if j != i and score[j] >= bar)[:3]
+        near.update({(i, j): -s for s, j in best})
+    vectors = spark.createDataFrame([*data, (999, [], [])], "id bigint, terms array<bigint>, us array<double>").repartition(5)
+    for sizes in ({}, {"least": 20, "step": 50}, {"entries": 300, "step": 7}):
+        found = {(r["a"], r["b"]): r["score"] for r in near_vectors(vectors, bar, 3, **sizes).collect()}
+        assert near.items() <= found.items() and all(s >= bar for s in found.values())
+    assert len(near) > 30
