@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions.pairs import mirrored
 from tastemill.functions.top_pairs import top_pairs
+from tastemill.functions import slope
 from tastemill.operators import baseline, content, factors, graph, metrics, patterns, ranking
 from tastemill.operators import interactions as prep
 from tastemill.operators import neighbours as nb
@@ -306,6 +307,31 @@ def test_slope_one_by_hand(spark):
     assert rows(nb.slope_one(ratings, target, devs)) == [(3, 1, 2.5)]
 
 
+@pytest.mark.parametrize("whole", [True, False])
+def test_slope_one_in_parts_equals_the_joins(spark, whole):
+    """Hot users and items, targets that repeat, are rated or have no one in common, and steps cut small."""
+    rng = random.Random(15)
+    data = {}
+    for _ in range(900):
+        user = rng.choice([0, 0, *range(40)])
+        item = rng.choice([3, 3, *range(60)]) * 1000
+        data[user, item] = float(rng.randrange(1, 6)) if whole else rng.choice([None, rng.uniform(-3, 9)])
+    data[77, 99000], data[78, -5 if not whole else 98000] = 2.0, 4.0
+    ratings = spark.createDataFrame([(u, i, r) for (u, i), r in data.items()], "user bigint, item bigint, rating double")
+    asked = [(rng.randrange(80), rng.randrange(62) * 1000) for _ in range(1500)] + [(500, 3000), (1, 7), (None, 3000), (1, None)]
+    targets = spark.createDataFrame(asked, "user bigint, item bigint")
+    pairs = nb.slope_one_deviations(ratings)
+    expected = rows(nb.slope_one(ratings, targets.distinct(), pairs))
+    top = rows(nb.slope_one_top(ratings, targets, pairs, 4), "user", "item", "score", "rank")
+    assert len(expected) > 500 and len(top) > 100
+    assert rows(nb.slope_one(ratings, targets, nb.deviations(ratings))) == expected
+    assert rows(nb.slope_one_top(ratings, targets, nb.deviations(ratings), 4), "user", "item", "score", "rank") == top
+    for parts, step in ((1, 1 << 20), (7, 40)):
+        assert rows(slope.predictions(ratings, targets, parts=parts, step=step)) == expected
+    no_pairs = nb.slope_one(ratings, targets, nb.deviations(ratings))._jdf.queryExecution().analyzed().toString()
+    assert "dev#" not in no_pairs
+
+
 def steps(spark, sequences):
     data, event = [], 0
     for user, items in enumerate(sequences):
