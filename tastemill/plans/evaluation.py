@@ -32,11 +32,18 @@ def _sims(prefs):
     return nb.cosine(prefs).nearest(N)
 
 
-def _recs(s, d):
-    train, _ = _folds(s, d)
+def _train(s, d):
+    return _folds(s, d)[0]
+
+
+def _train_recs(train):
     return nb.item_cf(train, _sims(train), N)
 
 
+def _recs(s, d):
+    return _train_recs(_train(s, d))
+
+
 def _measured(metric):
     def run(s, d):
         train, truth = _folds(s, d)
@@ -53,9 +60,8 @@ def _users(s, d):
     return c.table(s, d, "customer").select(F.col("c_custkey").alias("user"))
 
 
-def _nation_lists(s, d):
+def _nation_lists(s, d, train):
     """Ten most popular items of the user's nation, as a second source of candidates."""
-    train, _ = _folds(s, d)
     people = c.table(s, d, "customer").select(F.col("c_custkey").alias("user"), "c_nationkey")
     top = baseline.popular_by(train, people, "c_nationkey", N)
     return people.join(top, "c_nationkey").select(
@@ -63,21 +69,20 @@ def _nation_lists(s, d):
     )
 
 
-def _all_votes(s, d):
+def _all_votes(train):
     """Scores before the cut to ten, the input of the re-rankers."""
-    train, _ = _folds(s, d)
     return nb.item_cf(train, _sims(train), 50).drop("rank")
 
 
 def _fill(s, d):
-    train, _ = _folds(s, d)
-    recs = pp.top_n(_strong(s, d), N)
+    train = _train(s, d)
+    recs = pp.top_n(_strong(train), N)
     return pp.fill_cold(recs, baseline.popularity_ranks(train), _users(s, d), train, N)
 
 
-def _strong(s, d):
+def _strong(train):
     """Candidates with a solid score only, so that some lists come up short."""
-    return _all_votes(s, d).filter(F.col("score") >= 4.0)
+    return _all_votes(train).filter(F.col("score") >= 4.0)
 
 
 def _listed(s, d):
@@ -110,18 +115,32 @@ def _ab(s, d):
     return mt.ab_summary(rows, "test-1", 3)
 
 
+def _both_lists(s, d):
+    """Two sources of candidates from the one train fold."""
+    train = _train(s, d)
+    return [_train_recs(train), _nation_lists(s, d, train)]
+
+
+def _unseen(s, d):
+    train = _train(s, d)
+    return pp.drop_seen(_nation_lists(s, d, train), train)
+
+
+def _novelty(s, d):
+    train = _train(s, d)
+    return mt.novelty(_train_recs(train), train)
+
+
 QUERIES = {
     "train_recs": _recs,
-    "drop_seen": lambda s, d: pp.drop_seen(_nation_lists(s, d), _folds(s, d)[0]),
+    "drop_seen": _unseen,
     "top_n": lambda s, d: pp.top_n(
         c.prefs(s, d).select("user", "item", F.col("weight").alias("score")), N
     ),
-    "blend": lambda s, d: pp.blend([_recs(s, d), _nation_lists(s, d)], [0.7, 0.3], N),
-    "reciprocal_rank_fusion": lambda s, d: pp.reciprocal_rank_fusion(
-        [_recs(s, d), _nation_lists(s, d)], 60, N
-    ),
+    "blend": lambda s, d: pp.blend(_both_lists(s, d), [0.7, 0.3], N),
+    "reciprocal_rank_fusion": lambda s, d: pp.reciprocal_rank_fusion(_both_lists(s, d), 60, N),
     "cap_per_group": lambda s, d: pp.cap_per_group(
-        _all_votes(s, d), tables.item_attributes(c.table(s, d, "part")), "p_type", 2, N
+        _all_votes(_train(s, d)), tables.item_attributes(c.table(s, d, "part")), "p_type", 2, N
     ),
     "mmr": _mmr,
     "fill_cold": _fill,
@@ -133,7 +152,7 @@ QUERIES = {
     "mrr": _measured(mt.mrr),
     "coverage": lambda s, d: mt.coverage(_recs(s, d), _items(s, d), _users(s, d)),
     "gini": lambda s, d: mt.gini(_recs(s, d), _items(s, d)),
-    "novelty": lambda s, d: mt.novelty(_recs(s, d), _folds(s, d)[0]),
+    "novelty": _novelty,
     "intra_list_diversity": _diversity,
     "rmse_mae": lambda s, d: mt.rmse_mae(baseline.bias_baseline(c.ratings(s, d), 5.0, 10.0)),
     "auc": lambda s, d: mt.auc(label_scores(s, d)),
