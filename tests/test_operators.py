@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.ml.evaluation import RankingEvaluator
@@ -15,13 +16,14 @@ from pyspark.sql import functions as F
 
 from tastemill.functions.pairs import mirrored
 from tastemill.functions.top_pairs import top_pairs
-from tastemill.functions import slope
+from tastemill.functions import slope, top_pairs as packed_lists, votes
 from tastemill.operators import baseline, content, factors, graph, metrics, patterns, ranking
 from tastemill.operators import interactions as prep
 from tastemill.operators import neighbours as nb
 from tastemill.operators import postprocess as pp
 from tastemill.plans import common
 from tastemill.plans import content as registered
+from tastemill.plans import evaluation
 from tastemill.sources import tables
 
 PREFS = "user bigint, item bigint, weight double"
@@ -215,6 +217,31 @@ def test_lists_of_hot_users_and_items_hold_no_pair_rows(spark):
     assert plan.count("MapInArrow") >= 2 and "HashAggregate" not in plan[: plan.index("MapInArrow")]
 
 
+def test_lists_for_one_task_go_as_one_compressed_row():
+    rng = np.random.default_rng(13)
+    groups = [rng.choice(1 << 20, 40, replace=False) for _ in range(2000)]
+    sizes = rng.integers(20, 40, 1 << 20).astype(float)
+    x = [[{"m": int(m), "_salts": 1, "f0": float(sizes[m])} for m in g] for g in groups]
+    kind = pa.list_(pa.struct([("m", pa.int64()), ("_salts", pa.int32()), ("f0", pa.float64())]))
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[i : i + 500], kind)], names=["x"]) for i in range(0, 2000, 500)]
+    layout = [(3, True), (1, True)]
+    sent = list(packed_lists._sender(layout, 1, 0, 64, False)(iter(batches)))
+    entries, lists = 2000 * 40 * 40, 2000 * 40
+    assert sum(b.num_rows for b in sent) == 64
+    assert sum(sum(b.column(1).to_pylist()) for b in sent) == lists
+    assert sum(sum(b.column(2).to_pylist()) for b in sent) == entries
+    # Entries as they are would be 12.8 MB, and 40 bytes more for each list.
+    assert sum(sum(map(len, b.column(3).to_pylist())) for b in sent) < 0.85 * entries * 4
+
+
+@pytest.mark.parametrize("name", ["novelty", "reciprocal_rank_fusion", "blend", "drop_seen", "fill_cold"])
+def test_a_query_writes_its_folds_once(spark, monkeypatch, name):
+    written = []
+    monkeypatch.setattr(evaluation, "write_stage", lambda df, label: written.append(label) or df)
+    evaluation.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert written.count("folds") == 1
+
+
 def test_wanted_pairs_are_scored_without_the_others(spark):
     rng = random.Random(12)
     owned = {(rng.randrange(30), rng.randrange(25) if rng.random() < 0.7 else 3) for _ in range(300)}
@@ -229,6 +256,33 @@ def test_wanted_pairs_are_scored_without_the_others(spark):
     assert "_x" not in sims._jdf.queryExecution().executedPlan().toString()
 
 
+def test_packed_votes_equal_a_plain_sum(spark):
+    """Several batches of votes at a time, repeated rows, null users and weights; a row for a task, not for a vote."""
+    rng = random.Random(21)
+    prefs = [(rng.choice([None, *range(-2, 6)]), rng.choice([None, *range(-4, 30)]), rng.choice([None, 1.0, 2.5, -3.0])) for _ in range(300)]
+    links = {(rng.randrange(-4, 30), rng.randrange(-40, 60)): rng.choice([0.25, 0.123457, -0.5]) for _ in range(250)}
+    seen = {(u, i) for u, i, _ in prefs if u is not None and i is not None}
+    totals = {}
+    for u, i, w in prefs:
+        for (a, b), sim in links.items():
+            if a == i and (u, b) not in seen:
+                total = totals.setdefault((u, b), [])
+                if w is not None:
+                    total.append(math.floor(w * sim * 1e6 + 0.5))
+    scores = {p: math.floor(sum(t) / 1e6 * 1e6 + 0.5) / 1e6 if t else None for p, t in totals.items()}
+    want = []
+    for u in {u for u, _ in scores}:
+        mine = sorted((-math.inf if s is None else s, -b) for (v, b), s in scores.items() if v == u)[::-1]
+        want += [(u, -b, None if s == -math.inf else s, r) for r, (s, b) in enumerate(mine[:7], 1)]
+    table = spark.createDataFrame(prefs, "user bigint, item bigint, weight double")
+    near = spark.createDataFrame([(a, b, s) for (a, b), s in links.items()], "item bigint, b bigint, sim double")
+    for at_a_time in (1 << 20, 40):
+        found = votes.top_votes(table, near, 7, at_a_time)
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted(want, key=repr)
+    sent = found._jdf.queryExecution().executedPlan().toString()
+    assert "packed" in sent and "HashAggregate" not in sent[: sent.index("packed")]
+
+
 def test_votes_are_added_up_where_the_user_is(spark):
     prefs = spark.createDataFrame([(1, 10, 2.0), (1, 11, 1.0), (2, 11, None), (None, 10, 3.0)], "user bigint, item bigint, weight double")
     near = spark.createDataFrame(
