@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.functions import top_pairs as tp
+from tastemill.session import write_stage
 
 #: Votes that a task adds up on average, and twice that at a time.
 VOTES = 1 << 20
@@ -167,21 +168,27 @@ def top_votes(prefs: DataFrame, links: DataFrame, n: int, at_a_time: int = VOTES
     """(user, item, score, rank): the best n items that a user does not have, by added-up weight x sim.
 
     ``prefs`` are (user, item, weight), ``links`` (item, b, sim) with whole
-    numbers as ids; both are read several times. Rows of a null user are one
-    user who has nothing. Ties go to the smaller item.
+    numbers as ids; ``prefs`` is read twice. Rows of a null user are one user who
+    has nothing. Ties go to the smaller item.
     """
-    as_is = F.floor(F.col("sim") * 1e6 + 0.5) / 1e6 == F.col("sim")
-    whole = F.bool_and(F.col("sim").isNotNull() & (F.col("sim") >= 0) & (F.col("sim") < 1e9) & as_is)
-    of_links = links.agg(F.min("b").alias("low"), F.max("b").alias("high"), whole.alias("micro"), F.max("sim").alias("most"))
-    bounds = of_links.first()
+    one = F.struct(F.col("b").cast("bigint").alias("b"), F.col("sim").cast("double").alias("sim"))
+    lists = write_stage(links.groupBy("item").agg(F.collect_list(one).alias("links")), "links")
+
+    def short(x):
+        return x.isNotNull() & (x >= 0) & (x < 1e9) & (F.floor(x * 1e6 + 0.5) / 1e6 == x)
+
+    bounds = lists.agg(
+        F.min(F.array_min("links.b")).alias("low"),
+        F.max(F.array_max("links.b")).alias("high"),
+        F.bool_and(F.coalesce(F.forall("links.sim", short), F.lit(False))).alias("micro"),
+        F.max(F.array_max("links.sim")).alias("most"),
+        F.max(F.size("links")).alias("longest"),
+    ).first()
     low, micro = int(bounds["low"] or 0), bool(bounds["micro"])
     layout = [(tp._bytes_for(0, int(bounds["high"] or 0) - low), True)]
     layout.append((tp._bytes_for(0, int(bounds["most"] * 1e6) + 1), True) if micro else (8, False))
-    one = F.struct(F.col("b").cast("bigint").alias("b"), F.col("sim").cast("double").alias("sim"))
-    lists = links.groupBy("item").agg(F.collect_list(one).alias("links"))
-    longest = lists.agg(F.max(F.size("links"))).first()[0] or 0
     parts = int(prefs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(parts, -(-prefs.count() * (longest + 1) // at_a_time))
+    parts = max(parts, -(-prefs.count() * ((bounds["longest"] or 0) + 1) // at_a_time))
     rows = prefs.filter(F.col("item").isNotNull()).join(lists, "item", "left")
     rows = rows.select(F.col("user").cast("bigint"), F.col("item").cast("bigint"), F.col("weight").cast("double"), "links")
     user, item = prefs.schema["user"].dataType, prefs.schema["item"].dataType

@@ -22,7 +22,7 @@ N = 10
 
 
 def _folds(s, d):
-    tagged = write_stage(prep.split_by_hash(c.prefs(s, d), 20, "fold"), "folds")
+    tagged = write_stage(prep.split_by_hash(c.prefs(s, d).drop("last_ts"), 20, "fold"), "folds")
     train = tagged.filter(F.col("fold") == "train").drop("fold")
     truth = tagged.filter(F.col("fold") == "test").select("user", "item")
     return train, truth
