@@ -31,14 +31,35 @@ _SENT = "pid int, sent bigint, links bigint, packed binary"
 _BEST = "user bigint, best array<struct<item: bigint, score: double, rank: int>>"
 
 
-def _sender(layout: list[tuple[int, bool]], low: int, micro: bool, parts: int):
-    """(user, item, weight, links) -> the rows for one task as one row, byte plane by byte plane, compressed."""
+def _packer(layout: list[tuple[int, bool]], low: int, micro: bool):
+    """(item, links) -> (item, packed links)."""
+    width = sum(w for w, _ in layout)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links = batch.column(1)
+            offsets, links = links.offsets.to_numpy(), links.flatten()
+            sim = links.field(1)
+            if pc.any(pc.is_nan(sim)).as_py():
+                raise ValueError("a term is out of the range of an exact sum")
+            sim = sim.to_numpy(zero_copy_only=False)
+            records = tp._pack([links.field(0).to_numpy() - low, np.floor(sim * 1e6 + 0.5) if micro else sim], layout)
+            at = pa.py_buffer(((offsets - offsets[0]) * width).astype(np.int32))
+            packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, at, pa.py_buffer(records)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed], names=["item", "links"])
+
+    return pack
+
+
+def _sender(layout: list[tuple[int, bool]], parts: int):
+    """(user, item, weight, packed links) -> the rows for one task as one row, byte plane by byte plane, compressed."""
+    width = sum(w for w, _ in layout)
 
     def lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             held.append(batch)
-            size += batch.num_rows + len(batch.column(3).flatten())
+            size += batch.num_rows + batch.column(3).nbytes // width
             if size >= LOT:
                 yield from pa.Table.from_batches(held).combine_chunks().to_batches()
                 held, size = [], 0
@@ -51,23 +72,24 @@ def _sender(layout: list[tuple[int, bool]], low: int, micro: bool, parts: int):
             if not batch.num_rows:
                 continue
             user, item, weight, links = batch.columns
-            length = pc.fill_null(pc.list_value_length(links), 0).to_numpy().astype(np.int64)
-            links = links.flatten()
-            b, sim = links.field(0).to_numpy(), links.field(1)
-            votes = length > 0
-            if pc.any(pc.is_nan(weight.filter(pa.array(votes)))).as_py() or pc.any(pc.is_nan(sim)).as_py():
+            links = pc.fill_null(links, b"")
+            offsets = np.frombuffer(links.buffers()[1], np.int32)[links.offset : links.offset + len(links) + 1]
+            length = np.diff(offsets.astype(np.int64)) // width
+            data = memoryview(links.buffers()[2] or b"")[offsets[0] : offsets[-1]]
+            planes = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, width).T)
+            if pc.any(pc.is_nan(weight.filter(pa.array(length > 0)))).as_py():
                 raise ValueError("a term is out of the range of an exact sum")
             known = pc.is_valid(user).to_numpy(zero_copy_only=False).astype(np.int64)
             user = pc.fill_null(user, 0).to_numpy()
-            sim = sim.to_numpy(zero_copy_only=False)
-            sim = np.floor(sim * 1e6 + 0.5) if micro else sim
             pid = (tp._place(user, known) % np.uint64(parts)).astype(np.int32)
             order = np.argsort(pid, kind="stable")
             start = (np.cumsum(length) - length)[order]
             rows = [user, known, item.to_numpy(), weight.to_numpy(zero_copy_only=False), length]
             heads = tp._planes([c[order] for c in rows], _ROW)
             at = tp._ranges(start, length[order])
-            body = tp._planes([(b - low)[at], sim[at]], layout)
+            body = np.empty((width, len(at)), np.uint8)
+            for i in range(width):
+                np.take(planes[i], at, out=body[i])
             pid, ends = pid[order], np.r_[0, np.cumsum(length[order])]
             first, last = tp._runs(pid)
             packed = [
@@ -189,11 +211,13 @@ def top_votes(prefs: DataFrame, links: DataFrame, n: int, at_a_time: int = VOTES
     layout.append((tp._bytes_for(0, int(bounds["most"] * 1e6) + 1), True) if micro else (8, False))
     parts = int(prefs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(parts, -(-prefs.count() * ((bounds["longest"] or 0) + 1) // at_a_time))
-    rows = prefs.filter(F.col("item").isNotNull()).join(lists, "item", "left")
+    packed = f"item {lists.schema['item'].dataType.simpleString()}, links binary"
+    packed = lists.mapInArrow(_packer(layout, low, micro), packed)
+    rows = prefs.filter(F.col("item").isNotNull()).join(packed, "item", "left")
     rows = rows.select(F.col("user").cast("bigint"), F.col("item").cast("bigint"), F.col("weight").cast("double"), "links")
     user, item = prefs.schema["user"].dataType, prefs.schema["item"].dataType
     return (
-        rows.mapInArrow(_sender(layout, low, micro, parts), _SENT)
+        rows.mapInArrow(_sender(layout, parts), _SENT)
         .repartitionById(parts, F.col("pid"))
         .mapInArrow(_voter(layout, low, micro, n, at_a_time), _BEST)
         .select("user", F.inline("best"))
