@@ -234,6 +234,42 @@ def test_lists_for_one_task_go_as_one_compressed_row():
     assert sum(sum(map(len, b.column(3).to_pylist())) for b in sent) < 0.85 * entries * 4
 
 
+def test_lists_are_sorted_and_scored_a_block_at_a_time(monkeypatch):
+    monkeypatch.setattr(packed_lists, "BLOCK", 512)
+    rng = np.random.default_rng(17)
+    groups = [rng.choice(50, 8, replace=False).tolist() for _ in range(60)]
+    kind = pa.list_(pa.struct([("m", pa.int64()), ("_salts", pa.int32())]))
+    x = pa.array([[{"m": m, "_salts": 1} for m in g] for g in groups], kind)
+    sent = packed_lists._sender([(1, True)], 0, 0, 1, False)(iter([pa.RecordBatch.from_arrays([x], names=["x"])]))
+    scored = []
+
+    def score(v, m):
+        scored.append(len(v["k"]))
+        return v["k"] / 2
+
+    meet = packed_lists._meeting([(1, True)], 0, 1, [], [], [], {}, score, None, False, {}, 100, 1 << 21, False)
+    found = [tuple(r.values()) for batch in meet(sent) for r in batch.to_pylist()]
+    want = {}
+    for g in groups:
+        want.update({(a, b): want.get((a, b), 0) + 1 for a in g for b in g if a != b})
+    assert sorted(found) == sorted((a, b, k, k / 2) for (a, b), k in want.items())
+    # A member's lists stay together: at most 30 of 8 entries here.
+    assert sum(scored) == len(want) and len(scored) >= 4 and max(scored) <= 512 + 240
+
+
+def test_small_blocks_give_the_lists_of_the_pair_table(spark, monkeypatch):
+    monkeypatch.setattr(packed_lists, "BLOCK", 16)
+    rng = random.Random(18)
+    owned = sorted({(rng.randrange(20), rng.randrange(25) if rng.random() < 0.7 else -3) for _ in range(200)})
+    prefs = spark.createDataFrame([(u, i, rng.randrange(1, 60) / 4) for u, i in owned], "user bigint, item bigint, weight double")
+    wanted = {(a, b) for a in range(-3, 25) for b in range(a + 1, 25) if rng.random() < 0.3}
+    among = spark.createDataFrame([*wanted], "a bigint, b bigint")
+    for m in (nb.llr(prefs), nb.weighted_cosine(prefs), nb.iuf_cosine(prefs)):
+        pairs = m.pairs()
+        assert rows(m.nearest(1000).drop("rank")) == rows(mirrored(pairs, both=["k", "score"]))
+        assert rows(m.among(among)) == [r for r in rows(pairs) if r[:2] in wanted]
+
+
 @pytest.mark.parametrize("name", ["novelty", "reciprocal_rank_fusion", "blend", "drop_seen", "fill_cold"])
 def test_a_query_writes_its_folds_once(spark, monkeypatch, name):
     written = []
