@@ -161,7 +161,8 @@ def mass_diffusion(prefs: DataFrame, blend: float, k: int) -> DataFrame:
     The flow is sum over shared users of 1 / n_user, over n_b^(1-blend) n_a^blend.
     """
     require(prefs, "user", "item")
-    pairs = prefs.select("user", "item")
+    # Read for the rows and for the degrees of both sides.
+    pairs = write_stage(prefs.select("user", "item"), "prefs")
     share = pairs.groupBy("user").agg((1.0 / F.count(F.lit(1))).alias("r"))
     sizes = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
 

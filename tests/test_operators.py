@@ -257,6 +257,13 @@ def test_lists_are_sorted_and_scored_a_block_at_a_time(monkeypatch):
     assert sum(scored) == len(want) and len(scored) >= 4 and max(scored) <= 512 + 240
 
 
+def test_diffusion_writes_its_preferences_once(spark, tastes, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "write_stage", lambda df, label: written.append(label) or df)
+    graph.mass_diffusion(tastes, 0.5, 3)
+    assert written == ["prefs"]
+
+
 def test_small_blocks_give_the_lists_of_the_pair_table(spark, monkeypatch):
     monkeypatch.setattr(packed_lists, "BLOCK", 16)
     rng = random.Random(18)
