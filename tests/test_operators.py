@@ -14,7 +14,7 @@ from pyspark.ml.evaluation import RankingEvaluator
 from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import functions as F
 
-from tastemill.functions.pairs import mirrored
+from tastemill.functions.pairs import mirrored, pair_stats
 from tastemill.functions.top_pairs import top_pairs
 from tastemill.functions import slope, top_pairs as packed_lists, votes
 from tastemill.operators import baseline, content, factors, graph, metrics, patterns, ranking
@@ -285,6 +285,50 @@ def test_a_query_writes_its_folds_once(spark, monkeypatch, name):
     assert written.count("folds") == 1
 
 
+def test_pairs_once_each_have_no_pair_rows(spark):
+    """All pairs a < b from half lists, whatever the chunks, parts and folds; nulls and repeated rows as in the join."""
+    rng = random.Random(19)
+    owned = [(rng.choice([None, 1, 1, 1, *range(30)]), rng.choice([None, -3, -3, *range(25)])) for _ in range(400)]
+    ratings = spark.createDataFrame([(u, i, rng.choice([None, 1.0, 2.5, 4.0])) for u, i in owned], "user bigint, item bigint, rating double")
+    pairs = pair_stats(ratings, "user", "item", [F.count(F.lit(1)).alias("k")])
+    assert rows(nb.cooccur(ratings)) == rows(pairs)
+    devs = nb.slope_one_deviations(ratings)
+    by_name = nb.slope_one_deviations(ratings.withColumn("item", F.col("item").cast("string")))
+    named = by_name.select(F.col("a").cast("bigint"), F.col("b").cast("bigint"), "k", "dev")
+    turned = F.col("a") > F.col("b")
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    named = named.select(low, high, "k", F.when(turned, -F.col("dev")).otherwise(F.col("dev")).alias("dev"))
+    close = {r[:2]: r[2:] for r in rows(named)}
+    assert {r[:2] for r in map(tuple, devs.collect())} == set(close)
+    for a, b, k, dev in devs.collect():
+        assert k == close[a, b][0] and (dev is None) == (close[a, b][1] is None)
+        assert dev is None or dev == pytest.approx(close[a, b][1], abs=2e-6)
+    for cell, entries in ((4, 10), (4, 1 << 21), (2048, 10)):
+        found = top_pairs(ratings, "user", "item", None, lambda v, m: v["k"], cell=cell, entries=entries, half=True)
+        assert rows(found, "a", "b", "k") == rows(pairs)
+    for made in (nb.cooccur(ratings), devs):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") >= 2 and "HashAggregate" not in plan[: plan.index("MapInArrow")]
+
+
+def test_half_lists_send_half_the_entries():
+    groups = [list(range(g, g + 20)) for g in range(30)]
+    kind = pa.list_(pa.struct([("m", pa.int64()), ("_salts", pa.int32())]))
+    x = pa.array([[{"m": m, "_salts": 1} for m in g] for g in groups], kind)
+    batch = pa.RecordBatch.from_arrays([x], names=["x"])
+    sent = [sum(sum(b.column(2).to_pylist()) for b in packed_lists._sender([(1, True)], 0, 0, 4, False, half)(iter([batch]))) for half in (False, True)]
+    assert sent == [30 * 20 * 20, 30 * 20 * 19 // 2]
+
+
+def test_wanted_pairs_come_from_half_lists(spark, tastes, monkeypatch):
+    """The pairs inside lists (intra_list_diversity) need each pair once."""
+    halves = []
+    real = packed_lists._sender
+    monkeypatch.setattr(packed_lists, "_sender", lambda *a, **how: halves.append(how.get("half")) or real(*a, **how))
+    nb.item_cosine(tastes, among=spark.createDataFrame([(1, 2)], "a bigint, b bigint"))
+    assert halves and all(halves)
+
+
 def test_wanted_pairs_are_scored_without_the_others(spark):
     rng = random.Random(12)
     owned = {(rng.randrange(30), rng.randrange(25) if rng.random() < 0.7 else 3) for _ in range(300)}
