@@ -5,6 +5,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
@@ -18,6 +19,7 @@ from tastemill.functions.copies import hand_out, members_of
 from tastemill.functions.exact import exact_sum, require, round6
 from tastemill.functions.ordered import OrderedSplit
 from tastemill.functions.pairs import directed_pairs, directed_stats, pair_stats, shared_pairs
+from tastemill.functions import sparse
 from tastemill.functions.sparse import near_vectors
 
 
@@ -242,6 +244,31 @@ def test_vectors_travel_to_few_wide_blocks(spark):
     assert (few["_qs"], few["_vs"]) == (32, 1)
 
 
+def test_a_block_of_sparse_vectors_is_packed_once_in_few_bytes(spark):
+    """As arrays of numbers and doubles an entry has 16 bytes; weights and norms come out as they went in."""
+    rng = np.random.default_rng(31)
+    terms = [np.unique(np.minimum(rng.zipf(1.3, 200), 40000) - 5) for _ in range(3000)]
+    weight = np.round(rng.uniform(0.1, 12, 40001) * 1e6) / 1e6
+    us = [weight[t] for t in terms]
+    norm = [float(np.sqrt((u * u).sum())) for u in us]
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.float64(), pa.int32()]
+    columns = [pa.array(x, t) for x, t in zip((range(3000), terms, us, norm, [7] * 3000), kinds)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["id", "terms", "us", "norm", "part"])
+    layout = [(2, True), (4, True)]
+    (sent,) = sparse._packer(layout, -5, True)(iter([batch.slice(0, 1000), batch.slice(1000)]))
+    part, *pack = (c[0].as_py() for c in sent.columns)
+    entries = sum(map(len, terms))
+    assert part == 7 and pack[2] == entries and len(pack[3]) < 3 * entries
+    ids, sizes, term, u = sparse._opened(pack, layout, True)
+    assert ids.tolist() == list(range(3000)) and (term == np.concatenate(terms) + 5).all()
+    assert (u == np.concatenate([x / n for x, n in zip(us, norm)])).all() and sizes.tolist() == list(map(len, terms))
+    rows_ = [(f"d{i}", [1, 2, 3 + i % 2], [1.0, 2.0, 2.0], 3.0) for i in range(4)]
+    named = spark.createDataFrame(rows_, "id string, terms array<bigint>, us array<double>, norm double")
+    met = near_vectors(named, 0.9, 3)
+    assert rows(met) == [("d0", "d2", 1.0), ("d1", "d3", 1.0), ("d2", "d0", 1.0), ("d3", "d1", 1.0)]
+    assert "CoGroups" not in met._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("bar", [0.3, 0.5, 0.8])
 def test_sparse_vectors_meet_in_blocks_without_pair_rows(spark, bar):
     """Frequent and rare terms, copies, a vector without entries, and blocks, index and lists cut small."""
