@@ -473,6 +473,27 @@ def test_slope_one_in_parts_equals_the_joins(spark, whole):
     assert "dev#" not in no_pairs
 
 
+def test_slope_one_deals_one_compressed_row_for_a_part(spark):
+    """As records of their own the lists of a part would be four bytes an entry, and sorted on the way."""
+    rng = np.random.default_rng(29)
+    own = [[{"item": int(i), "rating": float(rng.integers(1, 6))} for i in rng.choice(1 << 16, 40, replace=False)] for _ in range(500)]
+    asked = [rng.choice(1 << 16, 100).tolist() for _ in range(500)]
+    kinds = [pa.int64(), pa.list_(pa.struct([("item", pa.int64()), ("rating", pa.float64())])), pa.list_(pa.int64())]
+    batch = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((range(500), own, asked), kinds)], names=["user", "mine", "asked"])
+    sent = list(slope._dealer([(3, True), (1, True)], 0, 5, True)(iter([batch])))
+    assert sum(b.num_rows for b in sent) == 5
+    entries = sum(sum(b.column(2).to_pylist()) for b in sent)
+    assert entries == 5 * 500 * 40 and sum(sum(map(len, b.column(4).to_pylist())) for b in sent) < 3 * entries + 3 * 50000
+    ratings = spark.createDataFrame([(1, 1, 2.0), (1, 2, 3.0), (2, 1, 4.0)], "user bigint, item bigint, rating double")
+    lists = spark.createDataFrame([(2, [2, 2, 1, None, 9]), (None, [2]), (2, None)], "user bigint, items array<bigint>")
+    plain = lists.select("user", F.explode("items").alias("item"))
+    found = [nb.slope_one_top(ratings, x, nb.deviations(ratings), 3) for x in (lists, plain)]
+    found.append(nb.slope_one_top(ratings, lists, nb.slope_one_deviations(ratings), 3))
+    assert [rows(x, "user", "item", "score", "rank") for x in found] == [[(2, 2, 5.0, 1)]] * 3
+    plan = found[0]._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" not in plan and plan.count("MapInArrow") >= 2
+
+
 def steps(spark, sequences):
     data, event = [], 0
     for user, items in enumerate(sequences):
