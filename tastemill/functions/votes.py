@@ -26,25 +26,30 @@ VOTES = 1 << 20
 #: Links that are sent in one batch.
 LOT = 1 << 22
 
+#: User, whether it is known (1) and has the item (2), item, weight, links.
 _ROW = [(8, True), (1, True), (8, True), (8, False), (4, True)]
 _SENT = "pid int, sent bigint, links bigint, packed binary"
 _BEST = "user bigint, best array<struct<item: bigint, score: double, rank: int>>"
 
 
-def _packer(layout: list[tuple[int, bool]], low: int, micro: bool):
-    """(item, links) -> (item, packed links)."""
+def _packer(layout: list[tuple[int, bool]], low: int, scale: float):
+    """(item, links) -> (item, packed links), which are sorted and in steps; a null b is ``low``."""
     width = sum(w for w, _ in layout)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             links = batch.column(1)
-            offsets, links = links.offsets.to_numpy(), links.flatten()
+            offsets, links = links.offsets.to_numpy().astype(np.int64), links.flatten()
+            offsets -= offsets[0]
             sim = links.field(1)
             if pc.any(pc.is_nan(sim)).as_py():
                 raise ValueError("a term is out of the range of an exact sum")
             sim = sim.to_numpy(zero_copy_only=False)
-            records = tp._pack([links.field(0).to_numpy() - low, np.floor(sim * 1e6 + 0.5) if micro else sim], layout)
-            at = pa.py_buffer(((offsets - offsets[0]) * width).astype(np.int32))
+            b = pc.fill_null(links.field(0), low).to_numpy()
+            order = np.lexsort((b, np.repeat(np.arange(batch.num_rows), np.diff(offsets))))
+            b, sim = tp._steps(b[order] - low, offsets[:-1][np.diff(offsets) > 0]), sim[order]
+            records = tp._pack([b, np.floor(sim * scale + 0.5) if scale else sim], layout)
+            at = pa.py_buffer((offsets * width).astype(np.int32))
             packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, at, pa.py_buffer(records)])
             yield pa.RecordBatch.from_arrays([batch.column(0), packed], names=["item", "links"])
 
@@ -52,7 +57,7 @@ def _packer(layout: list[tuple[int, bool]], low: int, micro: bool):
 
 
 def _sender(layout: list[tuple[int, bool]], parts: int):
-    """(user, item, weight, packed links) -> the rows for one task as one row, byte plane by byte plane, compressed."""
+    """(user, item, weight, packed links, has) -> the rows for one task as one row, byte plane by byte plane, compressed."""
     width = sum(w for w, _ in layout)
 
     def lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,7 +76,7 @@ def _sender(layout: list[tuple[int, bool]], parts: int):
         for batch in lots(batches):
             if not batch.num_rows:
                 continue
-            user, item, weight, links = batch.columns
+            user, item, weight, links, has = batch.columns
             links = pc.fill_null(links, b"")
             offsets = np.frombuffer(links.buffers()[1], np.int32)[links.offset : links.offset + len(links) + 1]
             length = np.diff(offsets.astype(np.int64)) // width
@@ -82,9 +87,10 @@ def _sender(layout: list[tuple[int, bool]], parts: int):
             known = pc.is_valid(user).to_numpy(zero_copy_only=False).astype(np.int64)
             user = pc.fill_null(user, 0).to_numpy()
             pid = (tp._place(user, known) % np.uint64(parts)).astype(np.int32)
+            known += 2 * has.to_numpy(zero_copy_only=False).astype(np.int64)
             order = np.argsort(pid, kind="stable")
             start = (np.cumsum(length) - length)[order]
-            rows = [user, known, item.to_numpy(), weight.to_numpy(zero_copy_only=False), length]
+            rows = [user, known, pc.fill_null(item, 0).to_numpy(), weight.to_numpy(zero_copy_only=False), length]
             heads = tp._planes([c[order] for c in rows], _ROW)
             at = tp._ranges(start, length[order])
             body = np.empty((width, len(at)), np.uint8)
@@ -102,7 +108,7 @@ def _sender(layout: list[tuple[int, bool]], parts: int):
     return send
 
 
-def _voter(layout: list[tuple[int, bool]], low: int, micro: bool, n: int, at_a_time: int):
+def _voter(layout: list[tuple[int, bool]], low: int, scale: float, n: int, at_a_time: int):
     """Packed rows -> (user, the best n (item, score, rank) in a list)."""
     head, width = sum(w for w, _ in _ROW), sum(w for w, _ in layout)
 
@@ -112,9 +118,10 @@ def _voter(layout: list[tuple[int, bool]], low: int, micro: bool, n: int, at_a_t
         raw = np.frombuffer(pa.Codec("zstd").decompress(packed, sent * head + links * width, asbytes=True), np.uint8)
         user, known, item, weight, length = tp._columns(raw[: sent * head].reshape(head, sent), _ROW)
         b, sim = tp._columns(raw[sent * head :].reshape(width, links), layout)
-        b, sim = b + low, sim / 1e6 if micro else sim
+        b, sim = (tp._added_up(b, length) if links else b) + low, sim / scale if scale else sim
         of = np.repeat(np.arange(sent), length)
-        seen = np.flatnonzero(known)
+        seen = np.flatnonzero(known == 3)
+        known = known & 1
         if shares > 1:
             mine = np.flatnonzero(tp._mixed(b) % np.uint64(shares) == share)
             of, b, sim = of[mine], b[mine], sim[mine]
@@ -186,12 +193,15 @@ def _voter(layout: list[tuple[int, bool]], low: int, micro: bool, n: int, at_a_t
     return vote
 
 
-def top_votes(prefs: DataFrame, links: DataFrame, n: int, at_a_time: int = VOTES) -> DataFrame:
+def top_votes(prefs: DataFrame, links: DataFrame, n: int, at_a_time: int = VOTES, seen: DataFrame | None = None) -> DataFrame:
     """(user, item, score, rank): the best n items that a user does not have, by added-up weight x sim.
 
     ``prefs`` are (user, item, weight), ``links`` (item, b, sim) with whole
     numbers as ids; ``prefs`` is read twice. Rows of a null user are one user who
     has nothing. Ties go to the smaller item.
+
+    With ``seen`` (user, item) this is what users have, and the items of
+    ``prefs`` only name lists of links; then b may be null, which no one has.
     """
     one = F.struct(F.col("b").cast("bigint").alias("b"), F.col("sim").cast("double").alias("sim"))
     lists = write_stage(links.groupBy("item").agg(F.collect_list(one).alias("links")), "links")
@@ -203,25 +213,42 @@ def top_votes(prefs: DataFrame, links: DataFrame, n: int, at_a_time: int = VOTES
         F.min(F.array_min("links.b")).alias("low"),
         F.max(F.array_max("links.b")).alias("high"),
         F.bool_and(F.coalesce(F.forall("links.sim", short), F.lit(False))).alias("micro"),
+        F.bool_and(F.coalesce(F.forall("links.sim", lambda x: short(x) & (x == F.floor(x))), F.lit(False))).alias("whole"),
+        F.bool_or(F.exists("links.b", lambda x: x.isNull())).alias("nulls"),
         F.max(F.array_max("links.sim")).alias("most"),
         F.max(F.size("links")).alias("longest"),
     ).first()
-    low, micro = int(bounds["low"] or 0), bool(bounds["micro"])
-    layout = [(tp._bytes_for(0, int(bounds["high"] or 0) - low), True)]
-    layout.append((tp._bytes_for(0, int(bounds["most"] * 1e6) + 1), True) if micro else (8, False))
+    low, scale = int(bounds["low"] or 0), 1.0 if bounds["whole"] else 1e6 if bounds["micro"] else 0.0
+    high = int(bounds["high"] or 0)
+    if bounds["nulls"]:
+        # One less than any other, as nulls come first.
+        low -= 1
+    layout = [(tp._bytes_for(0, high - low), True)]
+    layout.append((tp._bytes_for(0, int(bounds["most"] * scale) + 1), True) if scale else (8, False))
     parts = int(prefs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(parts, -(-prefs.count() * ((bounds["longest"] or 0) + 1) // at_a_time))
+    if seen is None:
+        votes = prefs.count() * ((bounds["longest"] or 0) + 1)
+    else:
+        met = prefs.join(lists.select("item", F.size("links").cast("bigint").alias("size")), "item")
+        votes = met.agg(F.sum("size")).first()[0] or 0
+    parts = max(parts, -(-votes // at_a_time))
     packed = f"item {lists.schema['item'].dataType.simpleString()}, links binary"
-    packed = lists.mapInArrow(_packer(layout, low, micro), packed)
+    packed = lists.mapInArrow(_packer(layout, low, scale), packed)
     rows = prefs.filter(F.col("item").isNotNull()).join(packed, "item", "left")
-    rows = rows.select(F.col("user").cast("bigint"), F.col("item").cast("bigint"), F.col("weight").cast("double"), "links")
-    user, item = prefs.schema["user"].dataType, prefs.schema["item"].dataType
+    rows = rows.select(F.col("user").cast("bigint"), F.col("item").cast("bigint"), F.col("weight").cast("double"), "links", F.lit(seen is None).alias("has"))
+    if seen is not None:
+        has = seen.filter(F.col("user").isNotNull() & F.col("item").isNotNull())
+        has = has.select(F.col("user").cast("bigint"), F.col("item").cast("bigint"))
+        nothing = [F.lit(None).cast(t).alias(c) for c, t in (("weight", "double"), ("links", "binary"))]
+        rows = rows.unionByName(has.select("*", *nothing, F.lit(True).alias("has")))
+    user, item = prefs.schema["user"].dataType, links.schema["b"].dataType
+    found = F.when(F.col("item") != low, F.col("item")) if bounds["nulls"] else F.col("item")
     return (
         rows.mapInArrow(_sender(layout, parts), _SENT)
         .repartitionById(parts, F.col("pid"))
-        .mapInArrow(_voter(layout, low, micro, n, at_a_time), _BEST)
+        .mapInArrow(_voter(layout, low, scale, n, at_a_time), _BEST)
         .select("user", F.inline("best"))
-        .select(F.col("user").cast(user).alias("user"), F.col("item").cast(item).alias("item"), "score", "rank")
+        .select(F.col("user").cast(user).alias("user"), found.cast(item).alias("item"), "score", "rank")
     )
 
 
