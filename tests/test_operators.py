@@ -370,6 +370,39 @@ def test_packed_votes_equal_a_plain_sum(spark):
     assert "packed" in sent and "HashAggregate" not in sent[: sent.index("packed")]
 
 
+def test_votes_of_nearest_users_equal_the_joins(spark):
+    """Repeated rows, null users, items and weights, and users no one is near to; no rows for votes."""
+    rng = random.Random(23)
+    for weights in ([1.0, 7.0, 300.0], [None, 0.25, -2.5, 1e-7]):
+        prefs = [(rng.choice([None, *range(-2, 25)]), rng.choice([None, *range(-9, 30)]), rng.choice(weights)) for _ in range(300)]
+        prefs = spark.createDataFrame(prefs, "user bigint, item bigint, weight double")
+        near = [(a, b, rng.choice([0.25, 0.123457, 0.5])) for a in range(-2, 20) for b in range(-2, 28) if a != b and rng.random() < 0.3]
+        near = spark.createDataFrame(near, "a bigint, b bigint, score double")
+        found = nb.user_cf(prefs, near, 6)
+        wide = nb.user_cf(prefs.withColumn("user", F.col("user").cast("decimal(9,0)")), near, 6).withColumn("user", F.col("user").cast("bigint"))
+        order = ["user", "rank", "item", "score"]
+        assert sorted(map(str, found.select(order).collect())) == sorted(map(str, wide.select(order).collect()))
+        assert found.filter("item IS NULL").count() > 0 and found.dtypes == wide.dtypes
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "packed" in plan and "HashAggregate" not in plan[: plan.index("packed")]
+
+
+def test_set_join_keeps_candidates_only(spark):
+    """Pairs under the bar are no rows: they are left out where the lists meet."""
+    prefs = spark.createDataFrame([(u, i) for u in range(30) for i in range(u % 7 + 1)], "user bigint, item bigint")
+    sized = prefs.join(prefs.groupBy("item").agg(F.count("*").alias("n")), "item")
+    named = sized.withColumn("item", F.col("item").cast("string"))
+    for bar in (0.1, 0.6):
+        sets = nb.similar_sets(sized, bar)
+        by_name = {frozenset((int(r["a"]), int(r["b"]))): r["k"] for r in nb.similar_sets(named, bar).collect()}
+        assert {frozenset((r["a"], r["b"])): r["k"] for r in sets.collect()} == by_name
+        assert all(r["n_a"] <= r["n_b"] for r in sets.collect())
+    heads = nb.rare_owners(sized, 0.6)
+    made = nb._candidates(heads, sized.groupBy("item").agg(F.max("n").alias("n")), 0.6, 2)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") >= 2 and "Generate" not in plan
+
+
 def test_votes_are_added_up_where_the_user_is(spark):
     prefs = spark.createDataFrame([(1, 10, 2.0), (1, 11, 1.0), (2, 11, None), (None, 10, 3.0)], "user bigint, item bigint, weight double")
     near = spark.createDataFrame(
