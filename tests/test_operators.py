@@ -718,6 +718,37 @@ def test_cells_give_the_exact_lists(spark, spread):
     assert rows(factors.nearest_in_cluster(df, model, 10, 1)) == rows(factors.nearest_exact(df, df, 10))
 
 
+def test_few_sorted_cells_tell_what_a_query_sees_first():
+    """The cells of the whole order, also with equal distances, overlapping cells and cells that hold next to nothing."""
+    rng = np.random.default_rng(41)
+    for radius, most in ((0.0, 4), (0.4, 3), (2.5, 2), (0.2, 1)):
+        centres = factors._unit(pd.Series(list(rng.standard_normal((90, 4)).round(1))))
+        size = rng.integers(1, most + 1, 90)
+        cells = factors.Cells(np.arange(90, dtype=np.int32), centres, np.full(90, radius), size)
+        x = factors._unit(pd.Series(list(rng.standard_normal((60, 4)))))
+        for wanted, probes in ((11, 2), (40, 4), (5, 30), (500, 1)):
+            seen, least = cells.seen(x, wanted, probes)
+            order, count = cells.first(x, wanted, probes)
+            for q in range(60):
+                assert set(np.flatnonzero(seen[q])) == set(order[q, : count[q]].tolist())
+            assert (least == np.maximum(factors._far(x, centres) - radius, 0.0)).all()
+
+
+def test_als_has_more_blocks_for_more_ratings():
+    assert [factors._als_blocks(n) for n in (0, 594_000, 10 << 22, 216_000_000)] == [10, 10, 10, 52]
+
+
+def test_profiles_are_summed_where_the_rows_of_a_user_meet(spark):
+    """Sums of a slice are over five times as long as what they are made of: they are not shuffled."""
+    prefs = spark.createDataFrame([(1, 5, 2.0), (1, 6, 1.0)], PREFS)
+    vectors = spark.createDataFrame([(5, [1.0, 0.0]), (6, [4.0, 3.0])], "id bigint, vec array<float>")
+    found = content.user_profile(prefs, vectors, 2)
+    assert rows(found) == [(1, [2.0, 1.0])]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user" in plan and "hashpartitioning(user#0L, slice" not in plan
+    assert all("slice" not in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+
+
 def test_cell_visits_come_in_small_batches_and_are_counted_without_rows():
     """Vectors without clusters visit all cells: their rows would be as many vectors in one batch."""
     rng = np.random.default_rng(12)
